@@ -17,7 +17,7 @@ def parse_multi_date(c, formats=("M/d/yyyy", "d-M-yyyy")) -> Column:
     ``dd-MM-yyyy`` pattern rejects the latter).
     """
     s = F.trim(_c(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
 
 
 def parse_multi_timestamp(c, formats=("yyyy-MM-dd HH:mm:ss", "d-M-yyyy", "yyyy-MM-dd")) -> Column:

@@ -296,19 +296,18 @@ def superstore(spark, d, dims=("order", "customer", "product")):
         o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
         df = df.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
             *[c for c in df.columns if c != "l_orderkey"], F.col("o_orderkey").alias("order_id"),
-            F.to_date("o_orderdate").alias("order_date"), F.col("o_orderpriority").alias("ship_mode"), "o_custkey")
+            F.to_date("o_orderdate").alias("order_date"), F.col("o_orderpriority").alias("ship_mode"),
+            F.col("o_custkey").alias("customer_id"))
     else:
         df = df.withColumnRenamed("l_orderkey", "order_id")
     if "customer" in dims:
         c = load(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
         g = F.broadcast(geo(spark, d))
-        df = (df.join(c, F.col("o_custkey") == F.col("c_custkey"))
-              .join(g, F.col("c_nationkey") == g.nation_key)
-              .withColumnRenamed("c_custkey", "customer_id").withColumnRenamed("c_name", "customer_name")
+        df = (df.join(c, F.col("customer_id") == F.col("c_custkey"))
+              .join(g, F.col("c_nationkey") == g.nation_key).drop("c_custkey")
+              .withColumnRenamed("c_name", "customer_name")
               .withColumnRenamed("c_mktsegment", "segment").withColumnRenamed("nation_name", "state")
               .withColumnRenamed("region_name", "region").drop("c_nationkey", "nation_key"))
-    if "o_custkey" in df.columns:
-        df = df.drop("o_custkey")
     if "product" in dims:
         p = load(spark, d, "part").select("p_partkey", "p_type", "p_brand", "p_name", "p_retailprice")
         df = (df.join(p, F.col("l_partkey") == F.col("p_partkey"))
@@ -454,3 +453,35 @@ def mk_geolocation(spark, d):
     return c.select(_zip("c_custkey").alias("geolocation_zip_code_prefix"),
                     (F.col("c_acctbal").cast(MONEY) * F.lit(Decimal("0.01"))).alias("geolocation_lat"),
                     F.col("c_nationkey").cast(MONEY).alias("geolocation_lng"))
+
+
+# --------------------------------------------------------------------------------------
+# Task-6 order lines: line facts with product attributes
+
+@view("task_lines", f"""
+SELECT CAST(l_partkey AS VARCHAR) AS product_id, p_name AS old_name, p_type AS category,
+       CAST(p_retailprice AS DECIMAL(10,2)) AS price, CAST(l_extendedprice AS {MONEY.upper()}) AS base_price,
+       CASE l_returnflag WHEN 'N' THEN 'Completed' WHEN 'A' THEN 'Pending' ELSE 'Cancelled' END AS status,
+       CAST(l_extendedprice AS {MONEY.upper()}) AS amount,
+       CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE 'U' || CAST(l_suppkey AS VARCHAR) END AS user_id,
+       CASE l_orderkey % 4 WHEN 0 THEN 'North' WHEN 1 THEN 'South' WHEN 2 THEN 'East' ELSE 'West' END AS region,
+       CASE WHEN l_discount >= 0.08 THEN 'High' WHEN l_discount >= 0.04 THEN 'Medium' ELSE 'Low' END AS priority
+FROM lineitem JOIN part ON p_partkey = l_partkey
+""")
+def task_lines(spark, d):
+    li = load(spark, d, "lineitem")
+    p = load(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    region = (F.when(F.col("l_orderkey") % 4 == 0, "North").when(F.col("l_orderkey") % 4 == 1, "South")
+              .when(F.col("l_orderkey") % 4 == 2, "East").otherwise("West"))
+    return li.join(p, li.l_partkey == p.p_partkey).select(
+        F.col("l_partkey").cast("string").alias("product_id"), F.col("p_name").alias("old_name"),
+        F.col("p_type").alias("category"), F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
+        F.col("l_extendedprice").cast(MONEY).alias("base_price"),
+        F.when(F.col("l_returnflag") == "N", "Completed").when(F.col("l_returnflag") == "A", "Pending")
+        .otherwise("Cancelled").alias("status"),
+        F.col("l_extendedprice").cast(MONEY).alias("amount"),
+        F.when(F.col("l_orderkey") % 5 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("U"), F.col("l_suppkey").cast("string"))).alias("user_id"),
+        region.alias("region"),
+        F.when(F.col("l_discount") >= 0.08, "High").when(F.col("l_discount") >= 0.04, "Medium").otherwise("Low")
+        .alias("priority"))
