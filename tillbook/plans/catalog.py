@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillbook.plans import shop_analytics, shop_basics, superstore, task_lines  # noqa: F401  (registers queries)
+from tillbook.plans import medallion, shop_analytics, shop_basics, superstore, task_lines  # noqa: F401  (registers queries)
 from tillbook.plans.registry import QUERIES
 
 

@@ -325,10 +325,11 @@ def superstore(spark, d, dims=("order", "customer", "product")):
 # Marketplace lake (bronze inputs)
 
 def _zip(key_col: str):
-    return F.lpad(((F.col(key_col) * 7919) % 100000).cast("string"), 5, "0")
+    """Raw zip prefix as a number (CSV inference drops leading zeros); silver pads it."""
+    return (F.col(key_col) * 7919) % 100000
 
 
-_ZIP_SQL = "lpad(CAST(({k} * 7919) % 100000 AS VARCHAR), 5, '0')"
+_ZIP_SQL = "(({k} * 7919) % 100000)"
 
 
 @view("mk_customers", f"""
