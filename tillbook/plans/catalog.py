@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tillbook.plans import medallion, shop_analytics, shop_basics, superstore, task_lines  # noqa: F401  (registers queries)
+from tillbook.plans import (cleaning, files, integrity, medallion, shop_analytics, shop_basics,  # noqa: F401
+                            superstore, task_lines)  # importing registers the queries
 from tillbook.plans.registry import QUERIES
 
 

@@ -1,0 +1,13 @@
+"""File-level jobs: listing with metadata (the copy pipeline's first step)."""
+
+from __future__ import annotations
+
+from tillbook.plans.registry import register
+from tillbook.sources.files import list_files
+
+
+@register("w4_file_listing")
+def file_listing(spark, d):
+    """Every table file of the warehouse folder with its size (no content read).
+    Modification times depend on the file system, so the oracle has no SQL form."""
+    return list_files(spark, d, pattern="*.parquet").select("file_name", "size")

@@ -486,3 +486,109 @@ def task_lines(spark, d):
         region.alias("region"),
         F.when(F.col("l_discount") >= 0.08, "High").when(F.col("l_discount") >= 0.04, "Medium").otherwise("Low")
         .alias("priority"))
+
+
+# --------------------------------------------------------------------------------------
+# Raw Shop B inputs with deterministic defects (what the cleaning jobs repair)
+
+# defect rules: blank / missing / padded customer ids, DD-MM-YYYY and date-only
+# texts, unparsable dates, unknown status, messy names, zero quantities,
+# out-of-range discounts, orphan order lines
+TITLE_SQL = "array_to_string(list_transform(regexp_extract_all(lower(trim({x})), '(\\p{{L}}+|[^\\p{{L}}]+)'), lambda w: upper(w[1]) || w[2:]), '')"
+
+
+@view("raw_orders", f"""
+SELECT o_orderkey AS order_id,
+       CASE WHEN o_orderkey % 20 = 7 THEN '' WHEN o_orderkey % 20 = 13 THEN NULL
+            WHEN o_orderkey % 20 = 17 THEN ' ' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
+       CASE WHEN o_orderkey % 10 = 3 THEN strftime(o_orderdate, '%d-%m-%Y')
+            WHEN o_orderkey % 50 = 9 THEN 'unknown'
+            WHEN o_orderkey % 10 = 5 THEN strftime(o_orderdate, '%Y-%m-%d')
+            ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS order_date,
+       CASE WHEN o_orderkey % 97 = 5 THEN 'UNKNOWN' ELSE {_STATUS_B} END AS status
+FROM orders
+""")
+def raw_orders(spark, d):
+    o = load(spark, d, "orders")
+    k, cust = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    status = (F.when(k % 97 == 5, "UNKNOWN").when(F.col("o_orderstatus") == "F", "DELIVERED")
+              .when(F.col("o_orderstatus") == "O", "SHIPPED").otherwise("PLACED"))
+    return o.select(
+        k.alias("order_id"),
+        F.when(k % 20 == 7, F.lit("")).when(k % 20 == 13, F.lit(None).cast("string"))
+        .when(k % 20 == 17, F.concat(F.lit(" "), cust)).otherwise(cust).alias("customer_id"),
+        F.when(k % 10 == 3, F.date_format("o_orderdate", "dd-MM-yyyy")).when(k % 50 == 9, F.lit("unknown"))
+        .when(k % 10 == 5, F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("order_date"),
+        status.alias("status"))
+
+
+@view("raw_products", f"""
+SELECT p_partkey AS product_id,
+       CASE p_partkey % 4 WHEN 1 THEN '  ' || upper(p_name) || ' ' WHEN 2 THEN replace(p_name, ' ', '   ')
+            WHEN 3 THEN p_name ELSE {TITLE_SQL.format(x='p_name')} END AS product_name,
+       p_type AS category, p_brand AS subcategory, CAST(p_retailprice AS {MONEY.upper()}) AS cost_price
+FROM part
+""")
+def raw_products(spark, d):
+    from tillbook.functions.text import title_case
+    p = load(spark, d, "part")
+    k = F.col("p_partkey") % 4
+    name = (F.when(k == 1, F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")))
+            .when(k == 2, F.replace(F.col("p_name"), F.lit(" "), F.lit("   ")))
+            .when(k == 3, F.col("p_name")).otherwise(title_case("p_name")))
+    return p.select(F.col("p_partkey").alias("product_id"), name.alias("product_name"), F.col("p_type").alias("category"),
+                    F.col("p_brand").alias("subcategory"), F.col("p_retailprice").cast(MONEY).alias("cost_price"))
+
+
+@view("raw_items", f"""
+SELECT l_orderkey * 100 + l_linenumber AS item_id,
+       CASE WHEN l_orderkey % 997 = 1 THEN -l_orderkey - 1 ELSE l_orderkey END AS order_id,
+       l_partkey AS product_id,
+       CAST(CASE WHEN (l_orderkey + l_linenumber) % 101 = 0 THEN 0 WHEN l_returnflag = 'R' THEN -l_quantity
+                 ELSE l_quantity END AS INTEGER) AS quantity,
+       CAST(l_extendedprice AS {MONEY.upper()}) AS line_amount,
+       CASE WHEN (l_orderkey + l_linenumber) % 53 = 0 THEN CAST(150 AS DECIMAL(8,2))
+            WHEN (l_orderkey + l_linenumber) % 59 = 0 THEN CAST(-5 AS DECIMAL(8,2))
+            ELSE CAST(CAST(l_discount AS {RATE.upper()}) * 100 AS DECIMAL(8,2)) END AS discount_percent
+FROM lineitem
+""")
+def raw_items(spark, d):
+    li = load(spark, d, "lineitem")
+    k = F.col("l_orderkey")
+    s = k + F.col("l_linenumber")
+    qty = (F.when(s % 101 == 0, F.lit(0)).when(F.col("l_returnflag") == "R", -F.col("l_quantity"))
+           .otherwise(F.col("l_quantity"))).cast("int")
+    disc = (F.when(s % 53 == 0, F.lit(150).cast("decimal(8,2)")).when(s % 59 == 0, F.lit(-5).cast("decimal(8,2)"))
+            .otherwise((F.col("l_discount").cast(RATE) * 100).cast("decimal(8,2)")))
+    return li.select((k * 100 + F.col("l_linenumber")).alias("item_id"),
+                     F.when(k % 997 == 1, -k - 1).otherwise(k).alias("order_id"),
+                     F.col("l_partkey").alias("product_id"), qty.alias("quantity"),
+                     F.col("l_extendedprice").cast(MONEY).alias("line_amount"), disc.alias("discount_percent"))
+
+
+@view("listing", """
+SELECT p_name AS title, CAST(p_size % 50 AS DOUBLE) / 10 AS rating,
+       CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN 'Rs.' || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR)
+            ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) END AS final_price,
+       CASE WHEN p_partkey % 3 = 0 THEN 'Rs.' || CAST(CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 1.25 AS DECIMAL(10,2)) AS VARCHAR)
+            ELSE CAST(CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 1.25 AS DECIMAL(10,2)) AS VARCHAR) END AS initial_price,
+       CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size % 30 AS DOUBLE) END AS discount,
+       p_size * 13 AS ratings_count,
+       CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END AS seller_name
+FROM part
+""")
+def listing(spark, d):
+    """Product listing as scraped: prices as text (some with a currency prefix), gaps."""
+    p = load(spark, d, "part")
+    k = F.col("p_partkey")
+    fp = F.col("p_retailprice").cast("decimal(10,2)").cast("string")
+    ip = (F.col("p_retailprice").cast("decimal(10,2)") * F.lit(Decimal("1.25"))).cast("decimal(10,2)").cast("string")
+    return p.select(
+        F.col("p_name").alias("title"), ((F.col("p_size") % 50).cast("double") / 10).alias("rating"),
+        F.when(k % 7 == 0, F.lit(None).cast("string")).when(k % 5 == 0, F.concat(F.lit("Rs."), fp)).otherwise(fp)
+        .alias("final_price"),
+        F.when(k % 3 == 0, F.concat(F.lit("Rs."), ip)).otherwise(ip).alias("initial_price"),
+        F.when(k % 9 == 0, F.lit(None).cast("double")).otherwise((F.col("p_size") % 30).cast("double")).alias("discount"),
+        (F.col("p_size") * 13).alias("ratings_count"),
+        F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("seller_name"))
