@@ -11,8 +11,8 @@ one task. The operators below compute the same values in parallel:
 3. per-partition row counts and sums: one row per partition;
 4. exclusive prefix over those P rows (P is the partition count we chose, so
    the broadcast size is bounded by a parameter, not by the data);
-5. one sequential Arrow-batched pass per partition adds the local running
-   values to the partition offset.
+5. a window partitioned by the range id (one range per task after a range
+   exchange on the id) adds the local running values to the partition offset.
 
 Ties of the sort value (RANK, RANGE frames) are handled by first aggregating
 per distinct sort value, running over those, and joining back on the value.
@@ -20,13 +20,8 @@ per distinct sort value, running over those, and joining back on the value.
 
 from __future__ import annotations
 
-import math
-from decimal import Decimal
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillbook.session import ensure_checkpoint_dir
 
@@ -44,10 +39,15 @@ def _sort_exprs(order: list[tuple[str, bool]]):
 
 
 def running(df: DataFrame, order: list[tuple[str, bool]], value: str | None = None,
-            row_col: str = "row_number", sum_col: str = "running_sum", num_partitions: int | None = None) -> DataFrame:
+            row_col: str = "row_number", sum_col: str = "running_sum", num_partitions: int | None = None,
+            total_count_col: str | None = None, total_sum_col: str | None = None) -> DataFrame:
     """Append the global 1-based row number (and running sum of ``value``) under
     ``order`` = [(column, descending), ...]. The order must be total: end it
     with a unique key. Frame: ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW.
+
+    ``total_count_col`` / ``total_sum_col`` add the grand totals (COUNT(*) OVER (),
+    SUM(value) OVER ()) from the same per-partition statistics, so callers never
+    re-run the input plan for a total.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -62,48 +62,27 @@ def running(df: DataFrame, order: list[tuple[str, bool]], value: str | None = No
         aggs.append(F.sum(value).alias("_s"))
     stats = ranged.groupBy(_RP).agg(*aggs)
     w = Window.orderBy(_RP).rowsBetween(Window.unboundedPreceding, -1)   # P rows: bounded by the parameter p
+    everything = Window.partitionBy()
     offsets = stats.select(_RP, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n"),
-                           *([F.sum("_s").over(w).alias("_off_s")] if value else []))
-
-    schema_fields = list(ranged.schema.fields) + [T.StructField("_lrow", T.LongType(), False)]
-    value_type = None
+                           *([F.sum("_s").over(w).alias("_off_s")] if value else []),
+                           F.sum("_n").over(everything).alias("_tot_n"),
+                           *([F.sum("_s").over(everything).alias("_tot_s")] if value else []))
+
+    # local pass: a range exchange on the partition id puts exactly one range in
+    # each task, which is the clustering the window needs (no Python, exact decimals)
+    local_w = Window.partitionBy(_RP).orderBy(*sort)
+    local = (ranged.repartitionByRange(p, _RP)
+             .withColumn("_lrow", F.row_number().over(local_w).cast("long")))
     if value:
-        value_type = ranged.schema[value].dataType
-        if isinstance(value_type, T.DecimalType):
-            value_type = T.DecimalType(38, value_type.scale)
-        elif isinstance(value_type, (T.IntegerType, T.LongType, T.ShortType)):
-            value_type = T.LongType()
-        schema_fields.append(T.StructField("_lsum", value_type, True))
-    out_schema = T.StructType(schema_fields)
-    is_decimal = isinstance(value_type, T.DecimalType)
-
-    def scan(batches):
-        n = 0
-        acc = Decimal(0) if is_decimal else 0
-        for pdf in batches:
-            k = len(pdf)
-            pdf["_lrow"] = pd.Series(range(n + 1, n + k + 1), index=pdf.index, dtype="int64")
-            n += k
-            if value:
-                vals = pdf[value]
-                if is_decimal:
-                    out = []
-                    for v in vals:
-                        if v is not None and not (isinstance(v, float) and math.isnan(v)):
-                            acc += v
-                        out.append(acc)
-                    pdf["_lsum"] = out
-                else:
-                    cs = vals.fillna(0).cumsum() + acc
-                    acc = cs.iloc[-1] if k else acc
-                    pdf["_lsum"] = cs
-            yield pdf
-
-    local = ranged.mapInPandas(scan, out_schema)
+        local = local.withColumn("_lsum", F.sum(value).over(local_w.rowsBetween(Window.unboundedPreceding, 0)))
     joined = local.join(F.broadcast(offsets), _RP)
     cols = [c for c in df.columns] + [(F.col("_lrow") + F.col("_off_n")).alias(row_col)]
     if value:
         cols.append((F.col("_lsum") + F.coalesce(F.col("_off_s"), F.lit(0))).alias(sum_col))
+    if total_count_col:
+        cols.append(F.col("_tot_n").alias(total_count_col))
+    if total_sum_col and value:
+        cols.append(F.col("_tot_s").alias(total_sum_col))
     return joined.select(*cols)
 
 
@@ -113,14 +92,14 @@ def global_ntile(df: DataFrame, n_buckets: int, order: list[tuple[str, bool]], o
 
     With N rows, q = N div n and r = N mod n: the first r buckets hold q+1 rows.
     """
-    numbered = running(df, order, row_col="_rn", num_partitions=num_partitions)
-    total = df.agg(F.count(F.lit(1)).alias("_N")).scalar()
+    numbered = running(df, order, row_col="_rn", num_partitions=num_partitions, total_count_col="_N")
+    total = F.col("_N")
     q = F.floor(total / n_buckets).cast("long")
     r = (total % n_buckets).cast("long")
     i = F.col("_rn")
     big = r * (q + 1)
     bucket = F.when(i <= big, F.floor((i - 1) / (q + 1)) + 1).otherwise(r + F.floor((i - big - 1) / q) + 1)
-    return numbered.withColumn(out_col, bucket.cast("long")).drop("_rn")
+    return numbered.withColumn(out_col, bucket.cast("long")).drop("_rn", "_N")
 
 
 def global_rank(df: DataFrame, value: str, descending: bool = True, out_col: str = "rank",
@@ -131,6 +110,8 @@ def global_rank(df: DataFrame, value: str, descending: bool = True, out_col: str
     running count over distinct values gives the rank, and the rank is joined
     back on the value (AQE splits a skewed join side).
     """
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)          # read twice below: compute the input plan once
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
     ranked = running(counts, [(value, descending)], value="_cnt", row_col="_dr", sum_col="_cum",
                      num_partitions=num_partitions)
@@ -143,6 +124,8 @@ def range_running_sum(df: DataFrame, order_value: str, value: str, descending: b
                       out_col: str = "running_sum", num_partitions: int | None = None) -> DataFrame:
     """SUM(value) OVER (ORDER BY order_value) with the default RANGE frame:
     rows with equal ``order_value`` share one running total."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)          # read twice below: compute the input plan once
     per_value = df.groupBy(order_value).agg(F.sum(value).alias("_vs"))
     run = running(per_value, [(order_value, descending)], value="_vs", row_col="_dr", sum_col="_cum",
                   num_partitions=num_partitions)

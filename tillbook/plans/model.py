@@ -278,7 +278,7 @@ SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, CAST(l_s
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
      JOIN geo g ON g.nation_key = c_nationkey JOIN part ON p_partkey = l_partkey
 """)
-def superstore(spark, d, dims=("order", "customer", "product")):
+def superstore(spark, d, dims=("order", "customer", "product"), distinct_lines: bool = False):
     """Flat sales lines. ``dims`` limits the joins to what the caller reads:
     'order' (dates, ship mode), 'customer' (name, segment, state, region),
     'product' (category, names, profit). Foreign keys are total in the
@@ -289,6 +289,10 @@ def superstore(spark, d, dims=("order", "customer", "product")):
                    F.col("l_quantity").cast("int").alias("quantity"),
                    F.col("l_discount").cast(RATE).alias("discount"),
                    F.to_date("l_shipdate").alias("ship_date"))
+    if distinct_lines:
+        # dimension keys are unique (checked by the constraint jobs), so a duplicate
+        # joined line is exactly a duplicate fact line: dedup the narrow fact first
+        df = df.dropDuplicates()
     dims = set(dims)
     if "customer" in dims:
         dims.add("order")
