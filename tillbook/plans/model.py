@@ -575,7 +575,7 @@ def raw_items(spark, d):
 SELECT p_name AS title, CAST(p_size % 50 AS DOUBLE) / 10 AS rating,
        CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN 'Rs.' || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR)
             ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) END AS final_price,
-       CASE WHEN p_partkey % 3 = 0 THEN 'Rs.' || CAST(CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 1.25 AS DECIMAL(10,2)) AS VARCHAR)
+       CASE WHEN p_partkey % 3 = 0 THEN '₹' || CAST(CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 1.25 AS DECIMAL(10,2)) AS VARCHAR)
             ELSE CAST(CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 1.25 AS DECIMAL(10,2)) AS VARCHAR) END AS initial_price,
        CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size % 30 AS DOUBLE) END AS discount,
        p_size * 13 AS ratings_count,
@@ -592,7 +592,7 @@ def listing(spark, d):
         F.col("p_name").alias("title"), ((F.col("p_size") % 50).cast("double") / 10).alias("rating"),
         F.when(k % 7 == 0, F.lit(None).cast("string")).when(k % 5 == 0, F.concat(F.lit("Rs."), fp)).otherwise(fp)
         .alias("final_price"),
-        F.when(k % 3 == 0, F.concat(F.lit("Rs."), ip)).otherwise(ip).alias("initial_price"),
+        F.when(k % 3 == 0, F.concat(F.lit("\u20b9"), ip)).otherwise(ip).alias("initial_price"),
         F.when(k % 9 == 0, F.lit(None).cast("double")).otherwise((F.col("p_size") % 30).cast("double")).alias("discount"),
         (F.col("p_size") * 13).alias("ratings_count"),
         F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("seller_name"))
