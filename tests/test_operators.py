@@ -167,3 +167,25 @@ def test_describe_matches_pandas(spark):
 def test_null_counts_long_form(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
     assert sorted(null_counts(df).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_segmented_matches_partitioned_window(spark):
+    from tillbook.operators.global_window import segmented
+    rnd = random.Random(11)
+    # customer 7 holds about a third of the rows; several ranges must share it
+    rows = [(7 if i % 3 == 0 else rnd.randint(0, 40), i, Decimal(rnd.randint(1, 99))) for i in range(600)]
+    df = spark.createDataFrame(rows, "c long, k long, v decimal(10,2)")
+    got = segmented(df, ["c"], [("k", False)], value="v", lag_cols=("k", "v"), row_col="rn", sum_col="cum",
+                    num_partitions=6)
+    w = Window.partitionBy("c").orderBy("k")
+    want = df.select("c", "k", F.row_number().over(w).alias("rn"),
+                     F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
+                     F.lag("k").over(w).alias("prev_k"), F.lag("v").over(w).alias("prev_v"))
+    cols = ["c", "k", "rn", "cum", "prev_k", "prev_v"]
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
+    # descending order column with a tie-break
+    got = segmented(df, ["c"], [("v", True), ("k", False)], lag_cols=("k",), row_col="rn", num_partitions=5)
+    w = Window.partitionBy("c").orderBy(F.col("v").desc(), "k")
+    want = df.select("c", "k", F.row_number().over(w).alias("rn"), F.lag("k").over(w).alias("prev_k"))
+    cols = ["c", "k", "rn", "prev_k"]
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())

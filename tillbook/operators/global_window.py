@@ -131,3 +131,66 @@ def range_running_sum(df: DataFrame, order_value: str, value: str, descending: b
                   num_partitions=num_partitions)
     totals = run.select(F.col(order_value).alias("_rv"), F.col("_cum").alias(out_col))
     return df.join(totals, df[order_value].eqNullSafe(totals["_rv"])).drop("_rv")
+
+
+def segmented(df: DataFrame, group: list[str], order: list[tuple[str, bool]], value: str | None = None,
+              lag_cols: tuple[str, ...] = (), row_col: str = "row_number", sum_col: str = "running_sum",
+              num_partitions: int | None = None) -> DataFrame:
+    """ROW_NUMBER / running SUM / LAG per group (PARTITION BY ``group`` ORDER BY
+    ``order``, ROWS frame) where one group may be huge.
+
+    A plain ``Window.partitionBy(group)`` sends a whole group to one task. Here
+    rows are range-partitioned on (group, order) so a hot group is cut into
+    several tasks; each task computes the values locally per (range, group) and
+    then adds a carry for the group it starts with: the rows of that group in
+    earlier ranges. The carries come from one row per range (last group, its
+    local count / sum, its last row), i.e. a table bounded by the partition
+    count. ``order`` must be total within a group.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    p = _num_partitions(df, num_partitions)
+    sort = [F.col(g).asc() for g in group] + _sort_exprs(order)
+    ranged = (df.repartitionByRange(p, *sort).sortWithinPartitions(*sort)
+              .withColumn(_RP, F.spark_partition_id())).checkpoint(eager=True)
+
+    gkey = F.struct(*[F.col(g) for g in group])
+    local_w = Window.partitionBy(_RP, *group).orderBy(*_sort_exprs(order))
+    local = (ranged.repartitionByRange(p, _RP)
+             .withColumn("_lrow", F.row_number().over(local_w).cast("long")))
+    if value:
+        local = local.withColumn("_lsum", F.sum(value).over(local_w.rowsBetween(Window.unboundedPreceding, 0)))
+    for c in lag_cols:
+        local = local.withColumn(f"_llag_{c}", F.lag(c).over(local_w))
+
+    # one row per range: its first group, and its last row (group, local count/sum, lag values)
+    # group columns sort ascending, so a range starts at its smallest group and
+    # ends at its largest group's highest local row number (whatever the order directions)
+    last_key = F.struct(gkey, F.col("_lrow"))
+    last_row = F.struct(gkey.alias("g"), F.col("_lrow").alias("n"),
+                        *([F.col("_lsum").alias("s")] if value else []),
+                        *[F.col(c).alias(f"v_{c}") for c in lag_cols])
+    per_range = local.groupBy(_RP).agg(F.min(gkey).alias("_first_g"), F.max_by(last_row, last_key).alias("_last"))
+    by_group = Window.partitionBy("_last.g").orderBy(_RP).rowsBetween(Window.unboundedPreceding, 0)
+    prev = Window.orderBy(_RP)                       # P rows: bounded by the parameter p
+    t = per_range.select(_RP, "_first_g", F.col("_last.g").alias("_lg"),
+                         F.sum("_last.n").over(by_group).alias("_cum_n"),
+                         *([F.sum("_last.s").over(by_group).alias("_cum_s")] if value else []),
+                         *[F.col(f"_last.v_{c}").alias(f"_lv_{c}") for c in lag_cols])
+    carry_cols = ["_lg", "_cum_n"] + (["_cum_s"] if value else []) + [f"_lv_{c}" for c in lag_cols]
+    t = t.select(_RP, "_first_g", *[F.lag(c).over(prev).alias(f"_p{c}") for c in carry_cols])
+    continues = F.col("_p_lg").eqNullSafe(F.col("_first_g")) & F.col("_p_lg").isNotNull()
+    carries = t.select(_RP, "_first_g", F.when(continues, F.col("_p_cum_n")).otherwise(F.lit(0)).alias("_cn"),
+                       *([F.when(continues, F.col("_p_cum_s")).alias("_cs")] if value else []),
+                       *[F.when(continues, F.col(f"_p_lv_{c}")).alias(f"_cv_{c}") for c in lag_cols])
+
+    joined = local.join(F.broadcast(carries), _RP)
+    in_first = gkey.eqNullSafe(F.col("_first_g"))
+    cols = list(df.columns) + [(F.col("_lrow") + F.when(in_first, F.col("_cn")).otherwise(F.lit(0))).alias(row_col)]
+    if value:
+        cols.append(F.when(in_first & F.col("_cs").isNotNull(), F.col("_lsum") + F.col("_cs"))
+                    .otherwise(F.col("_lsum")).alias(sum_col))
+    for c in lag_cols:
+        first_row = in_first & (F.col("_lrow") == 1)
+        cols.append(F.when(first_row, F.col(f"_cv_{c}")).otherwise(F.col(f"_llag_{c}")).alias(f"prev_{c}"))
+    return joined.select(*cols)
