@@ -596,3 +596,21 @@ def listing(spark, d):
         F.when(k % 9 == 0, F.lit(None).cast("double")).otherwise((F.col("p_size") % 30).cast("double")).alias("discount"),
         (F.col("p_size") * 13).alias("ratings_count"),
         F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("seller_name"))
+
+
+@view("mk_reviews", """
+SELECT event_id AS review_id, user_id AS order_id,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_type END AS review_comment_title,
+       CASE WHEN event_id % 4 = 0 THEN NULL ELSE props END AS review_comment_message,
+       CAST(ts AS VARCHAR) AS review_creation_date
+FROM events
+""")
+def mk_reviews(spark, d):
+    """Reviews as raw text rows (the creation time arrives as text)."""
+    e = load(spark, d, "events")
+    return e.select(F.col("event_id").alias("review_id"), F.col("user_id").alias("order_id"),
+                    F.when(F.col("event_id") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("event_type"))
+                    .alias("review_comment_title"),
+                    F.when(F.col("event_id") % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("props"))
+                    .alias("review_comment_message"),
+                    F.col("ts").cast("string").alias("review_creation_date"))
