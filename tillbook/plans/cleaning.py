@@ -130,10 +130,11 @@ def _long(one: DataFrame, table: str, checks: list[str]) -> DataFrame:
     return one.select(stacked.alias("x")).select("x.*")
 
 
-def quality_report(customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+def quality_report(customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame,
+                   as_of=AS_OF) -> DataFrame:
     """(table_name, check_name, n_rows) for every defect found; checks with no
     finding are left out, except the referential-integrity line which always appears."""
-    co = clean_orders(orders)
+    co = clean_orders(orders, as_of)
     cp = clean_products(products)
     o_one = co.agg(F.count_if("had_missing_customer").alias("missing_customer_id"),
                    F.count_if(F.col("order_date").isNull()).alias("unparseable_order_date"),
@@ -255,3 +256,27 @@ def describe_q(spark, d):
     for c, t in (("order_id", "bigint"), ("customer_id", "string"), ("order_date", "string"), ("status", "string")))))
 def profile_q(spark, d):
     return schema_frame(spark, raw_orders(spark, d))
+
+
+@register("w5_valid_contacts", oracle(["shop_customers"], """
+SELECT customer_id, customer_name, email FROM shop_customers WHERE email IS NOT NULL AND customer_name <> ''"""))
+def valid_contacts_q(spark, d):
+    """Drop rows with a missing e-mail or an empty name (a NULL name is dropped too)."""
+    c = shop_customers(spark, d)
+    return c.filter(F.col("email").isNotNull() & (F.col("customer_name") != "")).select("customer_id", "customer_name", "email")
+
+
+_HEAD_ORDER = ["title", "rating", "final_price", "initial_price", "discount", "ratings_count", "seller_name"]
+
+
+@register("w1_head_tail", oracle(["listing"], f"""
+(SELECT 'head' AS part, * FROM listing ORDER BY {", ".join(c + " ASC NULLS FIRST" for c in _HEAD_ORDER)} LIMIT 5)
+UNION ALL
+(SELECT 'tail' AS part, * FROM listing ORDER BY {", ".join(c + " DESC NULLS LAST" for c in _HEAD_ORDER)} LIMIT 5)"""))
+def head_tail_q(spark, d, n: int = 5):
+    """First and last n rows under an explicit total order (head/tail have no meaning without one)."""
+    df = listing(spark, d)
+    head = df.orderBy(*[F.col(c).asc_nulls_first() for c in _HEAD_ORDER]).limit(n)
+    tail = df.orderBy(*[F.col(c).desc_nulls_last() for c in _HEAD_ORDER]).limit(n)
+    return (head.select(F.lit("head").alias("part"), "*")
+            .unionByName(tail.select(F.lit("tail").alias("part"), "*")))

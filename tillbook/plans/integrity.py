@@ -176,3 +176,9 @@ SELECT COUNT(*) AS total_rows, COUNT(DISTINCT order_id) AS distinct_keys,
 def merge_validation_q(spark, d):
     merged = scd1_merge(orders_target(spark, d), orders_increment(spark, d), "order_id", UPDATE_COLS, check_unique=False)
     return merge_validation(merged, "order_id")
+
+
+def validate_period_args(report_type: str, start, end) -> None:
+    """Report arguments: known type and end not before start (raises ValueError)."""
+    from tillbook.plans.shop_analytics import validate_period
+    validate_period(report_type, start, end)

@@ -218,3 +218,16 @@ def delivered_pivot(spark, d):
     # NULL status lands in neither bucket, as with the CASE form
     return o.agg(F.count_if(F.col("status") == "Delivered").alias("delivered_orders"),
                  F.count_if(F.col("status") != "Delivered").alias("not_delivered_orders"))
+
+
+PREMIUM_FROM, PREMIUM_TO = dt.date(1995, 1, 1), dt.date(1995, 12, 31)
+
+
+@register("w5_premium_between", oracle(["shopa_customers"], f"""
+SELECT customer_id, first_name, last_name, join_date FROM shopa_customers
+WHERE join_date BETWEEN DATE '{PREMIUM_FROM}' AND DATE '{PREMIUM_TO}' AND is_premium"""))
+def premium_between(spark, d):
+    """Inclusive range on one attribute AND a flag (the 'age 18-30 and Premium' filter)."""
+    c = shopa_customers(spark, d)
+    return (c.filter(F.col("join_date").between(F.lit(PREMIUM_FROM), F.lit(PREMIUM_TO)) & F.col("is_premium"))
+            .select("customer_id", "first_name", "last_name", "join_date"))

@@ -80,3 +80,13 @@ def _flat_with_tax(t):
                     F.col("base_price").cast("double").alias("base_price"), "status",
                     F.col("amount").cast("double").alias("amount"), "user_id", "region", "priority",
                     F.col("final_price").cast("double").alias("final_price"))
+
+
+@register("w5_revenue_pipeline", oracle(["task_lines"], """
+SELECT region, CAST(SUM(COALESCE(price, 0)) AS DOUBLE) AS revenue
+FROM (SELECT DISTINCT * FROM task_lines) GROUP BY region ORDER BY revenue DESC"""))
+def revenue_pipeline(spark, d):
+    """dedup -> missing price as 0 -> revenue per store (region) -> order by revenue."""
+    t = task_lines(spark, d).dropDuplicates().fillna({"price": 0})
+    return (t.groupBy("region").agg(F.sum("price").cast("double").alias("revenue"))
+            .orderBy(F.col("revenue").desc()))
