@@ -189,3 +189,14 @@ def test_segmented_matches_partitioned_window(spark):
     want = df.select("c", "k", F.row_number().over(w).alias("rn"), F.lag("k").over(w).alias("prev_k"))
     cols = ["c", "k", "rn", "prev_k"]
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
+
+
+def test_exact_medians(spark):
+    import statistics
+    from tillbook.operators.stats import exact_medians
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, 3, 3, 3, rnd.randint(0, 50)]), float(rnd.randint(0, 9)) if i % 2 else None) for i in range(301)]
+    df = spark.createDataFrame(rows, "a int, b double")
+    got = {r.column_name: r.median for r in exact_medians(df, ["a", "b"], ).collect()}
+    assert got["a"] == statistics.median([r[0] for r in rows if r[0] is not None])
+    assert got["b"] == statistics.median([r[1] for r in rows if r[1] is not None])
