@@ -197,6 +197,7 @@ def test_exact_medians(spark):
     rnd = random.Random(5)
     rows = [(rnd.choice([None, 3, 3, 3, rnd.randint(0, 50)]), float(rnd.randint(0, 9)) if i % 2 else None) for i in range(301)]
     df = spark.createDataFrame(rows, "a int, b double")
-    got = {r.column_name: r.median for r in exact_medians(df, ["a", "b"], ).collect()}
-    assert got["a"] == statistics.median([r[0] for r in rows if r[0] is not None])
-    assert got["b"] == statistics.median([r[1] for r in rows if r[1] is not None])
+    for limit in (0, 10_000):          # range machinery, then the small-distinct path
+        got = {r.column_name: r.median for r in exact_medians(df, ["a", "b"], small_distinct=limit).collect()}
+        assert got["a"] == statistics.median([r[0] for r in rows if r[0] is not None])
+        assert got["b"] == statistics.median([r[1] for r in rows if r[1] is not None])

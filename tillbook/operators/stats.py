@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook.operators.global_window import segmented
 
 
-def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
+SMALL_DISTINCT = 200_000
+
+
+def exact_medians(df: DataFrame, cols: list[str], small_distinct: int = SMALL_DISTINCT) -> DataFrame:
     """Exact medians (linear interpolation between the two middle values, NULLs
     ignored) of several columns: rows (column_name, median).
 
@@ -17,13 +20,20 @@ def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
     k1 = floor((n+1)/2) and k2 = floor(n/2)+1, and their values are averaged.
     No task ever holds more than its range of distinct values, unlike a
     percentile aggregate, which keeps every distinct value of a group in one
-    buffer.
+    buffer. When the distinct values are few (counted first), a plain
+    per-column window replaces the range machinery.
     """
     long = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v"))
                                           for c in cols])).alias("x"))
             .select("x.*").dropna())
     counts = long.groupBy("column_name", "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    seq = segmented(counts, ["column_name"], [("_v", False)], value="_cnt", row_col="_r", sum_col="_cum")
+    if counts.count() <= small_distinct:
+        # few distinct values (checked): a per-column window over at most
+        # ``small_distinct`` rows is cheaper than the range machinery
+        w = Window.partitionBy("column_name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        seq = counts.withColumn("_cum", F.sum("_cnt").over(w))
+    else:
+        seq = segmented(counts, ["column_name"], [("_v", False)], value="_cnt", row_col="_r", sum_col="_cum")
     sizes = counts.groupBy("column_name").agg(F.sum("_cnt").alias("_n"))          # one row per column
     j = seq.join(F.broadcast(sizes), "column_name")
     k1 = F.floor((F.col("_n") + 1) / 2)
