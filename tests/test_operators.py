@@ -201,3 +201,15 @@ def test_exact_medians(spark):
         got = {r.column_name: r.median for r in exact_medians(df, ["a", "b"], small_distinct=limit).collect()}
         assert got["a"] == statistics.median([r[0] for r in rows if r[0] is not None])
         assert got["b"] == statistics.median([r[1] for r in rows if r[1] is not None])
+
+
+def test_drift_first_run_then_changes(spark, scratch):
+    from tillbook.operators.drift import check_and_record
+    base = spark.createDataFrame([(1, "a", 2.0)], "id long, name string, amount double")
+    first = check_and_record(spark, base, "orders", scratch)
+    assert {r.change for r in first.collect()} == {"baseline"}
+    assert check_and_record(spark, base, "orders", scratch).count() == 0          # no drift
+    changed = base.drop("name").withColumn("channel", F.lit("web")).withColumn("amount", F.col("amount").cast("string"))
+    got = {(r.column_name, r.change) for r in check_and_record(spark, changed, "orders", scratch).collect()}
+    assert got == {("name", "missing"), ("channel", "new"), ("amount", "type_changed")}
+    assert check_and_record(spark, changed, "orders", scratch).count() == 0       # reported once

@@ -59,3 +59,30 @@ def check_drift_many(spark: SparkSession, current: dict[str, DataFrame],
         d = schema_drift(schema_snapshot(spark, df, name), prev_snap)
         out = d if out is None else out.unionByName(d)
     return out
+
+
+def save_snapshot(snapshot: DataFrame, path: str) -> None:
+    """Store a schema snapshot as JSON (replaced after every check)."""
+    snapshot.coalesce(1).write.mode("overwrite").json(path)      # one row per column: tiny by construction
+
+
+def load_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored snapshot, or None on the first run (no baseline yet)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.schema(SNAPSHOT_SCHEMA).json(path)
+
+
+def check_and_record(spark: SparkSession, df: DataFrame, table: str, log_dir: str) -> DataFrame:
+    """Compare ``df``'s schema with the stored snapshot of ``table`` and replace
+    the snapshot; returns the drift rows ('baseline' rows on the first run).
+    The result is materialised before the snapshot is overwritten."""
+    path = f"{log_dir.rstrip('/')}/{table}_schema"
+    current = schema_snapshot(spark, df, table)
+    previous = load_snapshot(spark, path)
+    drift = schema_drift(current, previous)
+    rows = drift.collect()                                         # bounded by the column count
+    save_snapshot(current, path)
+    return spark.createDataFrame(rows, drift.schema)
