@@ -1,12 +1,22 @@
 """Co-occurrence counts ("bought together") without materialising pairs.
 
 For every group (order) and every ordered pair of items a < b in it, count
-one per (label_a, label_b) — weighted by how many rows each item has in the
+one per (label_a, label_b), weighted by how many rows each item has in the
 group. A self join would emit every pair of a group (quadratic rows, and a
-hot group would blow up one task). Instead each group is scanned once in item
-order keeping a running count per label already seen; item b adds those
-counts to (label, label_b). Each task emits only its partial label x label
-totals, which a final aggregate combines.
+hot group would blow up one task). Instead:
+
+1. rows (one per group, item, label with its multiplicity) are range-
+   partitioned on (group, item), so a hot group is cut into several ranges,
+   and checkpointed so the ranges stay fixed;
+2. each range is scanned once in item order keeping a running count per
+   label; item b adds those counts to (label, label_b). A task emits only its
+   partial label x label totals (Arrow-batched ``mapInPandas``);
+3. pairs whose items fall in different ranges of the same group: every item
+   of an earlier range precedes every item of a later one, so their count is
+   sum over ranges i of (label counts before i) x (label counts in i). Only
+   groups that straddle a range boundary take part (at most one per boundary,
+   so their set is bounded by the partition count), and the emitted rows are
+   label pairs per range, never item pairs.
 """
 
 from __future__ import annotations
@@ -14,18 +24,26 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillbook.session import ensure_checkpoint_dir
+
+_RP = "_rp"
+
 
-def pair_counts(df: DataFrame, group: str, item: str, label: str) -> DataFrame:
+def pair_counts(df: DataFrame, group: str, item: str, label: str, num_partitions: int | None = None) -> DataFrame:
     """Rows (label_a, label_b, pairs): number of (a, b) row pairs in a common
     group with item(a) < item(b), by the labels of a and b."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    p = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     weighted = df.groupBy(group, item, label).agg(F.count(F.lit(1)).alias("_m"))
-    ordered = weighted.repartition(group).sortWithinPartitions(group, item)
-    out_schema = T.StructType([T.StructField("label_a", T.StringType()),
-                               T.StructField("label_b", T.StringType()),
+    ranged = (weighted.repartitionByRange(p, group, item).sortWithinPartitions(group, item)
+              .withColumn(_RP, F.spark_partition_id())).checkpoint(eager=True)
+
+    out_schema = T.StructType([T.StructField("label_a", T.StringType()), T.StructField("label_b", T.StringType()),
                                T.StructField("pairs", T.LongType())])
 
     def scan(batches):
@@ -44,5 +62,22 @@ def pair_counts(df: DataFrame, group: str, item: str, label: str) -> DataFrame:
             yield pd.DataFrame({"label_a": [k[0] for k in keys], "label_b": [k[1] for k in keys],
                                 "pairs": [totals[k] for k in keys]})
 
-    partial = ordered.select(group, item, label, "_m").mapInPandas(scan, out_schema)
-    return partial.groupBy("label_a", "label_b").agg(F.sum("pairs").cast("long").alias("pairs"))
+    local = ranged.select(group, item, label, "_m").mapInPandas(scan, out_schema)
+
+    # groups that continue from the previous range (P-row computation)
+    ends = ranged.groupBy(_RP).agg(F.min(group).alias("_gf"), F.max(group).alias("_gl"))
+    prev_last = F.lag("_gl").over(Window.orderBy(_RP))
+    straddling = (ends.withColumn("_pl", prev_last).filter(F.col("_pl") == F.col("_gf"))
+                  .select(F.col("_gf").alias(group)).distinct())
+    counts = (ranged.join(F.broadcast(straddling), group)
+              .groupBy(group, _RP, label).agg(F.sum("_m").alias("_c")))
+    ranges = counts.select(group, F.col(_RP).alias("_i")).distinct()
+    before = (counts.join(ranges, group).filter(F.col(_RP) < F.col("_i"))
+              .groupBy(group, "_i", label).agg(F.sum("_c").alias("_p")))
+    later = counts.select(group, F.col(_RP).alias("_i"), F.col(label).alias("_lb"), "_c")
+    cross = (before.join(later, [group, "_i"])
+             .select(F.col(label).alias("label_a"), F.col("_lb").alias("label_b"),
+                     (F.col("_p") * F.col("_c")).cast("long").alias("pairs")))
+
+    return (local.unionByName(cross).groupBy("label_a", "label_b")
+            .agg(F.sum("pairs").cast("long").alias("pairs")))
