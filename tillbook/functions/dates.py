@@ -21,9 +21,23 @@ def parse_multi_date(c, formats=("M/d/yyyy", "d-M-yyyy")) -> Column:
 
 
 def parse_multi_timestamp(c, formats=("yyyy-MM-dd HH:mm:ss", "d-M-yyyy", "yyyy-MM-dd")) -> Column:
-    """Timestamp parse trying the formats in order, after trimming."""
+    """Timestamp (without time zone) parse trying the formats in order, after trimming."""
     s = F.trim(_c(c).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+
+
+def parse_timestamp(c) -> Column:
+    """Default-format text -> timestamp without time zone; garbage gives NULL."""
+    return F.try_to_timestamp(_c(c).cast("string")).cast("timestamp_ntz")
+
+
+def ntz_literal(value) -> Column:
+    """A wall-clock timestamp literal that does not depend on any time zone
+    (built from text, never from a Python datetime)."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    text = value.isoformat(sep=" ") if hasattr(value, "hour") else f"{value.isoformat()} 00:00:00"
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def year_month(c) -> Column:

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillbook.functions.dates import ntz_literal
+
 SCD2_COLS = ("effective_date", "end_date", "is_current")
 
 
@@ -64,7 +66,7 @@ def merge_validation(df: DataFrame, key: str) -> DataFrame:
 # ---------------------------------------------------------------- SCD type 2
 def scd2_init(df: DataFrame, effective_ts) -> DataFrame:
     """First load: every row current from ``effective_ts``, open end."""
-    return (df.withColumn("effective_date", F.lit(effective_ts).cast("timestamp_ntz"))
+    return (df.withColumn("effective_date", ntz_literal(effective_ts))
             .withColumn("end_date", F.lit(None).cast("timestamp_ntz"))
             .withColumn("is_current", F.lit(True)))
 
@@ -87,7 +89,7 @@ def scd2_merge(target: DataFrame, batch: DataFrame, key: str, compare_cols: list
     if check_unique:
         assert_unique_keys(batch, key)
     base_cols = [c for c in target.columns if c not in SCD2_COLS]
-    ts = F.lit(batch_ts).cast("timestamp_ntz")
+    ts = ntz_literal(batch_ts)
     history = target.filter(~F.col("is_current"))
     current = target.filter(F.col("is_current")).alias("t")
     s = batch.select(*base_cols).alias("s")

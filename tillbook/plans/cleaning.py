@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.functions import (clip_null_safe, collapse_spaces, email_is_valid, parse_multi_timestamp,
+from tillbook.functions import (clip_null_safe, collapse_spaces, email_is_valid, ntz_literal, parse_multi_timestamp,
                                 strip_non_numeric, title_case)
 from tillbook.functions.text import EMAIL_PATTERN
 from tillbook.operators.dedup import count_duplicates
@@ -52,7 +52,7 @@ def clean_orders(df: DataFrame, as_of=AS_OF) -> DataFrame:
         "order_id",
         F.when(cust == "", F.lit(None)).otherwise(cust).try_cast("long").alias("customer_id"),
         parsed.alias("order_date"), "status",
-        F.coalesce(parsed > F.lit(as_of).cast("timestamp_ntz"), F.lit(False)).alias("is_future"),
+        F.coalesce(parsed > ntz_literal(as_of), F.lit(False)).alias("is_future"),
         F.coalesce(F.col("status").isin(*VALID_STATUSES), F.lit(False)).alias("status_valid"),
         F.coalesce(F.col("order_date").rlike(DD_MM_PATTERN), F.lit(False)).alias("had_dd_mm_date"),
         (F.col("customer_id").isNull() | (cust == "")).alias("had_missing_customer"))
