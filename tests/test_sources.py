@@ -51,3 +51,13 @@ def test_listing_and_copy_job(spark, scratch):
     assert text.splitlines()[1].startswith('"')                  # every field quoted
     with pytest.raises(FileNotFoundError):
         copy_quote_all(spark, src, os.path.join(scratch, "out2"), pattern="*.none")
+
+
+def test_failfast_rejects_a_bad_row(spark, scratch):
+    path = os.path.join(scratch, "bad.csv")
+    with open(path, "w") as f:
+        f.write("id,amount\n1,2.5\n2,not-a-number\n")
+    ok = read_csv(spark, path, "id int, amount double")                      # permissive: bad value -> NULL
+    assert [r.amount for r in ok.orderBy("id").collect()] == [2.5, None]
+    with pytest.raises(Exception):
+        read_csv(spark, path, "id int, amount double", mode="FAILFAST").collect()
