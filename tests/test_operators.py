@@ -215,3 +215,16 @@ def test_drift_first_run_then_changes(spark, scratch):
     got = {(r.column_name, r.change) for r in check_and_record(spark, changed, "orders", scratch).collect()}
     assert got == {("name", "missing"), ("channel", "new"), ("amount", "type_changed")}
     assert check_and_record(spark, changed, "orders", scratch).count() == 0       # reported once
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    from tillbook.operators.stats import exact_quantiles
+    rnd = random.Random(9)
+    rows = [(rnd.uniform(0, 1000) if i % 4 else 42.0, float(rnd.randint(0, 5))) for i in range(257)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    probs = [0.25, 0.5, 0.75, 0.9]
+    want = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in ("a", "b")]).collect()[0]
+    for limit in (0, 10_000):
+        got = {(r.column_name, r.prob): r.value for r in exact_quantiles(df, ["a", "b"], probs, small_distinct=limit).collect()}
+        for c in ("a", "b"):
+            assert [got[(c, p)] for p in probs] == list(want[c])

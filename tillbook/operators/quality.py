@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -145,15 +144,16 @@ def describe_exact(df: DataFrame, columns: list[str], scale: int = 2) -> DataFra
 
     Sums run in DECIMAL(38, scale) so the result does not depend on the order
     partial sums are combined; variance = (n*S2 - S1^2) / (n*(n-1)) is exact
-    up to one division; quartiles interpolate linearly like pandas.
+    up to one division; quartiles come from the distributed exact quantiles
+    (linear interpolation like pandas).
     """
+    from tillbook.operators.stats import exact_quantiles
     dec = f"decimal(28,{scale})"
     aggs = []
     for c in columns:
         x = F.col(c).cast(dec)
         aggs += [F.count(x).alias(f"{c}__n"), F.sum(x).alias(f"{c}__s1"), F.sum(x * x).alias(f"{c}__s2"),
-                 F.min(F.col(c)).cast("double").alias(f"{c}__min"), F.max(F.col(c)).cast("double").alias(f"{c}__max"),
-                 F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q")]
+                 F.min(F.col(c)).cast("double").alias(f"{c}__min"), F.max(F.col(c)).cast("double").alias(f"{c}__max")]
     one = df.agg(*aggs)
     rows = []
     for c in columns:
@@ -161,10 +161,13 @@ def describe_exact(df: DataFrame, columns: list[str], scale: int = 2) -> DataFra
         var = F.try_divide((n * s2 - s1 * s1).cast("double"), (n * (n - 1)).cast("double"))
         rows.append(F.struct(F.lit(c).alias("column_name"), n.alias("count"),
                              (s1.cast("double") / n.cast("double")).alias("mean"), F.sqrt(var).alias("std"),
-                             F.col(f"{c}__min").alias("min"), F.col(f"{c}__q")[0].alias("p25"),
-                             F.col(f"{c}__q")[1].alias("p50"), F.col(f"{c}__q")[2].alias("p75"),
-                             F.col(f"{c}__max").alias("max")))
-    return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+                             F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")))
+    moments = one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75])          # at most 3 rows per column
+    quart = q.groupBy("column_name").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
+                                           for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return (moments.join(quart, "column_name", "left")
+            .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -174,7 +177,3 @@ def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
                                            F.col(c).alias("non_null")) for c in df.columns]))
     return counts.select(stacked.alias("x")).select("x.*")
-
-
-EMPTY_REPORT = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("check_name", T.StringType()),
-                             T.StructField("n_rows", T.LongType())])

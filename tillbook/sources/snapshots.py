@@ -12,7 +12,6 @@ all versions first and switching the pointers last.
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -108,8 +107,3 @@ class SnapshotStore:
             p = jvm.org.apache.hadoop.fs.Path(self.path(table, v))
             if fs.exists(p):
                 fs.delete(p, True)
-
-
-def local_root(path: str) -> str:
-    os.makedirs(path, exist_ok=True)
-    return path
