@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillbook.sources.files import copy_quote_all, list_files, read_csv, rename_strict, sanitize_columns
-from tillbook.sources.snapshots import SchemaMismatch, SnapshotStore
+from tillbook.sources.snapshots import ConcurrentPublish, SchemaMismatch, SnapshotStore
 from tillbook.sources.tables import load
 
 SF = "/root/testdata/sf0.001"
@@ -25,6 +25,20 @@ def test_snapshot_versions(spark, scratch):
     assert not os.path.exists(os.path.join(scratch, "lake", "nation", "v=0"))     # old versions expire
     got = store.publish_many({"a": nation, "b": nation})
     assert got == {"a": 0, "b": 0} and store.exists("a") and store.exists("b")
+    # a writer that lost the race for a version fails instead of overwriting it
+    open_claim = os.path.join(scratch, "lake", "a", "_claims", "1")
+    os.makedirs(os.path.dirname(open_claim), exist_ok=True)
+    # a crashed writer claimed version 1 and never committed: invisible, and the next writer skips it
+    open(open_claim, "w").close()
+    assert store.current_version("a") == 0
+    assert store.publish("a", nation) == 2 and store.current_version("a") == 2
+    # another writer has just claimed version 3; this writer's listing did not see it yet
+    open(os.path.join(scratch, "lake", "a", "_claims", "3"), "w").close()
+    orig = store._listed
+    store._listed = lambda folder: [] if folder.endswith("_claims") else orig(folder)
+    with pytest.raises(ConcurrentPublish):
+        store.publish("a", nation)
+    store._listed = orig
 
 
 def test_csv_quotes_and_line_breaks(spark, scratch):

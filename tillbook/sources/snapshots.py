@@ -1,17 +1,23 @@
 """Versioned Parquet tables: the lake-table behaviour the jobs need, without a
 lake format.
 
-Layout: ``<root>/<table>/v=<n>/`` holds version n; ``<root>/<table>/_CURRENT``
-names the current version. ``publish`` writes a NEW version folder and only
-then replaces the pointer, so readers never see a half-written table and a
-job can read version n while writing n+1 (overwriting a path that is being
-read fails in Spark). Several tables can be published together by writing
-all versions first and switching the pointers last.
+Layout under ``<root>/<table>/``:
+  ``v=<n>/``           data of version n
+  ``_commits/<n>``     empty marker: version n is complete and visible
+
+``publish`` first claims version n by creating ``_claims/<n>`` without
+overwrite (two concurrent writers cannot both claim it; a crashed writer only
+leaves a gap, as the next one claims max + 1), writes the data into a unique
+staging folder, renames it to ``v=<n>`` and then creates the commit marker.
+Readers take the highest committed version, so they never see a
+half-written table and a job can read version n while it writes n+1
+(overwriting a path that is being read fails in Spark). Files are accessed
+through the Hadoop FileSystem of the root, i.e. the cluster's shared storage.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,35 +26,41 @@ class SchemaMismatch(ValueError):
     pass
 
 
+class ConcurrentPublish(RuntimeError):
+    pass
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, keep: int = 5):
         self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
+        jvm = spark._jvm
+        self._Path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    # pointer file access goes through the Hadoop FileSystem of the root, so the
-    # store works on any shared file system the cluster uses
-    def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
+    def _commits(self, table: str) -> str:
+        return f"{self.root}/{table}/_commits"
 
-    def _pointer(self, table: str) -> str:
-        return f"{self.root}/{table}/_CURRENT"
+    def _listed(self, folder: str) -> list[int]:
+        d = self._Path(folder)
+        if not self._fs.exists(d):
+            return []
+        return sorted(int(st.getPath().getName()) for st in self._fs.listStatus(d) if st.getPath().getName().isdigit())
 
-    def current_version(self, table: str) -> int | None:
-        fs, jvm = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(self._pointer(table))
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
+    def committed_versions(self, table: str) -> list[int]:
+        return self._listed(self._commits(table))
+
+    def _claim(self, table: str) -> int:
+        taken = self._listed(f"{self.root}/{table}/_claims") + self.committed_versions(table)
+        version = max(taken) + 1 if taken else 0
         try:
-            data = bytearray()
-            buf = stream.read()
-            while buf != -1:
-                data.append(buf)
-                buf = stream.read()
-        finally:
-            stream.close()
-        return int(json.loads(bytes(data).decode())["version"])
+            self._fs.create(self._Path(f"{self.root}/{table}/_claims/{version}"), False).close()
+        except Exception as e:  # the marker exists: another writer claimed this version first
+            raise ConcurrentPublish(f"{table}: version {version} was claimed by another writer") from e
+        return version
+
+    def current_version(self, table: str) -> int | None:
+        versions = self.committed_versions(table)
+        return versions[-1] if versions else None
 
     def exists(self, table: str) -> bool:
         return self.current_version(table) is not None
@@ -62,48 +74,50 @@ class SnapshotStore:
             raise FileNotFoundError(f"table {table} has no published version")
         return self.spark.read.parquet(self.path(table, v))
 
-    def publish(self, table: str, df: DataFrame, allow_schema_change: bool = False) -> int:
-        """Write ``df`` as the next version and make it current. Unless
-        ``allow_schema_change``, a schema different from the current one raises."""
+    def _check_schema(self, table: str, df: DataFrame, allow_schema_change: bool) -> int | None:
         cur = self.current_version(table)
         if cur is not None and not allow_schema_change:
             old = self.read(table, cur).schema
             if [(f.name, f.dataType) for f in old.fields] != [(f.name, f.dataType) for f in df.schema.fields]:
                 raise SchemaMismatch(f"{table}: schema differs from version {cur}")
-        nxt = 0 if cur is None else cur + 1
-        df.write.mode("overwrite").parquet(self.path(table, nxt))
-        self._switch(table, nxt)
+        return cur
+
+    def _stage(self, table: str, df: DataFrame, version: int) -> None:
+        staging = f"{self.root}/{table}/_staging-{uuid.uuid4().hex}"
+        df.write.parquet(staging)
+        if not self._fs.rename(self._Path(staging), self._Path(self.path(table, version))):
+            raise OSError(f"{table}: could not move version {version} into place")
+
+    def _commit(self, table: str, version: int) -> None:
+        marker = self._Path(f"{self._commits(table)}/{version}")
+        out = self._fs.create(marker, False)        # no overwrite: one commit per version
+        out.close()
+        self._expire(table, version)
+
+    def publish(self, table: str, df: DataFrame, allow_schema_change: bool = False) -> int:
+        """Write ``df`` as the next version and make it current. Unless
+        ``allow_schema_change``, a schema different from the current one raises."""
+        self._check_schema(table, df, allow_schema_change)
+        nxt = self._claim(table)
+        self._stage(table, df, nxt)
+        self._commit(table, nxt)
         return nxt
 
-    def publish_many(self, tables: dict[str, DataFrame]) -> dict[str, int]:
-        """Write every table first, then switch all pointers."""
+    def publish_many(self, tables: dict[str, DataFrame], allow_schema_change: bool = False) -> dict[str, int]:
+        """Validate-then-publish several tables: every version is written first
+        and the commits are made only after all writes succeeded."""
         versions = {}
         for t, df in tables.items():
-            cur = self.current_version(t)
-            versions[t] = 0 if cur is None else cur + 1
-            df.write.mode("overwrite").parquet(self.path(t, versions[t]))
+            self._check_schema(t, df, allow_schema_change)
+            versions[t] = self._claim(t)
+            self._stage(t, df, versions[t])
         for t, v in versions.items():
-            self._switch(t, v)
+            self._commit(t, v)
         return versions
 
-    def _switch(self, table: str, version: int) -> None:
-        fs, jvm = self._fs()
-        Path = jvm.org.apache.hadoop.fs.Path
-        tmp = Path(f"{self._pointer(table)}.tmp-{version}")
-        out = fs.create(tmp, True)
-        try:
-            out.write(bytearray(json.dumps({"version": version}).encode()))
-        finally:
-            out.close()
-        target = Path(self._pointer(table))
-        if fs.exists(target):
-            fs.delete(target, False)
-        fs.rename(tmp, target)
-        self._expire(table, version)
-
     def _expire(self, table: str, current: int) -> None:
-        fs, jvm = self._fs()
-        for v in range(0, current - self.keep + 1):
-            p = jvm.org.apache.hadoop.fs.Path(self.path(table, v))
-            if fs.exists(p):
-                fs.delete(p, True)
+        for v in self.committed_versions(table):
+            if v <= current - self.keep:
+                self._fs.delete(self._Path(f"{self._commits(table)}/{v}"), False)
+                self._fs.delete(self._Path(f"{self.root}/{table}/_claims/{v}"), False)
+                self._fs.delete(self._Path(self.path(table, v)), True)
