@@ -1,4 +1,4 @@
-"""File-level jobs: listing with metadata (the copy pipeline's first step)."""
+"""File-level jobs: listing with metadata (the copy job's first step)."""
 
 from __future__ import annotations
 

@@ -66,10 +66,10 @@ def tax(spark, d):
                     F.col("final_price").cast("double").alias("final_price"))
 
 
-@register("w6_pipeline_clean", oracle(["task_lines"], f"""
+@register("w6_tax_known_users", oracle(["task_lines"], f"""
 SELECT {_ALL}, CAST(ROUND(base_price * CAST({TAX_FACTOR} AS DECIMAL(3,2)), 2) AS DOUBLE) AS final_price
 FROM task_lines WHERE user_id IS NOT NULL"""))
-def pipeline_clean(spark, d):
+def tax_known_users(spark, d):
     """read -> tax -> drop null users (the written Parquet/CSV content)."""
     t = with_tax(task_lines(spark, d)).filter(F.col("user_id").isNotNull())
     return _flat_with_tax(t)
@@ -82,10 +82,10 @@ def _flat_with_tax(t):
                     F.col("final_price").cast("double").alias("final_price"))
 
 
-@register("w5_revenue_pipeline", oracle(["task_lines"], """
+@register("w5_store_revenue", oracle(["task_lines"], """
 SELECT region, CAST(SUM(COALESCE(price, 0)) AS DOUBLE) AS revenue
 FROM (SELECT DISTINCT * FROM task_lines) GROUP BY region ORDER BY revenue DESC"""))
-def revenue_pipeline(spark, d):
+def store_revenue(spark, d):
     """dedup -> missing price as 0 -> revenue per store (region) -> order by revenue."""
     t = task_lines(spark, d).dropDuplicates().fillna({"price": 0})
     return (t.groupBy("region").agg(F.sum("price").cast("double").alias("revenue"))

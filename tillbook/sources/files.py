@@ -12,7 +12,7 @@ from tillbook.functions.text import sanitize_name
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
     """(path, file_name, size, modified) for every file; contents are not read.
 
-    Raises when the folder has no matching file (the pipeline must stop before
+    Raises when the folder has no matching file (the job must stop before
     copying, as when the listing step fails)."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
