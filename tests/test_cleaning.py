@@ -71,3 +71,21 @@ def test_empty_period_and_order_batch(spark):
     assert got == {1: (-2, False), 2: (9, True)}
     assert apply_order_batch(products, orders, items, dt.date(1900, 1, 2), dt.date(1900, 1, 2)).count() == 0
     validate_period_args("monthly", dt.date(2025, 1, 1), dt.date(2025, 1, 31))
+
+
+def test_order_batch_publishes_only_when_valid(spark, scratch):
+    import os
+
+    import pytest
+
+    from tillbook.plans.integrity import publish_order_batch
+    from tillbook.sources.snapshots import SnapshotStore
+    store = SnapshotStore(spark, os.path.join(scratch, "lake"))
+    store.publish("products", spark.createDataFrame([(1, 3), (2, 10)], "product_id long, stock_qty int"))
+    orders = spark.createDataFrame([(10, dt.date(2024, 8, 10)), (11, dt.date(2024, 9, 1))], "order_id long, order_date date")
+    items = spark.createDataFrame([(10, 1, 2), (10, 2, 1), (11, 1, 9)], "order_id long, product_id long, quantity int")
+    assert publish_order_batch(store, "products", orders, items, dt.date(2024, 8, 10), dt.date(2024, 8, 12)) == 1
+    assert sorted(tuple(r) for r in store.read("products").collect()) == [(1, 1), (2, 9)]
+    with pytest.raises(ValueError):
+        publish_order_batch(store, "products", orders, items, dt.date(2024, 9, 1), dt.date(2024, 9, 1))
+    assert store.current_version("products") == 1                         # nothing published

@@ -182,3 +182,19 @@ def validate_period_args(report_type: str, start, end) -> None:
     """Report arguments: known type and end not before start (raises ValueError)."""
     from tillbook.plans.shop_analytics import validate_period
     validate_period(report_type, start, end)
+
+
+def publish_order_batch(store, products_table: str, orders, items, batch_from=BATCH_FROM, batch_to=BATCH_TO) -> int:
+    """Validate, then publish: the products table gets a new version with the
+    stock after the batch, or nothing is published when any stock would go
+    negative (the CHECK that made the original transaction roll back)."""
+    products = store.read(products_table)
+    after = apply_order_batch(products, orders, items, batch_from, batch_to)
+    bad = after.filter(~F.col("is_valid")).select("product_id", "stock_after").limit(1).collect()   # at most one row
+    if bad:
+        raise ValueError(f"order batch rejected: product {bad[0].product_id} would have stock {bad[0].stock_after}")
+    updated = (products.join(after.select("product_id", "stock_after"), "product_id", "left")
+               .withColumn("stock_qty", F.coalesce(F.col("stock_after"), F.col("stock_qty").cast("long"))
+                           .cast(products.schema["stock_qty"].dataType))
+               .select(*products.columns))
+    return store.publish(products_table, updated)
