@@ -228,3 +228,15 @@ def test_exact_quantiles_equal_percentile(spark):
         got = {(r.column_name, r.prob): r.value for r in exact_quantiles(df, ["a", "b"], probs, small_distinct=limit).collect()}
         for c in ("a", "b"):
             assert [got[(c, p)] for p in probs] == list(want[c])
+
+
+def test_scale_operators_accept_empty_input(spark):
+    from tillbook.operators.global_window import segmented
+    from tillbook.operators.stats import exact_quantiles
+    empty = spark.createDataFrame([], "c long, k long, v decimal(10,2), name string")
+    assert running(empty, [("k", False)], value="v").count() == 0
+    assert global_ntile(empty, 4, [("k", False)]).count() == 0
+    assert global_rank(empty, "v").count() == 0
+    assert segmented(empty, ["c"], [("k", False)], value="v", lag_cols=("k",)).count() == 0
+    assert pair_counts(empty, "c", "k", "name").count() == 0
+    assert exact_quantiles(empty, ["v"], [0.5], small_distinct=0).count() == 0
