@@ -75,3 +75,13 @@ def test_failfast_rejects_a_bad_row(spark, scratch):
     assert [r.amount for r in ok.orderBy("id").collect()] == [2.5, None]
     with pytest.raises(Exception):
         read_csv(spark, path, "id int, amount double", mode="FAILFAST").collect()
+
+
+def test_partitioned_publish_prunes_folders(spark, scratch):
+    store = SnapshotStore(spark, os.path.join(scratch, "lake"))
+    orders = load(spark, SF, "orders").withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM"))
+    store.publish("orders", orders, partition_by=["order_month"])
+    jan = store.read("orders").filter(F.col("order_month") == "1997-01")
+    plan = jan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan and "1997-01" in plan
+    assert jan.count() == orders.filter(F.col("order_month") == "1997-01").count()

@@ -82,9 +82,10 @@ class SnapshotStore:
                 raise SchemaMismatch(f"{table}: schema differs from version {cur}")
         return cur
 
-    def _stage(self, table: str, df: DataFrame, version: int) -> None:
+    def _stage(self, table: str, df: DataFrame, version: int, partition_by: list[str] | None = None) -> None:
         staging = f"{self.root}/{table}/_staging-{uuid.uuid4().hex}"
-        df.write.parquet(staging)
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+        writer.parquet(staging)
         if not self._fs.rename(self._Path(staging), self._Path(self.path(table, version))):
             raise OSError(f"{table}: could not move version {version} into place")
 
@@ -94,12 +95,15 @@ class SnapshotStore:
         out.close()
         self._expire(table, version)
 
-    def publish(self, table: str, df: DataFrame, allow_schema_change: bool = False) -> int:
+    def publish(self, table: str, df: DataFrame, allow_schema_change: bool = False,
+                partition_by: list[str] | None = None) -> int:
         """Write ``df`` as the next version and make it current. Unless
-        ``allow_schema_change``, a schema different from the current one raises."""
+        ``allow_schema_change``, a schema different from the current one raises.
+        ``partition_by`` lays the files out by those columns (e.g. a month), so
+        readers filtering on them skip whole folders (partition pruning)."""
         self._check_schema(table, df, allow_schema_change)
         nxt = self._claim(table)
-        self._stage(table, df, nxt)
+        self._stage(table, df, nxt, partition_by)
         self._commit(table, nxt)
         return nxt
 
