@@ -197,7 +197,7 @@ def quality_report_q(spark, d):
     return quality_report(shop_customers(spark, d), raw_products(spark, d), raw_orders(spark, d), raw_items(spark, d))
 
 
-# ------------------------------------------------------------------ product listing (Week 1 chain)
+# ------------------------------------------------------------------ product listing chain
 def clean_listing(df: DataFrame) -> DataFrame:
     """fill gaps -> numeric coercion -> dedup -> currency cleanup -> total amount."""
     filled = df.fillna({"discount": 0.0, "seller_name": "Unknown"})

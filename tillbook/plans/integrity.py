@@ -130,7 +130,7 @@ def apply_order_batch_q(spark, d):
     return apply_order_batch(shopa_products(spark, d), shopa_orders(spark, d), shopa_items(spark, d))
 
 
-# ---------------------------------------------------------------- SCD1 upsert (Week 7)
+# ---------------------------------------------------------------- SCD1 upsert
 UPDATE_COLS = ["status", "total_amount"]
 
 
