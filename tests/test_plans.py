@@ -38,3 +38,16 @@ def test_global_windows_stay_in_the_jvm(spark):
     for name in ("w8_ltv_quartiles", "w8_cumulative_share", "w3_rank_customers", "w8_order_gaps"):
         plan = _plan(spark, name)
         assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_sql_over_registered_views_matches_the_dataframe_query(spark):
+    from tillbook.plans.views import register_views
+    register_views(spark, SF)
+    sql = spark.sql("""
+        WITH mr AS (SELECT date_format(o.order_purchase_timestamp, 'yyyy-MM') AS month, SUM(p.payment_value) AS revenue
+                    FROM silver_orders o JOIN silver_order_payments p ON o.order_id = p.order_id GROUP BY 1)
+        SELECT month, CAST(revenue AS DOUBLE) AS revenue,
+               CAST(LAG(revenue) OVER (ORDER BY month) AS DOUBLE) AS prev_month_revenue
+        FROM mr""")
+    df = E.queries()["m_mom_growth"](spark, SF).drop("mom_growth_pct")
+    assert sorted(sql.collect()) == sorted(df.collect())
