@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of DataFrames that are no longer referenced are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
