@@ -89,3 +89,25 @@ def test_order_batch_publishes_only_when_valid(spark, scratch):
     with pytest.raises(ValueError):
         publish_order_batch(store, "products", orders, items, dt.date(2024, 9, 1), dt.date(2024, 9, 1))
     assert store.current_version("products") == 1                         # nothing published
+
+
+def test_order_gaps_single_order_customer_is_normal(spark):
+    from tillbook.plans.shop_analytics import order_gaps_frame
+    orders = spark.createDataFrame(
+        [(1, 10, dt.datetime(2025, 1, 1, 9)), (1, 11, dt.datetime(2025, 3, 1, 8)), (1, 12, dt.datetime(2025, 3, 1, 20)),
+         (2, 20, dt.datetime(2025, 1, 5)), (None, 30, dt.datetime(2025, 1, 6))],
+        "customer_id long, order_id long, order_date timestamp_ntz")
+    out = order_gaps_frame(orders).collect()
+    assert len(out) == 4                                     # the order without a customer is left out
+    c1 = sorted((r for r in out if r.customer_id == 1), key=lambda r: (r.order_date, r.days_gap is not None, r.days_gap))
+    # same-day orders keep order-id order: 10 -> 11 (59 days), 11 -> 12 (0 days)
+    assert [r.days_gap for r in c1] == [None, 0, 59]
+    assert {r.risk_flag for r in c1} == {"Normal"}          # mean gap (59 + 0) / 2 = 29.5
+    only = [r for r in out if r.customer_id == 2]
+    assert only[0].previous_order_date is None and only[0].days_gap is None and only[0].risk_flag == "Normal"
+
+
+def test_previous_period_same_length():
+    from tillbook.plans.shop_analytics import previous_period
+    assert previous_period(dt.date(2025, 1, 1), dt.date(2025, 1, 31)) == (dt.date(2024, 12, 1), dt.date(2024, 12, 31))
+    assert previous_period(dt.date(2025, 3, 10), dt.date(2025, 3, 10)) == (dt.date(2025, 3, 9), dt.date(2025, 3, 9))
