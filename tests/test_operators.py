@@ -72,6 +72,11 @@ def test_pair_counts_equals_self_join(spark):
     for parts in (1, 4, 9):            # the hot order straddles several ranges for parts > 1
         got = {(r.label_a, r.label_b): r.pairs for r in pair_counts(df, "o", "p", "name", num_partitions=parts).collect()}
         assert got == want
+    # tiny chunks (groups cross chunk borders) and the per-row fallback (too many labels)
+    for dense, cells in ((2048, 12), (3, 4_000_000)):
+        got = {(r.label_a, r.label_b): r.pairs for r in
+               pair_counts(df, "o", "p", "name", num_partitions=3, dense_labels=dense, chunk_cells=cells).collect()}
+        assert got == want
 
 
 def test_dedup_by_key_is_deterministic(spark):

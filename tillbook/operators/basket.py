@@ -9,8 +9,12 @@ hot group would blow up one task). Instead:
    partitioned on (group, item), so a hot group is cut into several ranges,
    and checkpointed so the ranges stay fixed;
 2. each range is scanned once in item order keeping a running count per
-   label; item b adds those counts to (label, label_b). A task emits only its
-   partial label x label totals (Arrow-batched ``mapInPandas``);
+   label; item b adds those counts to (label, label_b). Per Arrow batch this
+   is numpy work: group-wise exclusive cumulative sums of the weighted
+   one-hot label matrix, multiplied by that matrix, give the batch's
+   label x label counts in one product (rows are chunked to bound memory; a
+   per-row loop is kept only for ranges with very many distinct labels).
+   A task emits only its partial label x label totals (``mapInPandas``);
 3. pairs whose items fall in different ranges of the same group: every item
    of an earlier range precedes every item of a later one, so their count is
    sum over ranges i of (label counts before i) x (label counts in i). Only
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +38,8 @@ from tillbook.session import ensure_checkpoint_dir
 _RP = "_rp"
 
 
-def pair_counts(df: DataFrame, group: str, item: str, label: str, num_partitions: int | None = None) -> DataFrame:
+def pair_counts(df: DataFrame, group: str, item: str, label: str, num_partitions: int | None = None,
+                dense_labels: int = 2048, chunk_cells: int = 4_000_000) -> DataFrame:
     """Rows (label_a, label_b, pairs): number of (a, b) row pairs in a common
     group with item(a) < item(b), by the labels of a and b."""
     spark = df.sparkSession
@@ -47,20 +53,7 @@ def pair_counts(df: DataFrame, group: str, item: str, label: str, num_partitions
                                T.StructField("pairs", T.LongType())])
 
     def scan(batches):
-        totals: dict[tuple[str, str], int] = defaultdict(int)
-        current = object()
-        seen: dict[str, int] = {}
-        for pdf in batches:
-            for g, lab, m in zip(pdf[group].tolist(), pdf[label].tolist(), pdf["_m"].tolist()):
-                if g != current:
-                    current, seen = g, {}
-                for prev_label, cnt in seen.items():
-                    totals[(prev_label, lab)] += cnt * m
-                seen[lab] = seen.get(lab, 0) + m
-        if totals:
-            keys = list(totals)
-            yield pd.DataFrame({"label_a": [k[0] for k in keys], "label_b": [k[1] for k in keys],
-                                "pairs": [totals[k] for k in keys]})
+        yield from _scan_range(batches, group, label, dense_labels, chunk_cells)
 
     local = ranged.select(group, item, label, "_m").mapInPandas(scan, out_schema)
 
@@ -81,3 +74,71 @@ def pair_counts(df: DataFrame, group: str, item: str, label: str, num_partitions
 
     return (local.unionByName(cross).groupBy("label_a", "label_b")
             .agg(F.sum("pairs").cast("long").alias("pairs")))
+
+
+def _scan_range(batches, group: str, label: str, dense_labels: int, chunk_cells: int):
+    """Pair counts of one range (rows sorted by group, item)."""
+    ids: dict = {}                       # label -> column index (this range only)
+    labels: list = []
+    totals = np.zeros((0, 0), dtype=np.int64)
+    carry_g, carry = None, np.zeros(0, dtype=np.int64)     # running counts of the open group
+    sparse: dict | None = None           # fallback when the range has too many labels
+
+    for pdf in batches:
+        if sparse is not None:
+            carry_g, carry_d = _loop(pdf, group, label, sparse, carry_g, carry_d)
+            continue
+        codes = np.fromiter((ids.setdefault(x, len(ids)) for x in pdf[label].tolist()), dtype=np.int64, count=len(pdf))
+        labels.extend(list(ids)[len(labels):])
+        n_lab = len(ids)
+        if n_lab > dense_labels:         # switch this range to the dictionary loop, keeping what was counted
+            sparse = defaultdict(int)
+            for i, j in zip(*np.nonzero(totals)):
+                sparse[(labels[i], labels[j])] += int(totals[i, j])
+            carry_d = {labels[i]: int(c) for i, c in enumerate(carry) if c}
+            carry_g, carry_d = _loop(pdf, group, label, sparse, carry_g, carry_d)
+            continue
+        if totals.shape[0] < n_lab:
+            totals = np.pad(totals, ((0, n_lab - totals.shape[0]), (0, n_lab - totals.shape[1])))
+            carry = np.pad(carry, (0, n_lab - carry.shape[0]))
+        g_all = pdf[group].to_numpy()
+        m_all = pdf["_m"].to_numpy(dtype=np.int64)
+        step = max(1, chunk_cells // n_lab - 1)
+        for lo in range(0, len(pdf), step):
+            g, m, c = g_all[lo:lo + step], m_all[lo:lo + step], codes[lo:lo + step]
+            k = len(g)
+            h = np.zeros((k + 1, n_lab), dtype=np.int64)
+            h[0] = carry                                     # virtual first row: the open group so far
+            h[np.arange(1, k + 1), c] = m
+            keys = np.empty(k + 1, dtype=object)
+            keys[0] = carry_g
+            keys[1:] = g
+            start = np.ones(k + 1, dtype=bool)
+            start[1:] = keys[1:] != keys[:-1]
+            cum = np.cumsum(h, axis=0)
+            first = np.maximum.accumulate(np.where(start, np.arange(k + 1), 0))   # first row of each row's group
+            base = np.where((first > 0)[:, None], cum[first - 1], 0)
+            before = cum - h - base                          # counts earlier in the same group
+            totals += before[1:].T @ h[1:]
+            carry_g, carry = keys[-1], cum[-1] - base[-1]
+    if sparse is not None:
+        keys_ = list(sparse)
+        if keys_:
+            yield pd.DataFrame({"label_a": [k[0] for k in keys_], "label_b": [k[1] for k in keys_],
+                                "pairs": [sparse[k] for k in keys_]})
+        return
+    rows, cols = np.nonzero(totals)
+    if len(rows):
+        yield pd.DataFrame({"label_a": [labels[i] for i in rows], "label_b": [labels[j] for j in cols],
+                            "pairs": totals[rows, cols]})
+
+
+def _loop(pdf, group, label, totals, current, seen):
+    """Row-by-row form of the scan (used for ranges with very many labels)."""
+    for g, lab, m in zip(pdf[group].tolist(), pdf[label].tolist(), pdf["_m"].tolist()):
+        if g != current:
+            current, seen = g, {}
+        for prev_label, cnt in seen.items():
+            totals[(prev_label, lab)] += cnt * m
+        seen[lab] = seen.get(lab, 0) + m
+    return current, seen
