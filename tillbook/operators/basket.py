@@ -19,8 +19,9 @@ hot group would blow up one task). Instead:
    of an earlier range precedes every item of a later one, so their count is
    sum over ranges i of (label counts before i) x (label counts in i). Only
    groups that straddle a range boundary take part (at most one per boundary,
-   so their set is bounded by the partition count), and the emitted rows are
-   label pairs per range, never item pairs.
+   so their set is bounded by the partition count). The counts before each
+   range come from one running sum over a ranges x labels grid, and the
+   emitted rows are label pairs per range, never item pairs.
 """
 
 from __future__ import annotations
@@ -64,9 +65,17 @@ def pair_counts(df: DataFrame, group: str, item: str, label: str, num_partitions
                   .select(F.col("_gf").alias(group)).distinct())
     counts = (ranged.join(F.broadcast(straddling), group)
               .groupBy(group, _RP, label).agg(F.sum("_m").alias("_c")))
-    ranges = counts.select(group, F.col(_RP).alias("_i")).distinct()
-    before = (counts.join(ranges, group).filter(F.col(_RP) < F.col("_i"))
-              .groupBy(group, "_i", label).agg(F.sum("_c").alias("_p")))
+    # label counts in all earlier ranges of the group, for every (range, label)
+    # of that group: a grid of ranges x labels and one running sum per
+    # (group, label) -- linear in the grid, no range-by-range self join
+    ranges = counts.select(group, _RP).distinct()
+    labels = counts.select(group, label).distinct()
+    grid = ranges.join(labels, group).select(group, _RP, label, F.lit(0).cast("long").alias("_c"), F.lit(0).alias("_k"))
+    stream = counts.select(group, _RP, label, F.col("_c").cast("long").alias("_c"), F.lit(1).alias("_k"))
+    prior = Window.partitionBy(group, label).orderBy(_RP, "_k").rowsBetween(Window.unboundedPreceding, 0)
+    before = (grid.unionByName(stream).withColumn("_p", F.sum("_c").over(prior))
+              .filter((F.col("_k") == 0) & (F.col("_p") > 0))           # grid rows: counts of ranges < this one
+              .select(group, F.col(_RP).alias("_i"), label, "_p"))
     later = counts.select(group, F.col(_RP).alias("_i"), F.col(label).alias("_lb"), "_c")
     cross = (before.join(later, [group, "_i"])
              .select(F.col(label).alias("label_a"), F.col("_lb").alias("label_b"),
