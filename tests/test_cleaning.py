@@ -111,3 +111,14 @@ def test_previous_period_same_length():
     from tillbook.plans.shop_analytics import previous_period
     assert previous_period(dt.date(2025, 1, 1), dt.date(2025, 1, 31)) == (dt.date(2024, 12, 1), dt.date(2024, 12, 31))
     assert previous_period(dt.date(2025, 3, 10), dt.date(2025, 3, 10)) == (dt.date(2025, 3, 9), dt.date(2025, 3, 9))
+
+
+def test_period_arguments_are_checked():
+    import pytest
+
+    from tillbook.plans.shop_analytics import validate_period
+    validate_period("weekly", dt.date(2025, 1, 1), dt.date(2025, 1, 1))
+    with pytest.raises(ValueError):
+        validate_period("yearly", dt.date(2025, 1, 1), dt.date(2025, 1, 31))
+    with pytest.raises(ValueError):
+        validate_period("daily", dt.date(2025, 2, 1), dt.date(2025, 1, 31))

@@ -85,3 +85,15 @@ def test_partitioned_publish_prunes_folders(spark, scratch):
     plan = jan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_month" in plan and "1997-01" in plan
     assert jan.count() == orders.filter(F.col("order_month") == "1997-01").count()
+
+
+def test_listing_skips_empty_and_requires_files(spark, scratch):
+    folder = os.path.join(scratch, "drop")
+    os.makedirs(folder)
+    open(os.path.join(folder, "empty.csv"), "w").close()
+    with open(os.path.join(folder, "full.csv"), "w") as f:
+        f.write("a\n1\n")
+    got = [r.file_name for r in list_files(spark, folder, "*.csv", require=True).collect()]
+    assert got == ["full.csv"]                                   # the empty file is rejected
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, folder, "*.json", require=True)

@@ -9,17 +9,22 @@ from pyspark.sql import types as T
 from tillbook.functions.text import sanitize_name
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False,
+               require: bool = False) -> DataFrame:
     """(path, file_name, size, modified) for every file; contents are not read.
 
-    Raises when the folder has no matching file (the job must stop before
-    copying, as when the listing step fails)."""
+    With ``require``, a folder without any matching file raises (the job must
+    stop before copying, as when the listing step fails). Zero-length files
+    are skipped by Spark's file scan, so they are never listed and never copied."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     df = reader.load(folder).select("path", "length", "modificationTime")
-    return df.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                     F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    out = df.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                    F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    if require and not out.take(1):
+        raise FileNotFoundError(f"no {pattern} files in {folder}")
+    return out
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, *, header: bool = True,
@@ -60,9 +65,7 @@ def copy_quote_all(spark: SparkSession, source_folder: str, target_folder: str,
 
     Each row keeps its source file name from the scan metadata; the writer
     partitions by the output name, so every source file gets its own folder."""
-    files = list_files(spark, source_folder, pattern)
-    if not files.take(1):
-        raise FileNotFoundError(f"no {pattern} files in {source_folder}")
+    list_files(spark, source_folder, pattern, require=True)
     rows = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
             .option("multiLine", True).option("pathGlobFilter", pattern).csv(source_folder)
             .withColumn("_out", F.concat(F.lit(prefix), F.col("_metadata.file_name"))))
