@@ -6,6 +6,8 @@ loader never selects or filters on its own.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -16,7 +18,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_LOADED: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a lazy DataFrame. The relation (file listing and Parquet
+    footer schema) is resolved once per session and path and then reused:
+    a DataFrame is an immutable plan, so every query can start from it."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    per_session = _LOADED.setdefault(spark, {})
+    df = per_session.get(path)
+    if df is None:
+        df = per_session[path] = spark.read.parquet(path)
+    return df
