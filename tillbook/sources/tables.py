@@ -28,6 +28,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     path = table_path(sf_dir, name)
+    if spark.sparkContext._jsc is None:          # a stopped session: nothing cached may be reused
+        _LOADED.pop(spark, None)
+        return spark.read.parquet(path)
     per_session = _LOADED.setdefault(spark, {})
     df = per_session.get(path)
     if df is None:
