@@ -17,3 +17,16 @@ def test_incremental_ingest_takes_each_file_once(spark, scratch):
     nation.filter("n_nationkey >= 10").write.parquet(os.path.join(src, "batch2"))
     run_bronze_ingest(spark, src, dst, nation.schema, recursiveFileLookup="true")
     assert spark.read.parquet(dst).count() == 25                 # only the new files were added
+
+
+def test_incremental_csv_ingest_with_quotes_and_line_breaks(spark, scratch):
+    src, dst = os.path.join(scratch, "landing_csv"), os.path.join(scratch, "bronze_csv")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write('id,name\n1,"5 1/2"" card"\n2,"two\nlines"\n')
+    schema = "id int, name string"
+    from pyspark.sql import types as T
+    struct = T._parse_datatype_string(schema)
+    run_bronze_ingest(spark, src, dst, struct, fmt="csv")
+    rows = sorted((r.id, r.name, r._source_file) for r in spark.read.parquet(dst).collect())
+    assert rows == [(1, '5 1/2" card', "a.csv"), (2, "two\nlines", "a.csv")]
