@@ -40,7 +40,7 @@ _RP = "_rp"
 
 
 def pair_counts(df: DataFrame, group: str, item: str, label: str, num_partitions: int | None = None,
-                dense_labels: int = 2048, chunk_cells: int = 4_000_000) -> DataFrame:
+                dense_labels: int = 2048, chunk_cells: int = 1_000_000) -> DataFrame:
     """Rows (label_a, label_b, pairs): number of (a, b) row pairs in a common
     group with item(a) < item(b), by the labels of a and b."""
     spark = df.sparkSession
