@@ -28,3 +28,15 @@ def test_two_lake_runs_keep_dimension_history(spark, scratch):
     assert inv.keys_with_many_current == 0 and inv.inverted_intervals == 0
     assert store.read("gold_sales_by_category").count() > 0
     assert set(store.read("bronze_customers").columns) >= {"_ingestion_timestamp", "_source_file"}
+
+
+def test_bronze_from_landed_csv(spark, scratch):
+    from tillbook.plans.lake import export_landing_csv
+    landing, root = os.path.join(scratch, "landing"), os.path.join(scratch, "lake")
+    export_landing_csv(spark, SF, landing)
+    versions, drift = run_lake(spark, SF, root, dt.datetime(2024, 1, 1), landing_dir=landing)
+    store = SnapshotStore(spark, root)
+    bronze = store.read("bronze_customers")
+    assert bronze.count() == M.mk_customers(spark, SF).count()
+    assert bronze.filter(F.col("_source_file").endswith(".csv")).count() == bronze.count()
+    assert {r.change for r in drift.collect()} == {"baseline"}

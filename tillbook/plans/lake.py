@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillbook.operators.drift import check_and_record
 from tillbook.operators.scd import scd2_init, scd2_merge
 from tillbook.plans import medallion as M
+from tillbook.sources.files import read_csv
 from tillbook.sources.snapshots import SnapshotStore
 
 SILVER = {"customers": M.silver_customers, "sellers": M.silver_sellers, "orders": M.silver_orders,
@@ -24,15 +25,29 @@ GOLD = {"sales_by_category": M.gold_category, "revenue_by_state": M.gold_state,
         "seller_performance": M.gold_seller, "customer_rfm": M.gold_rfm}
 
 
-def run_lake(spark: SparkSession, sf_dir: str, root: str, batch_ts, customers: DataFrame | None = None
-             ) -> tuple[dict[str, int], DataFrame]:
+def export_landing_csv(spark: SparkSession, sf_dir: str, landing_dir: str) -> None:
+    """Write every raw marketplace table as CSV files under ``landing_dir/<table>/``
+    (the shape in which the raw extracts arrive)."""
+    for name, view in M._MK_RAW.items():
+        view(spark, sf_dir).write.mode("overwrite").option("header", True).csv(f"{landing_dir}/{name}")
+
+
+def run_lake(spark: SparkSession, sf_dir: str, root: str, batch_ts, customers: DataFrame | None = None,
+             landing_dir: str | None = None) -> tuple[dict[str, int], DataFrame]:
     """Publish every layer under ``root``; returns (published versions, drift rows).
-    ``customers`` overrides this run's customer batch (for example a later extract)."""
+    ``customers`` overrides this run's customer batch (for example a later extract).
+    With ``landing_dir`` the bronze layer ingests the landed CSV files instead of
+    the warehouse views (types inferred, source file from the scan metadata)."""
     store = SnapshotStore(spark, root)
     versions: dict[str, int] = {}
     for name, view in M._MK_RAW.items():
+        if landing_dir:
+            raw = read_csv(spark, f"{landing_dir}/{name}", infer=True)
+            src = None                                     # per-row file name from the scan
+        else:
+            raw, src = view(spark, sf_dir), name
         versions[f"bronze_{name}"] = store.publish(
-            f"bronze_{name}", M.bronze(view(spark, sf_dir), ingested_at=batch_ts, source_file=name),
+            f"bronze_{name}", M.bronze(raw, ingested_at=batch_ts, source_file=src),
             allow_schema_change=True)                      # bronze accepts schema evolution
     for name, fn in SILVER.items():
         versions[f"silver_{name}"] = store.publish(f"silver_{name}", fn(spark, sf_dir), allow_schema_change=True)
