@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tillbook.plans import catalog
 from tillbook.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -18,8 +19,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql_or_is_listed():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_SQL
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == NO_SQL
     assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(catalog.queries()) <= set(E.queries())
 
 
 def _norm(v):
@@ -45,11 +47,11 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = catalog.queries()[name](spark, SF)
     got = df.collect()
-    sql = E.oracle_sql().get(name)
+    sql = catalog.oracle_sql().get(name)
     if sql is None:
         assert len(got) > 0
         return
