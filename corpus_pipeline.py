@@ -1,12 +1,60 @@
-"""A corpus pipeline of the operators in ``tillbook.llm``."""
+"""A corpus pipeline of the operators in ``tillbook.llm``.
+
+Each stage takes what its predecessor kept, as (spark, docs, sf_dir), and
+returns the documents that stay, with their columns; the last one returns the
+packed pieces instead. A stage works on any table with the columns of
+``documents``; rows with a null ``doc_id`` pass the filters like others, but
+SimHash keeps them all, as they can't be told apart.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillbook.llm.contain import decontaminate
+from tillbook.llm.langid import held_out, identify, learn
+from tillbook.llm.line_dedup import dedup_lines
+from tillbook.llm.packing import pack_documents
+from tillbook.llm.simhash import simhash_components
 from tillbook.sources.tables import load
 
-STAGES = []
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the classifier, learned from their labels, does not reject."""
+    model = learn(docs, ~held_out(F.col("doc_id")))
+    return identify(docs, model).where(~F.col("rejected")).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that others share; ``n_chars`` is counted anew."""
+    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each SimHash group."""
+    groups = simhash_components(docs, words=3, radius=2)
+    kept = (groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct())
+    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__kept"))
+    return named.select(*docs.columns).dropDuplicates(["doc_id"]).unionAll(docs.where("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the table ``benchmark``."""
+    return decontaminate(docs, load(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every document's pieces in sequences of 2048 tokens."""
+    return pack_documents(docs, capacity=2048, tokenizer="byte_bpe_50k")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("simhash", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 #: Fingerprints, tokenizers and trained models are beyond SQL.
 ORACLE_SQL = None

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillbook.llm.contain import contained_items
+from tillbook.llm.langid import held_out, identify, learn
 from tillbook.llm.line_dedup import dedup_lines
+from tillbook.llm.packing import pack_documents
 from tillbook.llm.secret_scan import RULES, scan_secrets
 from tillbook.llm.simhash import simhash_components
 from tillbook.sources.tables import load
@@ -14,6 +17,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(load(spark, sf_dir, "documents"), "doc_id", "text", words=3, radius=2)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(load(spark, sf_dir, "documents"), capacity=2048, tokenizer="byte_bpe_50k")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(load(spark, sf_dir, "documents"))
     named = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -27,6 +38,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = learn(docs, ~held_out(F.col("doc_id")))
+    return (identify(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected"))
+
+
 _KINDS = "['assign', 'access', 'hex', 'github', 'slack', 'google', 'stripe', 'jwt', 'pem']"
 
 
@@ -72,9 +90,29 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+_OP6_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT 'b', item_id, text FROM benchmark WHERE text IS NOT NULL),
+words AS (
+  SELECT side, id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[!-/:-@\[-`{-~]', ' ', 'g'), '[\x09-\x0D\x20]+'),
+                               lambda w: w <> '') AS w FROM texts),
+shingles AS (
+  SELECT DISTINCT side, id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: w[i:i + 4])) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT id AS item_id, count(*) AS n_item FROM shingles WHERE side = 'b' GROUP BY id),
+overlap AS (
+  SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared
+  FROM shingles d JOIN shingles b ON d.s = b.s WHERE d.side = 'd' AND b.side = 'b' GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n_item FROM overlap JOIN sizes USING (item_id) WHERE n_shared >= 0.8 * n_item
+"""
+
 #: name -> (query, SQL that gives the same rows, or None where SQL can't express it)
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
+    "op6_decontamination": (op6_decontamination, _OP6_SQL),
+    "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_secret_scan": (op8_secret_scan, _OP8_SQL),
     "op9_line_dedup": (op9_line_dedup, _OP9_SQL),
+    "op10_language_id": (op10_language_id, None),
 }
