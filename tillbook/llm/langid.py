@@ -4,7 +4,7 @@ A text is a TF-IDF vector of hashed byte pairs and triples of its lower-cased
 letters. For each language, a bounded sample of labelled documents is clustered
 by cosine into a few centroids; a text gets the language of its nearest
 centroid, and is rejected if it is farther from it than any document that the
-centroid was learned from, by a margin.
+centroid was learned from, by a margin, unless it is only a few words long.
 """
 
 from __future__ import annotations
@@ -26,7 +26,9 @@ CENTROIDS = 4
 #: Documents that a language is learned from at most; they are those with the lowest hashes of their keys.
 SAMPLE = 1000
 #: A text is rejected under this share of the lowest cosine seen in learning.
-REJECT = 0.2
+REJECT = 0.3
+#: Texts of fewer different terms are near to nothing, so their distance says nothing and they are kept.
+FEW_TERMS = 64
 #: Bytes that the centroids of all languages may take.
 MODEL_BYTES = 256 << 20
 
@@ -75,7 +77,7 @@ class Model:
         cosine = weighted(counts, self.idf[at]) @ self.centroids[at]
         best = int(cosine.argmax())
         score = min(1.0, max(0.0, float(cosine[best])))
-        return self.languages[best], score, score < REJECT * self.lowest[best]
+        return self.languages[best], score, len(at) >= FEW_TERMS and score < REJECT * self.lowest[best]
 
 
 def clusters(rows: np.ndarray, count: int, turns: int = 10) -> tuple[np.ndarray, np.ndarray]:

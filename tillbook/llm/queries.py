@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillbook.llm.chat_repair import repair_conversations
 from tillbook.llm.contain import contained_items
 from tillbook.llm.langid import held_out, identify, learn
 from tillbook.llm.line_dedup import dedup_lines
+from tillbook.llm.lm_score import score_documents
 from tillbook.llm.packing import pack_documents
+from tillbook.llm.pstable import near_vectors
 from tillbook.llm.secret_scan import RULES, scan_secrets
 from tillbook.llm.simhash import simhash_components
+from tillbook.llm.url_templates import filter_urls, filter_urls_sql
 from tillbook.sources.tables import load
 
 
@@ -17,6 +21,24 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(load(spark, sf_dir, "documents"), "doc_id", "text", words=3, radius=2)
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = load(spark, sf_dir, "labels")
+    good = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0)).select("doc_id")
+    return score_documents(load(spark, sf_dir, "documents"), good)
+
+
+def op3_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(load(spark, sf_dir, "conversations"))
+
+
+def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(load(spark, sf_dir, "pages"))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(load(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", similarity=0.98)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
@@ -90,6 +112,23 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+_OP5_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(x, y) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+low AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+counts AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM low LEFT JOIN counts USING (vec_id)
+"""
+
 _OP6_SQL = r"""
 WITH texts AS (
   SELECT 'd' AS side, doc_id AS id, text FROM documents WHERE text IS NOT NULL
@@ -110,6 +149,10 @@ SELECT doc_id, item_id, n_shared, n_item FROM overlap JOIN sizes USING (item_id)
 #: name -> (query, SQL that gives the same rows, or None where SQL can't express it)
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
+    "op2_lm_score": (op2_lm_score, None),
+    "op3_chat_repair": (op3_chat_repair, None),
+    "op4_url_templates": (op4_url_templates, filter_urls_sql()),
+    "op5_embedding_dedup": (op5_embedding_dedup, _OP5_SQL),
     "op6_decontamination": (op6_decontamination, _OP6_SQL),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_secret_scan": (op8_secret_scan, _OP8_SQL),
