@@ -35,7 +35,7 @@ def test_task6_tax_and_null_users(spark, scratch):
     path = os.path.join(scratch, "source.csv")
     with open(path, "w") as f:
         f.write(TASK6_CSV)
-    df = read_csv(spark, path, infer=True)
+    df = read_csv(spark, path, infer=True, multiline=True)
     out = with_tax(df).filter(F.col("user_id").isNotNull())
     got = sorted((r.product_id, float(r.final_price)) for r in out.collect())
     assert got == TASK6_EXPECTED
@@ -53,8 +53,8 @@ def test_task6_tax_and_null_users(spark, scratch):
 @pytest.mark.skipif(not PRODUCTS_DIR or not os.path.exists(PRODUCTS_DIR), reason="product golden folder not given")
 def test_products_clean_golden(spark):
     schema = "product_id int, product_name string, category string, subcategory string, cost_price decimal(10,2)"
-    raw = read_csv(spark, f"{PRODUCTS_DIR}/raw/products.csv", schema)
-    want = read_csv(spark, f"{PRODUCTS_DIR}/cleaned/products_clean.csv", schema)
+    raw = read_csv(spark, f"{PRODUCTS_DIR}/raw/products.csv", schema, multiline=True)
+    want = read_csv(spark, f"{PRODUCTS_DIR}/cleaned/products_clean.csv", schema, multiline=True)
     got = clean_products(raw)
     diff = (got.select("product_id", "product_name").exceptAll(want.select("product_id", "product_name")))
     assert diff.count() == 0

@@ -69,16 +69,25 @@ def test_pair_counts_equals_self_join(spark):
     want = (a.join(b, (F.col("a.o") == F.col("b.o")) & (F.col("a.p") < F.col("b.p")))
             .groupBy(F.col("a.name").alias("x"), F.col("b.name").alias("y")).count())
     want = {(r.x, r.y): r["count"] for r in want.collect()}
-    for parts in (1, 4, 9):            # the hot order straddles several ranges for parts > 1
-        got = {(r.label_a, r.label_b): r.pairs for r in pair_counts(df, "o", "p", "name", num_partitions=parts).collect()}
-        assert got == want
-    # tiny chunks (groups cross chunk borders) and the per-row fallback (too many labels)
-    for dense, cells in ((2048, 12), (3, 4_000_000)):
-        got = {(r.label_a, r.label_b): r.pairs for r in
-               pair_counts(df, "o", "p", "name", num_partitions=3, dense_labels=dense, chunk_cells=cells).collect()}
+    # one block to a group; large groups cut into blocks, with a buffer that is flushed often
+    for block, buffer in ((10_000, 200_000), (7, 3), (1, 1)):
+        got = {(r.label_a, r.label_b): r.pairs for r in pair_counts(df, "o", "p", "name", block, buffer).collect()}
         assert got == want
 
 
+def test_pair_counts_of_a_hot_order_with_many_labels(spark):
+    n = 5_000
+    rows = spark.range(n).selectExpr("1L as o", "id as p", "concat('name', id) as name")
+    few = spark.createDataFrame([(2, 1, "name1"), (2, 2, "name2"), (None, 1, "x"), (None, 2, "y"), (3, None, "x"), (3, 5, None),
+                                 (3, 6, "z"), (3, 6, "other")], "o long, p long, name string")
+    got = pair_counts(rows.filter("p < 300").unionByName(few), "o", "p", "name", block=100)
+    assert got.agg(F.sum("pairs"), F.count("*")).first()[:] == (300 * 299 // 2 + 1 + 2, 300 * 299 // 2 + 2)
+    assert got.filter("label_a = 'name1' and label_b = 'name2'").first().pairs == 2
+    by_tens = rows.select("o", "p", F.concat(F.lit("n"), F.col("p") % 10).alias("name"))
+    assert pair_counts(by_tens, "o", "p", "name", block=700).agg(F.sum("pairs")).first()[0] == n * (n - 1) // 2
+    assert pair_counts(rows, "o", "p", "name", block=1000, buffer=1000).filter("label_a = 'name0'").count() == n - 1
+
+
 def test_dedup_by_key_is_deterministic(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, "z", 1), (1, "a", 3)], "k int, s string, n int")
     assert sorted(dedup_by_key(df, "k").collect()) == [(1, "a", 3), (2, "z", 1)]
@@ -161,7 +170,7 @@ def test_defaults_only_for_absent_columns(spark):
 
 def test_describe_matches_pandas(spark):
     import pandas as pd
-    vals = [1.5, 2.0, 2.0, 7.25, 10.0, 3.5]
+    vals = [1.5, 2.0, 2.0, 7.255, 10.001, 3.5]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = describe_exact(df, ["x"]).collect()[0]
     want = pd.Series(vals).describe()
@@ -204,10 +213,9 @@ def test_exact_medians(spark):
     rnd = random.Random(5)
     rows = [(rnd.choice([None, 3, 3, 3, rnd.randint(0, 50)]), float(rnd.randint(0, 9)) if i % 2 else None) for i in range(301)]
     df = spark.createDataFrame(rows, "a int, b double")
-    for limit in (0, 10_000):          # range machinery, then the small-distinct path
-        got = {r.column_name: r.median for r in exact_medians(df, ["a", "b"], small_distinct=limit).collect()}
-        assert got["a"] == statistics.median([r[0] for r in rows if r[0] is not None])
-        assert got["b"] == statistics.median([r[1] for r in rows if r[1] is not None])
+    got = {r.column_name: r.median for r in exact_medians(df, ["a", "b"]).collect()}
+    assert got["a"] == statistics.median([r[0] for r in rows if r[0] is not None])
+    assert got["b"] == statistics.median([r[1] for r in rows if r[1] is not None])
 
 
 def test_drift_first_run_then_changes(spark, scratch):
@@ -229,10 +237,9 @@ def test_exact_quantiles_equal_percentile(spark):
     df = spark.createDataFrame(rows, "a double, b double")
     probs = [0.25, 0.5, 0.75, 0.9]
     want = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in ("a", "b")]).collect()[0]
-    for limit in (0, 10_000):
-        got = {(r.column_name, r.prob): r.value for r in exact_quantiles(df, ["a", "b"], probs, small_distinct=limit).collect()}
-        for c in ("a", "b"):
-            assert [got[(c, p)] for p in probs] == list(want[c])
+    got = {(r.column_name, r.prob): r.value for r in exact_quantiles(df, ["a", "b"], probs).collect()}
+    for c in ("a", "b"):
+        assert [got[(c, p)] for p in probs] == list(want[c])
 
 
 def test_scale_operators_accept_empty_input(spark):
@@ -244,4 +251,4 @@ def test_scale_operators_accept_empty_input(spark):
     assert global_rank(empty, "v").count() == 0
     assert segmented(empty, ["c"], [("k", False)], value="v", lag_cols=("k",)).count() == 0
     assert pair_counts(empty, "c", "k", "name").count() == 0
-    assert exact_quantiles(empty, ["v"], [0.5], small_distinct=0).count() == 0
+    assert exact_quantiles(empty, ["v"], [0.5]).count() == 0

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_snapshot_versions(spark, scratch):
-    store = SnapshotStore(spark, os.path.join(scratch, "lake"), keep=2)
+    store = SnapshotStore(spark, os.path.join(scratch, "lake"))
     nation = load(spark, SF, "nation")
     assert store.publish("nation", nation) == 0
     # read version 0 while publishing version 1 from it (overwrite-in-place would fail)
@@ -22,7 +22,10 @@ def test_snapshot_versions(spark, scratch):
     with pytest.raises(SchemaMismatch):
         store.publish("nation", nation.drop("n_name"))
     assert store.publish("nation", nation.drop("n_name"), allow_schema_change=True) == 2
-    assert not os.path.exists(os.path.join(scratch, "lake", "nation", "v=0"))     # old versions expire
+    assert os.path.exists(os.path.join(scratch, "lake", "nation", "v=0"))         # no version goes unasked
+    store.expire("nation", keep=2)
+    assert store.committed_versions("nation") == [1, 2] and store.read("nation").count() == 25
+    assert not os.path.exists(os.path.join(scratch, "lake", "nation", "v=0"))
     got = store.publish_many({"a": nation, "b": nation})
     assert got == {"a": 0, "b": 0} and store.exists("a") and store.exists("b")
     # a writer that lost the race for a version fails instead of overwriting it
@@ -45,7 +48,7 @@ def test_csv_quotes_and_line_breaks(spark, scratch):
     path = os.path.join(scratch, "q.csv")
     with open(path, "w") as f:
         f.write('id,Product Name,Sub-Category,sales\n1,"5 1/2"" X 4"" card",Paper,3.5\n2,"two\nlines",Art,""\n')
-    df = sanitize_columns(read_csv(spark, path, infer=True))
+    df = sanitize_columns(read_csv(spark, path, infer=True, multiline=True))
     assert df.columns == ["id", "Product_Name", "Sub_Category", "sales"]
     rows = df.orderBy("id").collect()
     assert rows[0].Product_Name == '5 1/2" X 4" card' and rows[1].Product_Name == "two\nlines"
@@ -97,3 +100,14 @@ def test_listing_skips_empty_and_requires_files(spark, scratch):
     assert got == ["full.csv"]                                   # the empty file is rejected
     with pytest.raises(FileNotFoundError):
         list_files(spark, folder, "*.json", require=True)
+
+
+def test_copy_keeps_each_files_own_columns(spark, scratch):
+    folder = os.path.join(scratch, "mixed")
+    os.makedirs(folder)
+    for name, text in {"x.csv": "a,b\n1,2\n", "y.csv": "b,a,c\n10,20,30\n", "z.csv": 'a,b\n3,"4 ""q"""\n'}.items():
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(text)
+    out = copy_quote_all(spark, folder, os.path.join(scratch, "copied"))
+    got = {r.path.split("_out=output_")[1].split("/")[0]: open(r.path.replace("file:", "")).read() for r in out.collect()}
+    assert got == {"x.csv": '"a","b"\n"1","2"\n', "y.csv": '"b","a","c"\n"10","20","30"\n', "z.csv": '"a","b"\n"3","4 ""q"""\n'}

@@ -27,6 +27,20 @@ def test_incremental_csv_ingest_with_quotes_and_line_breaks(spark, scratch):
     schema = "id int, name string"
     from pyspark.sql import types as T
     struct = T._parse_datatype_string(schema)
-    run_bronze_ingest(spark, src, dst, struct, fmt="csv")
+    run_bronze_ingest(spark, src, dst, struct, fmt="csv", multiline=True)
     rows = sorted((r.id, r.name, r._source_file) for r in spark.read.parquet(dst).collect())
     assert rows == [(1, '5 1/2" card', "a.csv"), (2, "two\nlines", "a.csv")]
+
+
+def test_a_new_application_goes_on_where_the_last_one_ended(spark, scratch):
+    src, one, two = (os.path.join(scratch, *p) for p in (("drop",), ("a", "bronze"), ("b", "bronze")))
+    nation = load(spark, SF, "nation")
+    for n, part in enumerate(("n_nationkey < 10", "n_nationkey >= 10")):
+        # every application has its own checkpoint folder
+        spark.sparkContext.setCheckpointDir(os.path.join(scratch, f"application{n}"))
+        nation.filter(part).write.parquet(os.path.join(src, f"batch{n}"))
+        for target in (one, two):                                # two targets of the same last name
+            run_bronze_ingest(spark, src, target, nation.schema, recursiveFileLookup="true")
+    for target in (one, two):
+        keys = [r.n_nationkey for r in spark.read.parquet(target).collect()]
+        assert sorted(keys) == list(range(25))

@@ -1,153 +1,83 @@
-"""Co-occurrence counts ("bought together") without materialising pairs.
-
-For every group (order) and every ordered pair of items a < b in it, count
-one per (label_a, label_b), weighted by how many rows each item has in the
-group. A self join would emit every pair of a group (quadratic rows, and a
-hot group would blow up one task). Instead:
-
-1. rows (one per group, item, label with its multiplicity) are range-
-   partitioned on (group, item), so a hot group is cut into several ranges,
-   and checkpointed so the ranges stay fixed;
-2. each range is scanned once in item order keeping a running count per
-   label; item b adds those counts to (label, label_b). Per Arrow batch this
-   is numpy work: group-wise exclusive cumulative sums of the weighted
-   one-hot label matrix, multiplied by that matrix, give the batch's
-   label x label counts in one product (rows are chunked to bound memory; a
-   per-row loop is kept only for ranges with very many distinct labels).
-   A task emits only its partial label x label totals (``mapInPandas``);
-3. pairs whose items fall in different ranges of the same group: every item
-   of an earlier range precedes every item of a later one, so their count is
-   sum over ranges i of (label counts before i) x (label counts in i). Only
-   groups that straddle a range boundary take part (at most one per boundary,
-   so their set is bounded by the partition count). The counts before each
-   range come from one running sum over a ranges x labels grid, and the
-   emitted rows are label pairs per range, never item pairs.
+"""Co-occurrence counts ("bought together") without a row per pair.
+
+For every group (order) and every two of its items a < b, one is counted for
+(label of a, label of b), times the rows that each item has in the group:
+
+1. equal (group, item, label) rows are combined;
+2. a group's rows meet once, in item order: item b adds the counts of the labels
+   seen before it, so the work follows the labels that the group has. A task
+   keeps the label counts of one group and a buffer of label pairs, which goes
+   downstream as partial sums whenever it is full;
+3. a group with more than ``block`` items is cut into blocks by a hash of the
+   item, and each pair of blocks is a group of its own for step 2, in which only
+   items of different blocks (or, for a block by itself, of that block) are
+   counted. So the items of a huge group are spread over many tasks, and no
+   count is lost;
+4. one aggregate adds the partial sums.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tillbook.session import ensure_checkpoint_dir
+BLOCK = 10_000
+BUFFER = 200_000
 
-_RP = "_rp"
 
-
-def pair_counts(df: DataFrame, group: str, item: str, label: str, num_partitions: int | None = None,
-                dense_labels: int = 2048, chunk_cells: int = 1_000_000) -> DataFrame:
+def pair_counts(df: DataFrame, group: str, item: str, label: str, block: int = BLOCK, buffer: int = BUFFER) -> DataFrame:
     """Rows (label_a, label_b, pairs): number of (a, b) row pairs in a common
-    group with item(a) < item(b), by the labels of a and b."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    p = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    weighted = df.groupBy(group, item, label).agg(F.count(F.lit(1)).alias("_m"))
-    ranged = (weighted.repartitionByRange(p, group, item).sortWithinPartitions(group, item)
-              .withColumn(_RP, F.spark_partition_id())).checkpoint(eager=True)
-
-    out_schema = T.StructType([T.StructField("label_a", T.StringType()), T.StructField("label_b", T.StringType()),
-                               T.StructField("pairs", T.LongType())])
-
-    def scan(batches):
-        yield from _scan_range(batches, group, label, dense_labels, chunk_cells)
-
-    local = ranged.select(group, item, label, "_m").mapInPandas(scan, out_schema)
-
-    # groups that continue from the previous range (P-row computation)
-    ends = ranged.groupBy(_RP).agg(F.min(group).alias("_gf"), F.max(group).alias("_gl"))
-    prev_last = F.lag("_gl").over(Window.orderBy(_RP))
-    straddling = (ends.withColumn("_pl", prev_last).filter(F.col("_pl") == F.col("_gf"))
-                  .select(F.col("_gf").alias(group)).distinct())
-    counts = (ranged.join(F.broadcast(straddling), group)
-              .groupBy(group, _RP, label).agg(F.sum("_m").alias("_c")))
-    # label counts in all earlier ranges of the group, for every (range, label)
-    # of that group: a grid of ranges x labels and one running sum per
-    # (group, label) -- linear in the grid, no range-by-range self join
-    ranges = counts.select(group, _RP).distinct()
-    labels = counts.select(group, label).distinct()
-    grid = ranges.join(labels, group).select(group, _RP, label, F.lit(0).cast("long").alias("_c"), F.lit(0).alias("_k"))
-    stream = counts.select(group, _RP, label, F.col("_c").cast("long").alias("_c"), F.lit(1).alias("_k"))
-    prior = Window.partitionBy(group, label).orderBy(_RP, "_k").rowsBetween(Window.unboundedPreceding, 0)
-    before = (grid.unionByName(stream).withColumn("_p", F.sum("_c").over(prior))
-              .filter((F.col("_k") == 0) & (F.col("_p") > 0))           # grid rows: counts of ranges < this one
-              .select(group, F.col(_RP).alias("_i"), label, "_p"))
-    later = counts.select(group, F.col(_RP).alias("_i"), F.col(label).alias("_lb"), "_c")
-    cross = (before.join(later, [group, "_i"])
-             .select(F.col(label).alias("label_a"), F.col("_lb").alias("label_b"),
-                     (F.col("_p") * F.col("_c")).cast("long").alias("pairs")))
-
-    return (local.unionByName(cross).groupBy("label_a", "label_b")
-            .agg(F.sum("pairs").cast("long").alias("pairs")))
-
-
-def _scan_range(batches, group: str, label: str, dense_labels: int, chunk_cells: int):
-    """Pair counts of one range (rows sorted by group, item)."""
-    ids: dict = {}                       # label -> column index (this range only)
-    labels: list = []
-    totals = np.zeros((0, 0), dtype=np.int64)
-    carry_g, carry = None, np.zeros(0, dtype=np.int64)     # running counts of the open group
-    sparse: dict | None = None           # fallback when the range has too many labels
-
-    for pdf in batches:
-        if sparse is not None:
-            carry_g, carry_d = _loop(pdf, group, label, sparse, carry_g, carry_d)
-            continue
-        codes = np.fromiter((ids.setdefault(x, len(ids)) for x in pdf[label].tolist()), dtype=np.int64, count=len(pdf))
-        labels.extend(list(ids)[len(labels):])
-        n_lab = len(ids)
-        if n_lab > dense_labels:         # switch this range to the dictionary loop, keeping what was counted
-            sparse = defaultdict(int)
-            for i, j in zip(*np.nonzero(totals)):
-                sparse[(labels[i], labels[j])] += int(totals[i, j])
-            carry_d = {labels[i]: int(c) for i, c in enumerate(carry) if c}
-            carry_g, carry_d = _loop(pdf, group, label, sparse, carry_g, carry_d)
-            continue
-        if totals.shape[0] < n_lab:
-            totals = np.pad(totals, ((0, n_lab - totals.shape[0]), (0, n_lab - totals.shape[1])))
-            carry = np.pad(carry, (0, n_lab - carry.shape[0]))
-        g_all = pdf[group].to_numpy()
-        m_all = pdf["_m"].to_numpy(dtype=np.int64)
-        step = max(1, chunk_cells // n_lab - 1)
-        for lo in range(0, len(pdf), step):
-            g, m, c = g_all[lo:lo + step], m_all[lo:lo + step], codes[lo:lo + step]
-            k = len(g)
-            h = np.zeros((k + 1, n_lab), dtype=np.int64)
-            h[0] = carry                                     # virtual first row: the open group so far
-            h[np.arange(1, k + 1), c] = m
-            keys = np.empty(k + 1, dtype=object)
-            keys[0] = carry_g
-            keys[1:] = g
-            start = np.ones(k + 1, dtype=bool)
-            start[1:] = keys[1:] != keys[:-1]
-            cum = np.cumsum(h, axis=0)
-            first = np.maximum.accumulate(np.where(start, np.arange(k + 1), 0))   # first row of each row's group
-            base = np.where((first > 0)[:, None], cum[first - 1], 0)
-            before = cum - h - base                          # counts earlier in the same group
-            totals += before[1:].T @ h[1:]
-            carry_g, carry = keys[-1], cum[-1] - base[-1]
-    if sparse is not None:
-        keys_ = list(sparse)
-        if keys_:
-            yield pd.DataFrame({"label_a": [k[0] for k in keys_], "label_b": [k[1] for k in keys_],
-                                "pairs": [sparse[k] for k in keys_]})
-        return
-    rows, cols = np.nonzero(totals)
-    if len(rows):
-        yield pd.DataFrame({"label_a": [labels[i] for i in rows], "label_b": [labels[j] for j in cols],
-                            "pairs": totals[rows, cols]})
-
-
-def _loop(pdf, group, label, totals, current, seen):
-    """Row-by-row form of the scan (used for ranges with very many labels)."""
-    for g, lab, m in zip(pdf[group].tolist(), pdf[label].tolist(), pdf["_m"].tolist()):
-        if g != current:
-            current, seen = g, {}
-        for prev_label, cnt in seen.items():
-            totals[(prev_label, lab)] += cnt * m
-        seen[lab] = seen.get(lab, 0) + m
-    return current, seen
+    group with item(a) < item(b), by the labels of a and b. Rows with a NULL
+    group or item pair with nothing; a NULL label is a label."""
+    weighted = (df.select(F.col(group).alias("g"), F.col(item).alias("x"), F.col(label).cast("string").alias("label"))
+                .dropna(subset=["g", "x"]).groupBy("g", "x", "label").agg(F.count(F.lit(1)).alias("m")))
+    large = (weighted.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+             .select(F.col("g").alias("of"), F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    blocked = (weighted.join(large, weighted["g"] == large["of"], "left")
+               .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+               .withColumn("mine", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+               .select("g", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "x", "label", "m",
+                       (F.col("mine") < F.col("other")).alias("first")))
+    partial = (blocked.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "x")
+               .mapInArrow(lambda batches: _scan(batches, buffer), "label_a string, label_b string, pairs long"))
+    return partial.groupBy("label_a", "label_b").agg(F.sum("pairs").alias("pairs"))
+
+
+def _scan(batches: Iterable[pa.RecordBatch], buffer: int) -> Iterator[pa.RecordBatch]:
+    """Label pairs of rows sorted by (group, block pair, item)."""
+    totals: dict[tuple, int] = defaultdict(int)
+    # of the open group: the labels of smaller items for each side, and the rows of the current item
+    key, seen, pending, current = None, ({}, {}), [], None
+
+    def settle() -> None:
+        for lab, m, side in pending:
+            seen[side][lab] = seen[side].get(lab, 0) + m
+        pending.clear()
+
+    for batch in batches:
+        for g, i, j, x, lab, m, first in zip(*(batch.column(c).to_pylist() for c in ("g", "i", "j", "x", "label", "m", "first"))):
+            if (g, i, j) != key:
+                key, seen, current = (g, i, j), ({}, {}), x
+                pending.clear()
+            elif x != current:
+                settle()
+                current = x
+            side = 0 if i == j else int(first)
+            for before, n in seen[side if i == j else 1 - side].items():
+                totals[before, lab] += n * m
+            pending.append((lab, m, side))
+            if len(totals) > buffer:
+                yield _rows(totals)
+                totals.clear()
+    if totals:
+        yield _rows(totals)
+
+
+def _rows(totals: dict[tuple, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([k[0] for k in totals], pa.string()), pa.array([k[1] for k in totals], pa.string()),
+                                       pa.array(totals.values(), pa.int64())], names=["label_a", "label_b", "pairs"])

@@ -139,29 +139,24 @@ def null_counts(df: DataFrame) -> DataFrame:
     return one.select(stacked.alias("x")).select("x.*")
 
 
-def describe_exact(df: DataFrame, columns: list[str], scale: int = 2) -> DataFrame:
+def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max per column (pandas describe).
 
-    Sums run in DECIMAL(38, scale) so the result does not depend on the order
-    partial sums are combined; variance = (n*S2 - S1^2) / (n*(n-1)) is exact
-    up to one division; quartiles come from the distributed exact quantiles
-    (linear interpolation like pandas).
+    Mean and standard deviation combine partial (n, mean, M2) of the values as
+    they are, so no value is rounded and nothing overflows; they are exact up to
+    the last digits of a double, which depend on the order of the partials.
+    Quartiles come from the distributed exact quantiles (linear interpolation
+    like pandas).
     """
     from tillbook.operators.stats import exact_quantiles
-    dec = f"decimal(28,{scale})"
     aggs = []
     for c in columns:
-        x = F.col(c).cast(dec)
-        aggs += [F.count(x).alias(f"{c}__n"), F.sum(x).alias(f"{c}__s1"), F.sum(x * x).alias(f"{c}__s2"),
-                 F.min(F.col(c)).cast("double").alias(f"{c}__min"), F.max(F.col(c)).cast("double").alias(f"{c}__max")]
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     one = df.agg(*aggs)
-    rows = []
-    for c in columns:
-        n, s1, s2 = F.col(f"{c}__n"), F.col(f"{c}__s1"), F.col(f"{c}__s2")
-        var = F.try_divide((n * s2 - s1 * s1).cast("double"), (n * (n - 1)).cast("double"))
-        rows.append(F.struct(F.lit(c).alias("column_name"), n.alias("count"),
-                             (s1.cast("double") / n.cast("double")).alias("mean"), F.sqrt(var).alias("std"),
-                             F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")))
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__n").alias("count"),
+                     *(F.col(f"{c}__{k}").alias(k) for k in ("mean", "std", "min", "max"))) for c in columns]
     moments = one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
     q = exact_quantiles(df, columns, [0.25, 0.5, 0.75])          # at most 3 rows per column
     quart = q.groupBy("column_name").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.operators.global_window import segmented
 
-SMALL_DISTINCT = 200_000
 
-
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    small_distinct: int = SMALL_DISTINCT) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation (the PERCENTILE / pandas rule),
     NULLs ignored: rows (column_name, prob, value).
 
@@ -20,19 +17,14 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     (ceil(h) - h) * lower + (h - floor(h)) * upper.
 
     Values are counted per distinct value first (a hot value becomes one row);
-    a running count per column (segmented scan, or a per-column window once a
-    count shows few distinct values) locates the needed positions. Unlike a
-    percentile aggregate, no task holds every distinct value of a column.
+    a running count per column (segmented scan) locates the needed positions.
+    Unlike a percentile aggregate, no task holds every distinct value of a column.
     """
     long = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v"))
                                           for c in cols])).alias("x"))
             .select("x.*").dropna())
     counts = long.groupBy("column_name", "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    if counts.count() <= small_distinct:
-        w = Window.partitionBy("column_name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-        seq = counts.withColumn("_cum", F.sum("_cnt").over(w))
-    else:
-        seq = segmented(counts, ["column_name"], [("_v", False)], value="_cnt", row_col="_r", sum_col="_cum")
+    seq = segmented(counts, ["column_name"], [("_v", False)], value="_cnt", row_col="_r", sum_col="_cum")
     # wanted positions: one row per (column, prob), bounded by len(cols) * len(probs)
     targets = (counts.groupBy("column_name").agg(F.sum("_cnt").alias("_n"))
                .select("column_name", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"), "_n")
@@ -52,7 +44,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     return hits.select("column_name", "prob", value.alias("value"))
 
 
-def exact_medians(df: DataFrame, cols: list[str], small_distinct: int = SMALL_DISTINCT) -> DataFrame:
+def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
     """Exact medians: rows (column_name, median)."""
-    q = exact_quantiles(df, cols, [0.5], small_distinct)
+    q = exact_quantiles(df, cols, [0.5])
     return q.select("column_name", F.col("value").alias("median"))

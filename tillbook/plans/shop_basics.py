@@ -198,8 +198,7 @@ def three_way_join(spark, d):
 
 @register("w2_price_tier", oracle(["shopa_products"], f"""
 SELECT product_name, CAST(unit_price AS DOUBLE) AS unit_price,
-       CASE WHEN unit_price < {TIER_BUDGET_BELOW} THEN 'Budget'
-            WHEN unit_price BETWEEN {TIER_BUDGET_BELOW} AND {TIER_MID_UPTO} THEN 'Mid-Range' ELSE 'Premium' END AS price_tier
+       (['Budget', 'Mid-Range', 'Premium'])[1 + CAST(unit_price >= {TIER_BUDGET_BELOW} AS INTEGER) + CAST(unit_price > {TIER_MID_UPTO} AS INTEGER)] AS price_tier
 FROM shopa_products"""))
 def price_tier(spark, d):
     p = shopa_products(spark, d)
@@ -210,8 +209,7 @@ def price_tier(spark, d):
 
 
 @register("w2_delivered_pivot", oracle(["shopa_orders"], """
-SELECT CAST(SUM(CASE WHEN status = 'Delivered' THEN 1 ELSE 0 END) AS BIGINT) AS delivered_orders,
-       CAST(SUM(CASE WHEN status != 'Delivered' THEN 1 ELSE 0 END) AS BIGINT) AS not_delivered_orders
+SELECT COUNT(*) FILTER (status = 'Delivered') AS delivered_orders, COUNT(status) - COUNT(*) FILTER (status = 'Delivered') AS not_delivered_orders
 FROM shopa_orders"""))
 def delivered_pivot(spark, d):
     o = shopa_orders(spark, d)

@@ -28,8 +28,10 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, *, header: bool = True,
-             multiline: bool = True, mode: str = "PERMISSIVE", infer: bool = False, **options) -> DataFrame:
-    """CSV with quoted fields that may hold quotes (doubled) and line breaks.
+             multiline: bool = False, mode: str = "PERMISSIVE", infer: bool = False, **options) -> DataFrame:
+    """CSV with quoted fields that may hold quotes (doubled) and, with
+    ``multiline``, line breaks; that reads each file in one task, so it is only
+    for files that need it.
 
     An explicit schema is the default; ``infer=True`` runs the extra inference
     job and is meant for exploration. ``mode='FAILFAST'`` aborts on a bad row
@@ -60,17 +62,25 @@ def rename_strict(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 def copy_quote_all(spark: SparkSession, source_folder: str, target_folder: str, pattern: str = "*.csv",
                    prefix: str = "output_") -> DataFrame:
-    """Copy every CSV file of a folder to ``<target>/<prefix><name>/`` with every
-    field quoted, as ONE distributed job (not a loop of per-file jobs).
-
-    Each row keeps its source file name from the scan metadata; the writer
-    partitions by the output name, so every source file gets its own folder."""
+    """Copy every CSV file of a folder to ``<target>/_out=<prefix><name>/`` with
+    every field quoted, keeping each file's own columns.
+
+    One pass finds the header line of each file; files with the same header are
+    copied together by one distributed job, so there are as many jobs as kinds
+    of files, not as files. Each row keeps its source file name from the scan
+    metadata; the writer partitions by the output name. A header takes one line.
+    """
     list_files(spark, source_folder, pattern, require=True)
-    rows = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).option("pathGlobFilter", pattern).csv(source_folder)
-            .withColumn("_out", F.concat(F.lit(prefix), F.col("_metadata.file_name"))))
-    (rows.write.mode("overwrite").option("header", True).option("quoteAll", True)
-     .partitionBy("_out").csv(target_folder))
+    lines = (spark.read.option("pathGlobFilter", pattern).text(source_folder)
+             .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("at")).filter(F.col("start") == 0))
+    kinds = (lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))      # one row per file
+             .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect())
+    for n, kind in enumerate(kinds):
+        rows = (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+                .csv(kind["paths"]).withColumn("_out", F.concat(F.lit(prefix), F.col("_metadata.file_name"))))
+        (rows.write.mode("append" if n else "overwrite").option("header", True).option("quoteAll", True).option("escape", '"')
+         .partitionBy("_out").csv(target_folder))
     return list_files(spark, target_folder, "*.csv", recursive=True)
 
 

@@ -31,8 +31,8 @@ class ConcurrentPublish(RuntimeError):
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, keep: int = 5):
-        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -93,7 +93,6 @@ class SnapshotStore:
         marker = self._Path(f"{self._commits(table)}/{version}")
         out = self._fs.create(marker, False)        # no overwrite: one commit per version
         out.close()
-        self._expire(table, version)
 
     def publish(self, table: str, df: DataFrame, allow_schema_change: bool = False,
                 partition_by: list[str] | None = None) -> int:
@@ -119,9 +118,12 @@ class SnapshotStore:
             self._commit(t, v)
         return versions
 
-    def _expire(self, table: str, current: int) -> None:
-        for v in self.committed_versions(table):
-            if v <= current - self.keep:
-                self._fs.delete(self._Path(f"{self._commits(table)}/{v}"), False)
-                self._fs.delete(self._Path(f"{self.root}/{table}/_claims/{v}"), False)
-                self._fs.delete(self._Path(self.path(table, v)), True)
+    def expire(self, table: str, keep: int) -> None:
+        """Delete all but the newest ``keep`` versions. Nothing else deletes a
+        version: call it when no reader uses the older ones."""
+        if keep < 1:
+            raise ValueError("at least the current version is kept")
+        for v in self.committed_versions(table)[:-keep]:
+            self._fs.delete(self._Path(f"{self._commits(table)}/{v}"), False)
+            self._fs.delete(self._Path(f"{self.root}/{table}/_claims/{v}"), False)
+            self._fs.delete(self._Path(self.path(table, v)), True)
