@@ -2,12 +2,14 @@
 
 Items are short and documents may be long, so the similarity of their whole
 shingle sets says little. The items are partitioned by their number of
-shingles, with upper sizes that double. For each partition, a document is read
+shingles, with upper sizes that double. For each partition, documents are read
 through windows of twice the upper size that advance by the upper size, so an
 item that stands in a document lies whole in one window of comparable size. A
-window and an item with an equal MinHash value are candidates, and a candidate
-counts if the document holds at least the threshold's share of the item's
-different shingles, compared word by word.
+task reads its documents one after the other, so a window may hold the end of
+one and the beginning of the next, but a shingle never does. A window and an
+item with an equal MinHash value are candidates, and a candidate counts if the
+document holds at least the threshold's share of the item's different shingles,
+compared word by word.
 
 The items go to the tasks in blocks of bounded size, each block searched
 against all documents; documents are never shuffled.
@@ -33,8 +35,10 @@ FUNCTIONS = 32
 SMALLEST = 16
 #: Words of the items that one block may hold.
 BLOCK_WORDS = 1_000_000
-#: Shingles of a document that are hashed at a time.
-STEP = 1 << 16
+#: Words of the documents that are searched at a time; a longer document is searched alone.
+STEP_WORDS = 200_000
+#: Segments whose MinHash values are computed at a time.
+STEP = 4096
 
 _PLAIN = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -46,15 +50,12 @@ def plain_words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_PLAIN).split()
 
 
-def shingle_hashes(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
-    """A 64-bit hash for each run of ``size`` words; of all words if there are fewer."""
-    if not words:
-        return np.empty(0, np.uint64)
+def shingle_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash for each run of five words."""
     each = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    size = min(size, len(words))
-    count = len(words) - size + 1
-    out = np.full(count, size, np.uint64)
-    for i in range(size):
+    count = len(words) - SHINGLE + 1
+    out = np.full(max(count, 0), SHINGLE, np.uint64)
+    for i in range(SHINGLE if count > 0 else 0):
         out = (out ^ each[i:i + count]) * _MIX
         out ^= out >> np.uint64(29)
     return out
@@ -72,11 +73,15 @@ class Index:
     """A block of items, partitioned by size, with their MinHash values."""
 
     def __init__(self, rows: list[tuple[int, list[bytes]]]):
-        self.items, self.parts = [], {}
+        self.items: list[Item] = []
+        self.short: dict[tuple[bytes, ...], list[int]] = {}  # items of fewer than five words
+        self.parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         by_size: dict[int, list[int]] = {}
         for item_id, words in rows:
-            hashes, first = np.unique(shingle_hashes(words), return_index=True)
-            if len(hashes):
+            if 0 < len(words) < SHINGLE:
+                self.short.setdefault(tuple(words), []).append(item_id)
+            elif words:
+                hashes, first = np.unique(shingle_hashes(words), return_index=True)
                 upper = SMALLEST
                 while upper < len(hashes):
                     upper *= 2
@@ -87,55 +92,84 @@ class Index:
             order = np.argsort(low, axis=0, kind="stable")
             self.parts[upper] = (np.take_along_axis(low, order, 0).T.copy(), np.array(members)[order].T.copy())
 
-    def candidates(self, hashes: np.ndarray) -> set[int]:
-        """Items that share a MinHash value with a window of a document."""
-        low = [np.minimum.reduceat(hashes[None, s:s + STEP] * _FACTORS[:, None],
-                                   np.arange(0, min(STEP, len(hashes) - s), SMALLEST), axis=1)
-               for s in range(0, len(hashes), STEP)]
-        segment = low[0] if len(low) == 1 else np.concatenate(low, axis=1)
-        found: set[int] = set()
+    def candidates(self, hashes: np.ndarray) -> set[tuple[int, int, int]]:
+        """(begin, end, item) of the windows of a row of shingles that share a MinHash value with an item."""
+        count = -(-len(hashes) // SMALLEST)
+        full = np.full(count * SMALLEST, hashes[-1], np.uint64)
+        full[:len(hashes)] = hashes
+        by_place = np.ascontiguousarray(full.reshape(count, SMALLEST).T)
+        segment = np.empty((FUNCTIONS, count), np.uint64)    # the lowest value of each function in each segment
+        for start in range(0, count, STEP):
+            part = by_place[:, start:start + STEP]
+            low = part[0] * _FACTORS[:, None]
+            for i in range(1, SMALLEST):
+                np.minimum(low, part[i] * _FACTORS[:, None], out=low)
+            segment[:, start:start + STEP] = low
+        found: set[tuple[int, int, int]] = set()
         upper = SMALLEST
         for wanted in sorted(self.parts):
             while upper < wanted:                            # two segments make one of twice the size
-                even, odd = segment[:, ::2], segment[:, 1::2]
-                segment = even.copy()
-                np.minimum(even[:, :odd.shape[1]], odd, out=segment[:, :odd.shape[1]])
-                upper *= 2
+                even, odd = segment[:, ::2].copy(), segment[:, 1::2]
+                np.minimum(even[:, :odd.shape[1]], odd, out=even[:, :odd.shape[1]])
+                segment, upper = even, upper * 2
             window = segment if segment.shape[1] == 1 else np.minimum(segment[:, :-1], segment[:, 1:])
             values, members = self.parts[wanted]
             for f in range(FUNCTIONS):
-                at = np.searchsorted(values[f], window[f])
-                at[at == len(values[f])] = 0
-                hit = np.unique(window[f][values[f][at] == window[f]])
-                for v in hit:
-                    found.update(members[f][np.searchsorted(values[f], v):np.searchsorted(values[f], v, "right")].tolist())
+                low = np.searchsorted(values[f], window[f])
+                low[low == len(values[f])] = 0
+                for w in np.flatnonzero(values[f][low] == window[f]).tolist():
+                    high = int(np.searchsorted(values[f], window[f][w], "right"))
+                    found.update((w * upper, min((w + 2) * upper, len(hashes)), m) for m in members[f][low[w]:high].tolist())
         return found
 
-    def contained(self, text: str | None, threshold: float) -> list[tuple[int, int, int]]:
-        """(item id, its different shingles in the text, its different shingles),
-        for the candidates that reach the threshold."""
-        words = plain_words(text)
-        hashes = shingle_hashes(words)
-        if not len(hashes):
-            return []
-        out, places = [], None
-        for n in sorted(self.candidates(hashes)):
-            item = self.items[n]
-            if places is None:
-                places = np.argsort(hashes, kind="stable")
-                ordered = hashes[places]
-            at = np.searchsorted(ordered, item.hashes)
-            at[at == len(ordered)] = 0
-            same = ordered[at] == item.hashes
-            if same.sum() < threshold * len(same):
-                continue
-            size = min(SHINGLE, len(item.words))
-            shared = sum(words[p:p + size] == item.words[i:i + size] and (size == SHINGLE or len(words) == size)
-                         for p, i in zip(places[at[same]].tolist(), item.first[same].tolist()))
-            if shared >= threshold * len(same):
-                out.append((item.item_id, int(shared), len(same)))
+    def search(self, texts: Iterable[str | None], threshold: float) -> Iterator[list[tuple[int, int, int]]]:
+        """For each text: (item id, its different shingles in the text, its
+        different shingles) of the items that reach the threshold."""
+        held: list[list[bytes]] = []
+        size = 0
+        for text in texts:
+            words = plain_words(text)
+            if held and size + len(words) > STEP_WORDS:
+                yield from self._search(held, threshold)
+                held, size = [], 0
+            held.append(words)
+            size += len(words)
+        yield from self._search(held, threshold)
+
+    def _search(self, docs: list[list[bytes]], threshold: float) -> list[list[tuple[int, int, int]]]:
+        out = [[(i, 1, 1) for i in self.short.get(tuple(words), ())] if len(words) < SHINGLE else [] for words in docs]
+        # the shingles of all documents in a row; those that would begin in one document and end in another are left out
+        sizes = np.array([len(words) for words in docs], np.int64)
+        counts = np.maximum(sizes - SHINGLE + 1, 0)
+        if not self.items or not counts.any():
+            return out
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        whole = place < np.repeat(counts, sizes)
+        hashes = shingle_hashes([w for words in docs for w in words])
+        hashes = hashes[whole[:len(hashes)]]
+        ends = np.cumsum(counts)
+        wanted: dict[int, set[int]] = {}
+        for begin, end, item in self.candidates(hashes):
+            for d in range(int(np.searchsorted(ends, begin, "right")), int(np.searchsorted(ends, end - 1, "right")) + 1):
+                wanted.setdefault(d, set()).add(item)
+        for d, items in wanted.items():
+            own = hashes[ends[d] - counts[d]:ends[d]]
+            if len(own):
+                places = np.argsort(own, kind="stable")
+                out[d] = [hit for n in sorted(items) if (hit := self._verified(self.items[n], docs[d], own[places], places, threshold))]
         return out
 
+    @staticmethod
+    def _verified(item: Item, words: list[bytes], ordered: np.ndarray, places: np.ndarray, threshold: float) -> tuple[int, int, int] | None:
+        at = np.searchsorted(ordered, item.hashes)
+        at[at == len(ordered)] = 0
+        same = ordered[at] == item.hashes
+        if same.sum() < threshold * len(same):
+            return None
+        shared = sum(words[p:p + SHINGLE] == item.words[i:i + SHINGLE]
+                     for p, i in zip(places[at[same]].tolist(), item.first[same].tolist()))
+        return (item.item_id, int(shared), len(same)) if shared >= threshold * len(same) else None
+
 
 def item_blocks(items: DataFrame, key: str, text: str, block_words: int = BLOCK_WORDS) -> Iterator[Broadcast]:
     """The items as broadcast indexes of about ``block_words`` words each; they
@@ -171,8 +205,8 @@ def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text
     def search(index: Broadcast) -> DataFrame:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = [(d, *hit) for d, t in zip(batch.column(0).to_pylist(), batch.column(1))
-                        for hit in index.value.contained(t.as_py(), threshold)]
+                found = index.value.search((t.as_py() for t in batch.column(1)), threshold)
+                rows = [(d, *hit) for d, hits in zip(batch.column(0).to_pylist(), found) for hit in hits]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 4)],
                                                  names=["doc", "item", "n_shared", "n_item"])
         return body.mapInArrow(run, schema)
@@ -192,7 +226,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
     def without(rest: DataFrame, index: Broadcast) -> DataFrame:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean = [not index.value.contained(t.as_py(), threshold) for t in batch.column(text)]
+                clean = [not hits for hits in index.value.search((t.as_py() for t in batch.column(text)), threshold)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
         return rest.mapInArrow(run, schema)
 
