@@ -10,7 +10,6 @@ from tillbook.plans import catalog
 from tillbook.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-NO_SQL = {"m_schema_drift", "w4_file_listing"}
 
 
 def test_entry_runs(spark):
@@ -19,7 +18,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql_or_is_listed():
-    assert set(catalog.queries()) - set(catalog.oracle_sql()) == NO_SQL
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == set()
     assert set(E.oracle_sql()) <= set(E.queries())
     assert set(catalog.queries()) <= set(E.queries())
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillbook.plans import (cleaning, files, integrity, medallion, shop_analytics, shop_basics,  # noqa: F401
+from tillbook.plans import (cleaning, integrity, medallion, shop_analytics, shop_basics,  # noqa: F401
                             superstore, task_lines)  # importing registers the queries
 from tillbook.plans.registry import QUERIES
 

@@ -2,9 +2,10 @@
 history -> schema drift, each table published as a new snapshot version.
 
 The steps run in the original order and the first exception stops the run
-(no scheduler). The customer dimension is read back from its previous
+(no scheduler). Silver reads the bronze versions just published, gold the silver
+ones. The customer and product dimensions are read back from their previous
 published version (initialised when none exists yet), merged with this run's
-batch and published as the next version; drift compares each bronze schema
+silver rows and published as the next version; drift compares each bronze schema
 with the snapshot recorded by the previous run.
 """
 
@@ -18,18 +19,28 @@ from tillbook.plans import medallion as M
 from tillbook.sources.files import read_csv
 from tillbook.sources.snapshots import SnapshotStore
 
-SILVER = {"customers": M.silver_customers, "sellers": M.silver_sellers, "orders": M.silver_orders,
-          "order_items": M.silver_items, "order_payments": M.silver_payments, "order_reviews": M.silver_reviews,
-          "products": M.silver_products, "geolocation": M.silver_geolocation}
-GOLD = {"sales_by_category": M.gold_category, "revenue_by_state": M.gold_state,
-        "seller_performance": M.gold_seller, "customer_rfm": M.gold_rfm}
+#: table -> (cleaning function, the bronze tables that it reads)
+SILVER = {"customers": (M.clean_customers, ["customers"]), "sellers": (M.clean_sellers, ["sellers"]),
+          "orders": (M.clean_orders, ["orders"]), "order_items": (M.clean_items, ["order_items"]),
+          "order_payments": (M.clean_payments, ["order_payments"]), "order_reviews": (M.clean_reviews, ["order_reviews"]),
+          "products": (M.clean_products, ["products", "product_category_name_translation"]),
+          "geolocation": (M.clean_geolocation, ["geolocation"])}
+#: table -> (aggregate, the silver tables that it reads)
+GOLD = {"sales_by_category": (M.category_sales, ["order_items", "products"]),
+        "revenue_by_state": (M.state_revenue, ["orders", "customers", "order_payments"]),
+        "seller_performance": (M.seller_performance, ["order_items", "sellers"]),
+        "customer_rfm": (M.customer_rfm, ["orders", "order_payments"])}
+#: dimension -> (key, compared columns); its batch is the silver table of the same name
+DIMENSIONS = {"customers": ("customer_id", M.SCD_COMPARE), "products": ("product_id", M.PRODUCT_COMPARE)}
+LINEAGE = ("_ingestion_timestamp", "_source_file")
 
 
 def export_landing_csv(spark: SparkSession, sf_dir: str, landing_dir: str) -> None:
     """Write every raw marketplace table as CSV files under ``landing_dir/<table>/``
     (the shape in which the raw extracts arrive)."""
     for name, view in M._MK_RAW.items():
-        view(spark, sf_dir).write.mode("overwrite").option("header", True).csv(f"{landing_dir}/{name}")
+        (view(spark, sf_dir).write.mode("overwrite").option("header", True).option("escape", '"')
+         .csv(f"{landing_dir}/{name}"))
 
 
 def run_lake(spark: SparkSession, sf_dir: str, root: str, batch_ts, customers: DataFrame | None = None,
@@ -49,17 +60,21 @@ def run_lake(spark: SparkSession, sf_dir: str, root: str, batch_ts, customers: D
         versions[f"bronze_{name}"] = store.publish(
             f"bronze_{name}", M.bronze(raw, ingested_at=batch_ts, source_file=src),
             allow_schema_change=True)                      # bronze accepts schema evolution
-    for name, fn in SILVER.items():
-        versions[f"silver_{name}"] = store.publish(f"silver_{name}", fn(spark, sf_dir), allow_schema_change=True)
-    for name, fn in GOLD.items():
-        versions[f"gold_{name}"] = store.publish(f"gold_{name}", fn(spark, sf_dir), allow_schema_change=True)
+    # every layer reads what the one before has published, and keeps its schema
+    for name, (clean, inputs) in SILVER.items():
+        versions[f"silver_{name}"] = store.publish(
+            f"silver_{name}", clean(*(store.read(f"bronze_{t}").drop(*LINEAGE) for t in inputs)))
+    for name, (aggregate, inputs) in GOLD.items():
+        versions[f"gold_{name}"] = store.publish(f"gold_{name}", aggregate(*(store.read(f"silver_{t}") for t in inputs)))
 
-    batch = customers if customers is not None else M.silver_customers(spark, sf_dir)
-    if store.exists("dim_customers"):
-        dim = scd2_merge(store.read("dim_customers"), batch, "customer_id", M.SCD_COMPARE, batch_ts)
-    else:
-        dim = scd2_init(batch, batch_ts)
-    versions["dim_customers"] = store.publish("dim_customers", dim)
+    for name, (key, compared) in DIMENSIONS.items():
+        batch = customers if name == "customers" and customers is not None else store.read(f"silver_{name}")
+        table = f"dim_{name}"
+        if store.exists(table):
+            dim = scd2_merge(store.read(table), batch, key, compared, batch_ts)
+        else:
+            dim = scd2_init(batch, batch_ts)
+        versions[table] = store.publish(table, dim)
 
     drift = None
     for name in M._MK_RAW:

@@ -9,8 +9,8 @@ deterministically from keys (modulus rules), so both engines agree on them.
 
 Scale notes: views only *describe* columns; joins are added only by the views
 that need them (an inner join on a foreign key cannot be pruned by Catalyst,
-so a query never pays for a dimension it does not read). ``nation`` and
-``region`` have a fixed size (25 / 5 rows) and are the only broadcast hints.
+so a query never pays for a dimension it does not read). No view hints a
+broadcast: Spark decides by the sizes it measures.
 """
 
 from __future__ import annotations
@@ -33,6 +33,13 @@ REGISTRATION_BASE = "1994-06-01"    # registration = base + (c_custkey * 37) % 1
 SHOPA_CANCELLED = (11, 4)           # o_orderkey % 11 = 4 -> order cancelled (shop A)
 WEIGHT_NULL = 17                    # p_partkey % 17 = 0 -> product weight missing
 UNTRANSLATED_CATEGORY = "PROMO"     # category without an English translation
+REPEATED = (9, 2)                   # key % 9 = 2 -> the marketplace row arrives twice
+FREE_ITEM = (29, 4)                 # l_orderkey % 29 = 4 -> line with price 0
+SECOND_PAYMENT = (5, 1)             # o_orderkey % 5 = 1 -> paid in two equal instalments
+NEGATIVE_PAYMENT = (31, 3)          # o_orderkey % 31 = 3 -> payment below 0
+BAD_TIME = (41, 6)                  # o_orderkey % 41 = 6 -> approval time is no time
+ZIP_PLACES = 700                    # places of the geolocation table
+NO_SUCH_CUSTOMER = (7, 3)           # o_custkey % 7 = 3 -> shop A order of an unknown customer
 
 
 @dataclass(frozen=True)
@@ -96,7 +103,7 @@ FROM nation JOIN region ON n_regionkey = r_regionkey
 """)
 def geo(spark: SparkSession, d: str) -> DataFrame:
     nation, region = load(spark, d, "nation"), load(spark, d, "region")
-    return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
             .select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("nation_name"),
                     F.col("r_name").alias("region_name")))
 
@@ -165,7 +172,7 @@ FROM shop_orders o JOIN customer c ON c.c_custkey = o.account_key JOIN geo g ON
 def shop_orders_region(spark, d):
     """Orders with the region of the buying account (one extra join on the customer key)."""
     c = load(spark, d, "customer").select("c_custkey", "c_nationkey")
-    g = F.broadcast(geo(spark, d))
+    g = geo(spark, d)
     return (shop_orders(spark, d).join(c, F.col("account_key") == F.col("c_custkey"))
             .join(g, F.col("c_nationkey") == g.nation_key)
             .drop("c_custkey", "c_nationkey", "nation_key", "nation_name")
@@ -209,7 +216,7 @@ FROM customer JOIN geo g ON g.nation_key = c_nationkey
 """)
 def shopa_customers(spark, d):
     c = load(spark, d, "customer")
-    g = F.broadcast(geo(spark, d))
+    g = geo(spark, d)
     return c.join(g, c.c_nationkey == g.nation_key).select(
         F.col("c_custkey").alias("customer_id"), F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
         F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
@@ -234,7 +241,8 @@ def shopa_products(spark, d):
 
 
 @view("shopa_orders", f"""
-SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+SELECT o_orderkey AS order_id, IF(o_custkey % {NO_SUCH_CUSTOMER[0]} = {NO_SUCH_CUSTOMER[1]}, -o_custkey, o_custkey) AS customer_id,
+       CAST(o_orderdate AS DATE) AS order_date,
        {_STATUS_A} AS status, CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount
 FROM orders
 """)
@@ -243,7 +251,8 @@ def shopa_orders(spark, d):
     status = (F.when(_mod("o_orderkey", SHOPA_CANCELLED), "Cancelled")
               .when(F.col("o_orderstatus") == "F", "Delivered").when(F.col("o_orderstatus") == "O", "Shipped")
               .otherwise("Pending"))
-    return o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+    customer = F.when(_mod("o_custkey", NO_SUCH_CUSTOMER), -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    return o.select(F.col("o_orderkey").alias("order_id"), customer.alias("customer_id"),
                     F.to_date("o_orderdate").alias("order_date"), status.alias("status"),
                     F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"))
 
@@ -306,7 +315,7 @@ def superstore(spark, d, dims=("order", "customer", "product"), distinct_lines:
         df = df.withColumnRenamed("l_orderkey", "order_id")
     if "customer" in dims:
         c = load(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-        g = F.broadcast(geo(spark, d))
+        g = geo(spark, d)
         df = (df.join(c, F.col("customer_id") == F.col("c_custkey"))
               .join(g, F.col("c_nationkey") == g.nation_key).drop("c_custkey")
               .withColumnRenamed("c_name", "customer_name")
@@ -336,57 +345,80 @@ def _zip(key_col: str):
 _ZIP_SQL = "(({k} * 7919) % 100000)"
 
 
+def _twice(rows: DataFrame, key: str, **changed) -> DataFrame:
+    """``rows``, and the ones with a repeated key once more, with ``changed`` columns."""
+    again = rows.filter(_mod(key, REPEATED)).withColumns(changed) if changed else rows.filter(_mod(key, REPEATED))
+    return rows.unionByName(again)
+
+
+def _time_text(c):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
 @view("mk_customers", f"""
 SELECT c_custkey AS customer_id, {_ZIP_SQL.format(k='c_custkey')} AS customer_zip_code_prefix,
-       c_name AS customer_city, g.nation_name AS customer_state
-FROM customer JOIN geo g ON g.nation_key = c_nationkey
+       IF(again, 'zzz', c_name) AS customer_city, g.nation_name AS customer_state
+FROM customer JOIN geo g ON g.nation_key = c_nationkey JOIN (VALUES (FALSE), (TRUE)) AS t(again)
+  ON NOT again OR c_custkey % {REPEATED[0]} = {REPEATED[1]}
 """)
 def mk_customers(spark, d):
     c = load(spark, d, "customer")
-    g = F.broadcast(geo(spark, d))
-    return c.join(g, c.c_nationkey == g.nation_key).select(
+    g = geo(spark, d)
+    rows = c.join(g, c.c_nationkey == g.nation_key).select(
         F.col("c_custkey").alias("customer_id"), _zip("c_custkey").alias("customer_zip_code_prefix"),
         F.col("c_name").alias("customer_city"), F.col("nation_name").alias("customer_state"))
+    return _twice(rows, "customer_id", customer_city=F.lit("zzz"))
 
 
 @view("mk_sellers", f"""
 SELECT s_suppkey AS seller_id, {_ZIP_SQL.format(k='s_suppkey')} AS seller_zip_code_prefix,
-       g.nation_name AS seller_state
-FROM supplier JOIN geo g ON g.nation_key = s_nationkey
+       IF(again, 'ZZZ', g.nation_name) AS seller_state
+FROM supplier JOIN geo g ON g.nation_key = s_nationkey JOIN (VALUES (FALSE), (TRUE)) AS t(again)
+  ON NOT again OR s_suppkey % {REPEATED[0]} = {REPEATED[1]}
 """)
 def mk_sellers(spark, d):
     s = load(spark, d, "supplier")
-    g = F.broadcast(geo(spark, d))
-    return s.join(g, s.s_nationkey == g.nation_key).select(
+    g = geo(spark, d)
+    rows = s.join(g, s.s_nationkey == g.nation_key).select(
         F.col("s_suppkey").alias("seller_id"), _zip("s_suppkey").alias("seller_zip_code_prefix"),
         F.col("nation_name").alias("seller_state"))
+    return _twice(rows, "seller_id", seller_state=F.lit("ZZZ"))
 
 
-@view("mk_orders", """
-SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_purchase_timestamp,
-       o_orderdate + INTERVAL 1 DAY AS order_approved_at,
-       o_orderdate + INTERVAL 30 DAY AS order_estimated_delivery_date, o_orderstatus AS order_status
-FROM orders
+_TIME_SQL = "strftime({t}, '%Y-%m-%d %H:%M:%S')"
+
+
+@view("mk_orders", f"""
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, {_TIME_SQL.format(t='o_orderdate')} AS order_purchase_timestamp,
+       CASE WHEN o_orderkey % {BAD_TIME[0]} = {BAD_TIME[1]} THEN 'soon' ELSE {_TIME_SQL.format(t='o_orderdate + INTERVAL 1 DAY')} END
+         AS order_approved_at,
+       CASE WHEN o_orderstatus <> 'O' THEN {_TIME_SQL.format(t='o_orderdate + INTERVAL 3 DAY')} END AS order_delivered_carrier_date,
+       {_TIME_SQL.format(t='o_orderdate + INTERVAL 30 DAY')} AS order_estimated_delivery_date,
+       IF(again, 'ZZ', o_orderstatus) AS order_status
+FROM orders JOIN (VALUES (FALSE), (TRUE)) AS t(again) ON NOT again OR o_orderkey % {REPEATED[0]} = {REPEATED[1]}
 """)
 def mk_orders(spark, d):
+    """Times arrive as text, some keys arrive twice with another status."""
     o = load(spark, d, "orders")
-    return o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-                    F.col("o_orderdate").alias("order_purchase_timestamp"),
-                    (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("order_approved_at"),
-                    (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("order_estimated_delivery_date"),
-                    F.col("o_orderstatus").alias("order_status"))
+    at = lambda days: _time_text(F.col("o_orderdate") + F.expr(f"INTERVAL {days} DAYS"))
+    rows = o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                    _time_text("o_orderdate").alias("order_purchase_timestamp"),
+                    F.when(_mod("o_orderkey", BAD_TIME), "soon").otherwise(at(1)).alias("order_approved_at"),
+                    F.when(F.col("o_orderstatus") != "O", at(3)).alias("order_delivered_carrier_date"),
+                    at(30).alias("order_estimated_delivery_date"), F.col("o_orderstatus").alias("order_status"))
+    return _twice(rows, "order_id", order_status=F.lit("ZZ"))
 
 
 @view("mk_orders_delivery", """
 SELECT o.*, CASE WHEN o.order_status = 'F' THEN s.last_ship END AS order_delivered_customer_date
-FROM mk_orders o LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) s
+FROM mk_orders o LEFT JOIN (SELECT l_orderkey, strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') AS last_ship FROM lineitem GROUP BY l_orderkey) s
   ON s.l_orderkey = o.order_id
 """)
 def mk_orders_delivery(spark, d):
     """Orders with a delivery time: the last ship date of a finished order.
     The per-order max is hash-partitioned on the order key, which the join reuses."""
     last_ship = (load(spark, d, "lineitem").groupBy("l_orderkey")
-                 .agg(F.max("l_shipdate").alias("last_ship")))
+                 .agg(_time_text(F.max("l_shipdate")).alias("last_ship")))
     o = mk_orders(spark, d)
     return (o.join(last_ship, o.order_id == last_ship.l_orderkey, "left")
             .withColumn("order_delivered_customer_date",
@@ -396,25 +428,36 @@ def mk_orders_delivery(spark, d):
 
 @view("mk_items", f"""
 SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id, l_suppkey AS seller_id,
-       l_shipdate AS shipping_limit_date, CAST(l_extendedprice AS {MONEY.upper()}) AS price,
+       strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipping_limit_date,
+       CAST(CASE WHEN l_orderkey % {FREE_ITEM[0]} = {FREE_ITEM[1]} THEN 0 ELSE l_extendedprice END AS {MONEY.upper()}) AS price,
        CAST(l_extendedprice AS {MONEY.upper()}) * CAST(l_tax AS {RATE.upper()}) AS freight_value
-FROM lineitem
+FROM lineitem JOIN (VALUES (FALSE), (TRUE)) AS t(again) ON NOT again OR l_orderkey % {REPEATED[0]} = {REPEATED[1]}
 """)
 def mk_items(spark, d):
     li = load(spark, d, "lineitem")
-    return li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
+    price = F.when(_mod("l_orderkey", FREE_ITEM), 0).otherwise(F.col("l_extendedprice")).cast(MONEY)
+    rows = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
                      F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
-                     F.col("l_shipdate").alias("shipping_limit_date"),
-                     F.col("l_extendedprice").cast(MONEY).alias("price"),
+                     _time_text("l_shipdate").alias("shipping_limit_date"), price.alias("price"),
                      (F.col("l_extendedprice").cast(MONEY) * F.col("l_tax").cast(RATE)).alias("freight_value"))
+    return _twice(rows, "order_id")
 
 
 @view("mk_payments", f"""
-SELECT o_orderkey AS order_id, CAST(o_totalprice AS {MONEY.upper()}) AS payment_value FROM orders
+SELECT o_orderkey AS order_id, CAST(IF(kind = 1, 2, 1) AS INTEGER) AS payment_sequential,
+       CAST(CASE WHEN o_orderkey % {NEGATIVE_PAYMENT[0]} = {NEGATIVE_PAYMENT[1]} THEN -1 ELSE o_totalprice END AS {MONEY.upper()})
+         AS payment_value
+FROM orders JOIN (VALUES (0), (1), (2)) AS t(kind)
+  ON kind = 0 OR (kind = 1 AND o_orderkey % {SECOND_PAYMENT[0]} = {SECOND_PAYMENT[1]})
+     OR (kind = 2 AND o_orderkey % {REPEATED[0]} = {REPEATED[1]})
 """)
 def mk_payments(spark, d):
+    """Instalments by number; two equal ones of an order are no repeated row."""
     o = load(spark, d, "orders")
-    return o.select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").cast(MONEY).alias("payment_value"))
+    value = F.when(_mod("o_orderkey", NEGATIVE_PAYMENT), -1).otherwise(F.col("o_totalprice")).cast(MONEY)
+    first = o.select(F.col("o_orderkey").alias("order_id"), F.lit(1).alias("payment_sequential"), value.alias("payment_value"))
+    second = first.filter(_mod("order_id", SECOND_PAYMENT)).withColumn("payment_sequential", F.lit(2))
+    return _twice(first, "order_id").unionByName(second)
 
 
 @view("mk_translation", f"""
@@ -429,16 +472,16 @@ def mk_translation(spark, d):
 
 
 @view("mk_products", f"""
-SELECT p_partkey AS product_id, p_type AS product_category_name,
+SELECT p_partkey AS product_id, IF(again, 'ZZ', p_type) AS product_category_name,
        CASE WHEN p_partkey % {WEIGHT_NULL} = 0 THEN NULL ELSE p_size * 10 END AS product_weight_g,
        p_size AS product_length_cm,
        CASE WHEN p_partkey % {WEIGHT_NULL} = 1 THEN NULL ELSE p_size % 7 + 1 END AS product_height_cm,
        p_size % 5 + 2 AS product_width_cm
-FROM part
+FROM part JOIN (VALUES (FALSE), (TRUE)) AS t(again) ON NOT again OR p_partkey % {REPEATED[0]} = {REPEATED[1]}
 """)
 def mk_products(spark, d):
     p = load(spark, d, "part")
-    return p.select(
+    rows = p.select(
         F.col("p_partkey").alias("product_id"), F.col("p_type").alias("product_category_name"),
         F.when(F.col("p_partkey") % WEIGHT_NULL == 0, F.lit(None).cast("int")).otherwise(F.col("p_size") * 10)
         .alias("product_weight_g"),
@@ -446,16 +489,17 @@ def mk_products(spark, d):
         F.when(F.col("p_partkey") % WEIGHT_NULL == 1, F.lit(None).cast("int")).otherwise(F.col("p_size") % 7 + 1)
         .alias("product_height_cm"),
         (F.col("p_size") % 5 + 2).alias("product_width_cm"))
+    return _twice(rows, "product_id", product_category_name=F.lit("ZZ"))
 
 
 @view("mk_geolocation", f"""
-SELECT {_ZIP_SQL.format(k='c_custkey')} AS geolocation_zip_code_prefix,
+SELECT {_ZIP_SQL.format(k=f'(c_custkey % {ZIP_PLACES})')} AS geolocation_zip_code_prefix,
        CAST(c_acctbal AS DECIMAL(18,2)) * 0.01 AS geolocation_lat, CAST(c_nationkey AS DECIMAL(18,2)) AS geolocation_lng
 FROM customer
 """)
 def mk_geolocation(spark, d):
     c = load(spark, d, "customer")
-    return c.select(_zip("c_custkey").alias("geolocation_zip_code_prefix"),
+    return c.select(((F.col("c_custkey") % ZIP_PLACES) * 7919 % 100000).alias("geolocation_zip_code_prefix"),
                     (F.col("c_acctbal").cast(MONEY) * F.lit(Decimal("0.01"))).alias("geolocation_lat"),
                     F.col("c_nationkey").cast(MONEY).alias("geolocation_lng"))
 
