@@ -84,11 +84,51 @@ def test_order_batch_publishes_only_when_valid(spark, scratch):
     store.publish("products", spark.createDataFrame([(1, 3), (2, 10)], "product_id long, stock_qty int"))
     orders = spark.createDataFrame([(10, dt.date(2024, 8, 10)), (11, dt.date(2024, 9, 1))], "order_id long, order_date date")
     items = spark.createDataFrame([(10, 1, 2), (10, 2, 1), (11, 1, 9)], "order_id long, product_id long, quantity int")
-    assert publish_order_batch(store, "products", orders, items, dt.date(2024, 8, 10), dt.date(2024, 8, 12)) == 1
+    versions = publish_order_batch(store, "products", orders, items, dt.date(2024, 8, 10), dt.date(2024, 8, 12))
+    assert versions == {"products": 1, "orders": 0, "order_items": 0}
+    assert [r.order_id for r in store.read("orders").collect()] == [10] and store.read("order_items").count() == 2
     assert sorted(tuple(r) for r in store.read("products").collect()) == [(1, 1), (2, 9)]
     with pytest.raises(ValueError):
         publish_order_batch(store, "products", orders, items, dt.date(2024, 9, 1), dt.date(2024, 9, 1))
-    assert store.current_version("products") == 1                         # nothing published
+    assert store.current_versions() == versions                           # nothing published
+    late = publish_order_batch(store, "products", orders.filter("order_id = 11"), items.limit(0), dt.date(2024, 9, 1), dt.date(2024, 9, 1))
+    assert late == {"products": 2, "orders": 1, "order_items": 1} and store.read("orders").count() == 2
+
+
+def test_load_is_all_or_nothing(spark, scratch):
+    import os
+
+    import pytest
+
+    from tillbook.operators.quality import Check, ForeignKey, NotNull, TableRules, Unique
+    from tillbook.plans.integrity import Rejected, load_tables
+    from tillbook.sources.snapshots import ConcurrentPublish, SnapshotStore
+    store = SnapshotStore(spark, os.path.join(scratch, "lake"))
+    registry = [TableRules("products", [Unique(("product_id",)), NotNull("product_id"), Check("chk_stock", "stock_qty >= 0")]),
+                TableRules("items", [ForeignKey(("product_id",), "products", ("product_id",))])]
+    products = spark.createDataFrame([(1, 3), (2, 10)], "product_id long, stock_qty int")
+    items = spark.createDataFrame([(10, 1), (11, None)], "order_id long, product_id long")
+    first = load_tables(store, {"products": products, "items": items}, registry)
+    assert first == {"products": 0, "items": 0}
+    bad = spark.createDataFrame([(1, -3), (1, 4)], "product_id long, stock_qty int")
+    orphan = spark.createDataFrame([(10, 7)], "order_id long, product_id long")
+    with pytest.raises(Rejected, match="unique_product_id: 2 rows") as e:
+        load_tables(store, {"products": bad, "items": orphan}, registry)
+    assert "chk_stock: 1 rows" in str(e.value) and "fk_product_id_products: 1 rows" in str(e.value)
+    assert store.current_versions() == first
+    # a writer that dies when all tables are written, but none is published
+    broken = SnapshotStore(spark, store.root)
+    broken._commit = lambda versions: (_ for _ in ()).throw(OSError("gone"))
+    with pytest.raises(OSError):
+        load_tables(broken, {"products": products.limit(1), "items": items.limit(1)}, registry)
+    assert store.current_versions() == first and store.read("products").count() == 2
+    # one that dies between its claim and the publication blocks others until it is given up
+    store._claim(f"{store.root}/_published", store._listed(f"{store.root}/_published"))
+    with pytest.raises(ConcurrentPublish):
+        store.publish("products", products)
+    store.recover()
+    assert load_tables(store, {"products": products, "items": items}, registry).keys() == first.keys()
+    assert store.publish("items", items, mode="append") == store.current_version("items") and store.read("items").count() == 4
 
 
 def test_order_gaps_single_order_customer_is_normal(spark):

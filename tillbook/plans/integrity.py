@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.operators.quality import (Check, Default, ForeignKey, NotNull, TableRules, Unique,
@@ -184,17 +185,34 @@ def validate_period_args(report_type: str, start, end) -> None:
     validate_period(report_type, start, end)
 
 
-def publish_order_batch(store, products_table: str, orders, items, batch_from=BATCH_FROM, batch_to=BATCH_TO) -> int:
-    """Validate, then publish: the products table gets a new version with the
-    stock after the batch, or nothing is published when any stock would go
-    negative (the CHECK that made the original transaction roll back)."""
+class Rejected(ValueError):
+    """Rows that break a rule; nothing was published."""
+
+
+def load_tables(store, tables: dict[str, DataFrame], registry: list[TableRules]) -> dict[str, int]:
+    """All or nothing: the tables are checked against their rules, and published
+    together only if no row breaks one."""
+    broken = constraint_violations(tables, registry).filter(F.col("violations") > 0).collect()   # a row per rule at most
+    if broken:
+        raise Rejected("; ".join(f"{r.table_name}.{r.constraint_name}: {r.violations} rows" for r in broken))
+    return store.publish_many(tables)
+
+
+def publish_order_batch(store, products_table: str, orders, items, batch_from=BATCH_FROM, batch_to=BATCH_TO,
+                        orders_table: str = "orders", items_table: str = "order_items") -> dict[str, int]:
+    """One transaction: the batch's orders and items are appended and the stock
+    is lowered, in three tables that become current together; or nothing is
+    published, when any stock would go negative."""
     products = store.read(products_table)
     after = apply_order_batch(products, orders, items, batch_from, batch_to)
     bad = after.filter(~F.col("is_valid")).select("product_id", "stock_after").limit(1).collect()   # at most one row
     if bad:
-        raise ValueError(f"order batch rejected: product {bad[0].product_id} would have stock {bad[0].stock_after}")
+        raise Rejected(f"order batch rejected: product {bad[0].product_id} would have stock {bad[0].stock_after}")
     updated = (products.join(after.select("product_id", "stock_after"), "product_id", "left")
                .withColumn("stock_qty", F.coalesce(F.col("stock_after"), F.col("stock_qty").cast("long"))
                            .cast(products.schema["stock_qty"].dataType))
                .select(*products.columns))
-    return store.publish(products_table, updated)
+    new_orders = orders.filter(F.col("order_date").between(F.lit(batch_from), F.lit(batch_to)))
+    new = {orders_table: new_orders, items_table: items.join(new_orders.select("order_id"), "order_id", "left_semi").select(*items.columns)}
+    appended = {t: store.read(t).unionByName(df) if store.exists(t) else df for t, df in new.items()}
+    return store.publish_many({products_table: updated, **appended})

@@ -1,18 +1,20 @@
 """Versioned Parquet tables: the lake-table behaviour the jobs need, without a
 lake format.
 
-Layout under ``<root>/<table>/``:
-  ``v=<n>/``           data of version n
-  ``_commits/<n>``     empty marker: version n is complete and visible
-
-``publish`` first claims version n by creating ``_claims/<n>`` without
-overwrite (two concurrent writers cannot both claim it; a crashed writer only
-leaves a gap, as the next one claims max + 1), writes the data into a unique
-staging folder, renames it to ``v=<n>`` and then creates the commit marker.
-Readers take the highest committed version, so they never see a
-half-written table and a job can read version n while it writes n+1
-(overwriting a path that is being read fails in Spark). Files are accessed
-through the Hadoop FileSystem of the root, i.e. the cluster's shared storage.
+Layout under ``<root>/``:
+  ``<table>/v=<n>/``      data of version n of a table
+  ``_published/<n>``      a text file: the current version of every table
+
+A publication, of one table or of several, first claims a version number for
+each table by creating ``<table>/_claims/<n>`` without overwrite (two writers
+cannot both claim it; a crashed writer only leaves a gap), writes the data into
+a unique staging folder and renames it to ``v=<n>``. When all tables are
+written, one file with the versions of all tables is written aside and renamed
+to ``_published/<next>``, claimed in the same way. That rename is the only step
+that readers can see: they take the highest number, so they see all tables of a
+publication or none, never a half-written one, and a job can read version n
+while it writes n+1. Files are accessed through the Hadoop FileSystem of the
+root, i.e. the cluster's shared storage. Versions are kept until ``expire``.
 """
 
 from __future__ import annotations
@@ -37,30 +39,68 @@ class SnapshotStore:
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _commits(self, table: str) -> str:
-        return f"{self.root}/{table}/_commits"
-
     def _listed(self, folder: str) -> list[int]:
         d = self._Path(folder)
         if not self._fs.exists(d):
             return []
         return sorted(int(st.getPath().getName()) for st in self._fs.listStatus(d) if st.getPath().getName().isdigit())
 
+    def _claim(self, folder: str, taken: list[int]) -> int:
+        number = max([-1, *taken, *self._listed(f"{folder}/_claims")]) + 1
+        try:
+            self._fs.create(self._Path(f"{folder}/_claims/{number}"), False).close()
+        except Exception as e:  # the marker exists: another writer claimed this number first
+            raise ConcurrentPublish(f"{folder}: {number} was claimed by another writer") from e
+        return number
+
+    def current_versions(self) -> dict[str, int]:
+        """The current version of every published table."""
+        numbers = self._listed(f"{self.root}/_published")
+        if not numbers:
+            return {}
+        stream = self._fs.open(self._Path(f"{self.root}/_published/{numbers[-1]}"))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")        # a line per table
+        finally:
+            stream.close()
+        return {table: int(version) for table, version in (line.rsplit(" ", 1) for line in text.splitlines())}
+
+    def _commit(self, versions: dict[str, int]) -> None:
+        folder = f"{self.root}/_published"
+        published = self._listed(folder)
+        if self._unfinished(folder, published):
+            raise ConcurrentPublish(f"{folder}: another writer is publishing; recover() if it is gone")
+        number = self._claim(folder, published)
+        everything = self.current_versions() | versions
+        aside = self._Path(f"{folder}/_staging-{uuid.uuid4().hex}")
+        out = self._fs.create(aside, False)
+        out.write(bytearray("".join(f"{t} {v}\n" for t, v in sorted(everything.items())).encode()))
+        out.close()
+        if not self._fs.rename(aside, self._Path(f"{folder}/{number}")):
+            raise OSError(f"could not publish {sorted(versions)}")
+
+    def _unfinished(self, folder: str, published: list[int]) -> list[int]:
+        return [n for n in self._listed(f"{folder}/_claims") if n not in published and n > max([-1, *published])]
+
+    def recover(self) -> None:
+        """Give up the publications that a writer began and, being gone, will never
+        finish. Their tables stay as they were."""
+        folder = f"{self.root}/_published"
+        for n in self._unfinished(folder, self._listed(folder)):
+            self._fs.delete(self._Path(f"{folder}/_claims/{n}"), False)
+
     def committed_versions(self, table: str) -> list[int]:
-        return self._listed(self._commits(table))
+        """The table's versions that are whole, up to the current one."""
+        current = self.current_version(table)
+        return [] if current is None else [v for v in self._versions(table) if v <= current]
 
-    def _claim(self, table: str) -> int:
-        taken = self._listed(f"{self.root}/{table}/_claims") + self.committed_versions(table)
-        version = max(taken) + 1 if taken else 0
-        try:
-            self._fs.create(self._Path(f"{self.root}/{table}/_claims/{version}"), False).close()
-        except Exception as e:  # the marker exists: another writer claimed this version first
-            raise ConcurrentPublish(f"{table}: version {version} was claimed by another writer") from e
-        return version
+    def _versions(self, table: str) -> list[int]:
+        d = self._Path(f"{self.root}/{table}")
+        names = [st.getPath().getName() for st in self._fs.listStatus(d)] if self._fs.exists(d) else []
+        return sorted(int(n[2:]) for n in names if n.startswith("v="))
 
     def current_version(self, table: str) -> int | None:
-        versions = self.committed_versions(table)
-        return versions[-1] if versions else None
+        return self.current_versions().get(table)
 
     def exists(self, table: str) -> bool:
         return self.current_version(table) is not None
@@ -89,33 +129,29 @@ class SnapshotStore:
         if not self._fs.rename(self._Path(staging), self._Path(self.path(table, version))):
             raise OSError(f"{table}: could not move version {version} into place")
 
-    def _commit(self, table: str, version: int) -> None:
-        marker = self._Path(f"{self._commits(table)}/{version}")
-        out = self._fs.create(marker, False)        # no overwrite: one commit per version
-        out.close()
-
     def publish(self, table: str, df: DataFrame, allow_schema_change: bool = False,
-                partition_by: list[str] | None = None) -> int:
+                partition_by: list[str] | None = None, mode: str = "overwrite") -> int:
         """Write ``df`` as the next version and make it current. Unless
         ``allow_schema_change``, a schema different from the current one raises.
+        ``mode="append"`` makes the next version of the current rows and ``df``.
         ``partition_by`` lays the files out by those columns (e.g. a month), so
         readers filtering on them skip whole folders (partition pruning)."""
-        self._check_schema(table, df, allow_schema_change)
-        nxt = self._claim(table)
-        self._stage(table, df, nxt, partition_by)
-        self._commit(table, nxt)
-        return nxt
-
-    def publish_many(self, tables: dict[str, DataFrame], allow_schema_change: bool = False) -> dict[str, int]:
-        """Validate-then-publish several tables: every version is written first
-        and the commits are made only after all writes succeeded."""
+        return self.publish_many({table: df}, allow_schema_change, partition_by, mode)[table]
+
+    def publish_many(self, tables: dict[str, DataFrame], allow_schema_change: bool = False,
+                     partition_by: list[str] | None = None, mode: str = "overwrite") -> dict[str, int]:
+        """Write the next version of several tables and make all of them current
+        at once. Whatever fails before that leaves every table as it was."""
+        if mode not in ("overwrite", "append"):
+            raise ValueError(f"unknown mode {mode!r}")
         versions = {}
         for t, df in tables.items():
-            self._check_schema(t, df, allow_schema_change)
-            versions[t] = self._claim(t)
-            self._stage(t, df, versions[t])
-        for t, v in versions.items():
-            self._commit(t, v)
+            current = self._check_schema(t, df, allow_schema_change)
+            if mode == "append" and current is not None:
+                df = self.read(t, current).unionByName(df, allowMissingColumns=allow_schema_change)
+            versions[t] = self._claim(f"{self.root}/{t}", self._versions(t))
+            self._stage(t, df, versions[t], partition_by)
+        self._commit(versions)
         return versions
 
     def expire(self, table: str, keep: int) -> None:
@@ -124,6 +160,4 @@ class SnapshotStore:
         if keep < 1:
             raise ValueError("at least the current version is kept")
         for v in self.committed_versions(table)[:-keep]:
-            self._fs.delete(self._Path(f"{self._commits(table)}/{v}"), False)
-            self._fs.delete(self._Path(f"{self.root}/{table}/_claims/{v}"), False)
             self._fs.delete(self._Path(self.path(table, v)), True)
