@@ -18,7 +18,8 @@ from tillbook.functions import (clip_null_safe, collapse_spaces, email_is_valid,
 from tillbook.functions.text import EMAIL_PATTERN
 from tillbook.operators.dedup import count_duplicates
 from tillbook.operators.quality import describe_exact, null_counts, schema_frame
-from tillbook.plans.model import (TITLE_SQL, listing, oracle, raw_items, raw_orders, raw_products, shop_customers)
+from tillbook.plans.model import (TITLE_SQL, listing, oracle, raw_items, raw_orders, raw_products, shop_customers,
+                                  superstore)
 from tillbook.plans.registry import register
 from tillbook.sources.tables import load
 
@@ -229,11 +230,11 @@ def null_counts_q(spark, d):
     return null_counts(raw_orders(spark, d))
 
 
-@register("w5_dedup_counts", """
-SELECT COUNT(*) AS total_rows, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lineitem)) AS distinct_rows,
-       COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicate_rows FROM lineitem""")
+@register("w5_dedup_counts", oracle(["superstore"], """
+SELECT CAST(SUM(n) AS BIGINT) AS total_rows, COUNT(*) AS distinct_rows, CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows
+FROM (SELECT COUNT(*) AS n FROM superstore GROUP BY order_id, product_id, sales, quantity, discount, ship_date)"""))
 def dedup_counts_q(spark, d):
-    return count_duplicates(load(spark, d, "lineitem"))
+    return count_duplicates(superstore(spark, d, dims=()))
 
 
 _DESCRIBE_COLS = ("l_quantity", "l_extendedprice", "l_discount")

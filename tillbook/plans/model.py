@@ -33,7 +33,7 @@ REGISTRATION_BASE = "1994-06-01"    # registration = base + (c_custkey * 37) % 1
 SHOPA_CANCELLED = (11, 4)           # o_orderkey % 11 = 4 -> order cancelled (shop A)
 WEIGHT_NULL = 17                    # p_partkey % 17 = 0 -> product weight missing
 UNTRANSLATED_CATEGORY = "PROMO"     # category without an English translation
-REPEATED = (9, 2)                   # key % 9 = 2 -> the marketplace row arrives twice
+REPEATED = (9, 2)                   # key % 9 = 2 -> the marketplace or superstore row arrives twice
 FREE_ITEM = (29, 4)                 # l_orderkey % 29 = 4 -> line with price 0
 SECOND_PAYMENT = (5, 1)             # o_orderkey % 5 = 1 -> paid in two equal instalments
 NEGATIVE_PAYMENT = (31, 3)          # o_orderkey % 31 = 3 -> payment below 0
@@ -280,20 +280,22 @@ SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, CAST(l_s
        o_orderpriority AS ship_mode, c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS segment,
        g.nation_name AS state, g.region_name AS region, p_partkey AS product_id, p_type AS category,
        p_brand AS sub_category, p_name AS product_name,
-       CAST(l_extendedprice AS {MONEY.upper()}) AS sales, CAST(l_quantity AS INTEGER) AS quantity,
+       CAST(ROUND(l_extendedprice / 1000) * 1000 AS {MONEY.upper()}) AS sales, CAST(l_quantity AS INTEGER) AS quantity,
        CAST(l_discount AS {RATE.upper()}) AS discount,
-       CAST(l_extendedprice AS {MONEY.upper()}) * (1 - CAST(l_discount AS {RATE.upper()}))
+       CAST(ROUND(l_extendedprice / 1000) * 1000 AS {MONEY.upper()}) * (1 - CAST(l_discount AS {RATE.upper()}))
          - CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS {MONEY.upper()}) AS profit
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+FROM lineitem JOIN (VALUES (FALSE), (TRUE)) AS t(again) ON NOT again OR l_orderkey % {REPEATED[0]} = {REPEATED[1]} JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
      JOIN geo g ON g.nation_key = c_nationkey JOIN part ON p_partkey = l_partkey
 """)
 def superstore(spark, d, dims=("order", "customer", "product"), distinct_lines: bool = False):
     """Flat sales lines. ``dims`` limits the joins to what the caller reads:
     'order' (dates, ship mode), 'customer' (name, segment, state, region),
-    'product' (category, names, profit). Foreign keys are total in the
-    warehouse, so dropping an unread dimension never changes the lines."""
-    li = load(spark, d, "lineitem")
-    amount = F.col("l_extendedprice").cast(MONEY)
+    'product' (category, names, profit). Dropping an unread dimension leaves the
+    lines as they are only because every foreign key has its row, which
+    ``tests/test_invariants.py`` checks. Sales are whole thousands, so customers
+    tie, and the lines of some orders arrive twice."""
+    li = _twice(load(spark, d, "lineitem"), "l_orderkey")
+    amount = (F.round(F.col("l_extendedprice") / 1000) * 1000).cast(MONEY)
     df = li.select("l_orderkey", "l_partkey", amount.alias("sales"),
                    F.col("l_quantity").cast("int").alias("quantity"),
                    F.col("l_discount").cast(RATE).alias("discount"),

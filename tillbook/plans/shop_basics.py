@@ -25,8 +25,8 @@ DATE_FROM, DATE_TO = dt.date(1996, 8, 10), dt.date(1996, 8, 25)
 BRANDS = ("Brand#1", "Brand#7")
 HAVING_AVG = 950
 # Fixed values of the price tier rule.
-TIER_BUDGET_BELOW = 1000
-TIER_MID_UPTO = 3000
+TIER_BUDGET_BELOW = 905
+TIER_MID_UPTO = 910
 
 
 def _dbl(c):
