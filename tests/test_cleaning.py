@@ -162,3 +162,19 @@ def test_period_arguments_are_checked():
         validate_period("yearly", dt.date(2025, 1, 1), dt.date(2025, 1, 31))
     with pytest.raises(ValueError):
         validate_period("daily", dt.date(2025, 2, 1), dt.date(2025, 1, 31))
+
+
+def test_period_report_by_day_texts(spark):
+    import pytest
+
+    from tillbook.plans.shop_analytics import parse_day, period_report
+    sf = "/root/testdata/sf0.001"
+    daily = period_report(spark, sf, "daily", "1997-01-01", " 1997-01-31 ").collect()
+    monthly = period_report(spark, sf, "monthly", "1997-01-01", "1997-01-31").collect()
+    assert len(monthly) == 1 < len(daily) and sum(r.total_orders for r in daily) == monthly[0].total_orders
+    empty = period_report(spark, sf, "weekly", "1900-01-01", "1900-02-01").collect()
+    assert [tuple(r) for r in empty] == [(None, 0, 0.0, 0)]
+    assert parse_day("2024-02-29") == dt.date(2024, 2, 29)
+    for bad in (("daily", "01/02/1997", "1997-01-31"), ("daily", "1997-02-30", "1997-03-01"), ("daily", "1997-02-01", "1997-01-01"), ("yearly", "1997-01-01", "1997-01-02")):
+        with pytest.raises(ValueError):
+            period_report(spark, sf, *bad)
