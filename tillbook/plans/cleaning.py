@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions import (clip_null_safe, collapse_spaces, email_is_valid, ntz_literal, parse_multi_timestamp,
@@ -67,15 +67,19 @@ def clean_products(df: DataFrame) -> DataFrame:
                      "cost_price", (F.col("product_name") != titled).alias("was_messy"))
 
 
-def clean_items(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Flag returns, zero quantities and out-of-range discounts (rows kept),
-    clamp discount to [0, 100] keeping NULL, drop lines whose order is unknown."""
+def flag_items(items: DataFrame) -> DataFrame:
+    """Flag returns, zero quantities and out-of-range discounts (rows kept) and
+    clamp discount to [0, 100] keeping NULL."""
     d = F.col("discount_percent")
-    flagged = items.select("item_id", "order_id", "product_id", "quantity", "line_amount",
-                           clip_null_safe(d, 0, 100).alias("discount_percent"),
-                           (F.col("quantity") < 0).alias("is_return"), (F.col("quantity") == 0).alias("is_zero"),
-                           ((d < 0) | (d > 100)).alias("discount_was_invalid"))
-    return flagged.join(orders.select("order_id"), "order_id", "left_semi")
+    return items.select("item_id", "order_id", "product_id", "quantity", "line_amount",
+                        clip_null_safe(d, 0, 100).alias("discount_percent"),
+                        (F.col("quantity") < 0).alias("is_return"), (F.col("quantity") == 0).alias("is_zero"),
+                        ((d < 0) | (d > 100)).alias("discount_was_invalid"))
+
+
+def clean_items(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Flagged lines without those whose order is unknown."""
+    return flag_items(items).join(orders.select("order_id"), "order_id", "left_semi")
 
 
 def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -137,29 +141,34 @@ def quality_report(customers: DataFrame, products: DataFrame, orders: DataFrame,
     finding are left out, except the referential-integrity line which always appears."""
     co = clean_orders(orders, as_of)
     cp = clean_products(products)
+    lines = flag_items(items)
+    known = orders.select(F.col("order_id").alias("of")).dropna().distinct()
+    lines = lines.join(known, lines["order_id"] == known["of"], "left")
+    # one aggregate per table finds its defects, and the rows that repeat as a whole
     o_one = co.agg(F.count_if("had_missing_customer").alias("missing_customer_id"),
                    F.count_if(F.col("order_date").isNull()).alias("unparseable_order_date"),
                    F.count_if("had_dd_mm_date").alias("dd_mm_yyyy_dates"),
                    F.count_if("is_future").alias("future_order_date"),
-                   F.count_if(~F.col("status_valid")).alias("invalid_status"))
-    p_one = cp.agg(F.count_if("was_messy").alias("messy_product_name"))
-    i_one = items.agg(F.count_if(F.col("quantity") < 0).alias("negative_quantity"),
-                      F.count_if(F.col("quantity") == 0).alias("zero_quantity"),
-                      F.count_if((F.col("discount_percent") < 0) | (F.col("discount_percent") > 100))
-                      .alias("discount_out_of_range"))
-    c_one = customers.agg(F.count_if(~email_is_valid("email")).alias("invalid_email"))
-    orphan = orphan_items(items, orders).agg(F.count(F.lit(1)).alias("orphan_items"))
-    ci = clean_items(items, orders)
-    dups = [count_duplicates(df).select(F.lit(name).alias("table_name"), F.lit("duplicate_rows").alias("check_name"),
-                                        F.col("duplicate_rows").cast("long").alias("n_rows"))
-            for name, df in (("customers", customers), ("products", cp), ("orders", co), ("order_items", ci))]
+                   F.count_if(~F.col("status_valid")).alias("invalid_status"), _repeats(co.columns))
+    p_one = cp.agg(F.count_if("was_messy").alias("messy_product_name"), _repeats(cp.columns))
+    i_one = lines.agg(F.count_if("is_return").alias("negative_quantity"), F.count_if("is_zero").alias("zero_quantity"),
+                      F.count_if("discount_was_invalid").alias("discount_out_of_range"),
+                      _repeats([c for c in lines.columns if c != "of"], F.col("of").isNotNull()),
+                      F.count_if(F.col("of").isNull()).alias("orphan_items"))
+    c_one = customers.agg(F.count_if(~email_is_valid("email")).alias("invalid_email"), _repeats(customers.columns))
     parts = [_long(o_one, "orders", ["missing_customer_id", "unparseable_order_date", "dd_mm_yyyy_dates",
-                                     "future_order_date", "invalid_status"]),
-             _long(p_one, "products", ["messy_product_name"]),
-             _long(i_one, "order_items", ["negative_quantity", "zero_quantity", "discount_out_of_range"]),
-             _long(c_one, "customers", ["invalid_email"])] + dups
-    found = reduce(DataFrame.unionByName, parts).filter(F.col("n_rows") > 0)
-    return found.unionByName(_long(orphan, "order_items", ["orphan_items"]))
+                                     "future_order_date", "invalid_status", "duplicate_rows"]),
+             _long(p_one, "products", ["messy_product_name", "duplicate_rows"]),
+             _long(i_one, "order_items", ["negative_quantity", "zero_quantity", "discount_out_of_range", "duplicate_rows", "orphan_items"]),
+             _long(c_one, "customers", ["invalid_email", "duplicate_rows"])]
+    return reduce(DataFrame.unionByName, parts).filter((F.col("n_rows") > 0) | (F.col("check_name") == "orphan_items"))
+
+
+def _repeats(columns: list[str], where: Column | None = None) -> Column:
+    """The rows (where a condition holds) less the different ones."""
+    row = F.struct(*columns)
+    row = row if where is None else F.when(where, row)
+    return (F.count(row) - F.count_distinct(row)).alias("duplicate_rows")
 
 
 def _sql_quality() -> str:
