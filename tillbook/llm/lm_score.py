@@ -116,7 +116,9 @@ def score_documents(docs: DataFrame, target: DataFrame, key: str = "doc_id", tex
     """
     good = target.select(F.col(target.columns[0]).alias("__good")).where("__good is not null").distinct()
     body = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    marked = body.join(good, F.col("key") == F.col("__good"), "left").select("text", F.col("__good").isNotNull().alias("chosen"))
+    # the plan is the same at every size: labels grow with the corpus, so they are never sent whole to all tasks
+    marked = (body.join(good.hint("merge"), F.col("key") == F.col("__good"), "left")
+              .select("text", F.col("__good").isNotNull().alias("chosen")))
     model = docs.sparkSession.sparkContext.broadcast(
         Model.of(count_grams(marked, "text", "chosen", tokenizer), vocabulary(tokenizer)))
     schema = body.select("key").schema.add("n_tokens", "long")
