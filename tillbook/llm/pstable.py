@@ -30,7 +30,7 @@ SIMILARITY = 0.98
 #: of 0.25, so one of 32 tables does with 0.9999; at a right angle with 3e-5. More
 #: hashes and tables keep the comparisons few where a label has far more than a million vectors.
 TABLES, HASHES, WIDTH = 32, 8, 1.0
-BLOCK = 2048
+BLOCK = 256
 SEED = 7
 
 
