@@ -30,6 +30,8 @@ PAIR_BITS = 21
 PAIR_WEIGHT = 20.0
 #: Added to the count of every id.
 EXTRA = 0.5
+#: Ids that are looked at together.
+STEP = 1 << 19
 
 
 def vocabulary(tokenizer: str) -> int:
@@ -37,11 +39,29 @@ def vocabulary(tokenizer: str) -> int:
     return _encoders(tokenizer)[1].get_vocab_size()
 
 
-def _pairs(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The id before each id, and the place of the pair."""
-    before = np.r_[np.uint64(size), ids[:-1].astype(np.uint64)]
-    key = (before * np.uint64(size + 1) + ids.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return before.astype(np.int64), (key >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+def _joined(texts: Iterable[str | None], tokenizer: str, size: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """The ids of texts one after the other, some ``STEP`` at a time: the number
+    of ids of each text, the ids, the id before each, and the place of the pair."""
+    held: list[np.ndarray] = []
+    total = 0
+
+    def joined() -> tuple[np.ndarray, ...]:
+        counts = np.array([len(x) for x in held], np.int64)
+        ids = np.concatenate(held).astype(np.int64)
+        before = np.empty_like(ids)
+        before[1:] = ids[:-1]
+        before[(np.cumsum(counts) - counts)[counts > 0]] = size
+        key = (before.view(np.uint64) * np.uint64(size + 1) + ids.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        return counts, ids, before, (key >> np.uint64(64 - PAIR_BITS)).view(np.int64)
+
+    for text in texts:
+        held.append(token_ids(text, tokenizer)[:-1])
+        total += len(held[-1])
+        if total >= STEP:
+            yield joined()
+            held, total = [], 0
+    if held:
+        yield joined()
 
 
 def count_grams(docs: DataFrame, text: str, target: str, tokenizer: str) -> DataFrame:
@@ -54,15 +74,13 @@ def count_grams(docs: DataFrame, text: str, target: str, tokenizer: str) -> Data
         size = vocabulary(tokenizer)
         counts = np.zeros((2, 2 * (size + 1) + (1 << PAIR_BITS)), np.int64)
         for batch in batches:
-            for body, chosen in zip(batch.column(0), batch.column(1).to_pylist()):
-                ids = token_ids(body.as_py(), tokenizer)[:-1]
-                if not len(ids):
-                    continue
-                before, place = _pairs(ids, size)
-                for row in (0, 1) if chosen else (1,):
-                    for first, found in ((0, ids), (size + 1, before), (2 * size + 2, place)):
-                        at, n = np.unique(found, return_counts=True)
-                        counts[row, at.astype(np.int64) + first] += n
+            marks, done = np.array(batch.column(1).to_pylist(), bool), 0
+            for sizes, ids, before, place in _joined((t.as_py() for t in batch.column(0)), tokenizer, size):
+                chosen = np.repeat(marks[done:done + len(sizes)], sizes)
+                done += len(sizes)
+                for row, some in ((0, chosen), (1, slice(None))):
+                    for first, found, many in ((0, ids, size + 1), (size + 1, before, size + 1), (2 * size + 2, place, 1 << PAIR_BITS)):
+                        counts[row, first:first + many] += np.bincount(found[some], minlength=many)
         at = np.flatnonzero(counts[1])
         for step in range(0, len(at), 1 << 16):
             some = at[step:step + (1 << 16)]
@@ -90,10 +108,9 @@ class Model:
         counts[1] *= totals[0] / totals[1] if totals[0] and totals[1] else 1.0
         return cls(size, counts.astype(np.float32), counts[:, :size].sum(axis=1))
 
-    def losses(self, ids: np.ndarray) -> np.ndarray:
+    def losses(self, ids: np.ndarray, before: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The loss of each id in nats, under the target and the background model."""
-        before, place = _pairs(ids, self.size)
-        ids, first = ids.astype(np.int64), self.size + 1
+        first = self.size + 1
         one = (self.counts[:, ids] + EXTRA) / (self.totals[:, None] + EXTRA * self.size)
         two = (self.counts[:, 2 * first + place] + PAIR_WEIGHT * one) / (self.counts[:, first + before] + PAIR_WEIGHT)
         return -np.log(np.minimum(two, 1.0))
@@ -127,16 +144,19 @@ def score_documents(docs: DataFrame, target: DataFrame, key: str = "doc_id", tex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for t in batch.column("text"):
-                ids = token_ids(t.as_py(), tokenizer)[:-1]
-                if len(ids):
-                    good_loss, all_loss = model.value.losses(ids).mean(axis=1, dtype=np.float64).tolist()
-                    rows.append((len(ids), good_loss, all_loss, good_loss - all_loss))
-                else:
-                    rows.append((0, None, None, None))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), *(pa.array([r[n] for r in rows], pa.float64() if n else pa.int64()) for n in range(4))],
-                names=schema.names)
+            counts, means = [], []
+            for sizes, *found in _joined((t.as_py() for t in batch.column("text")), tokenizer, model.value.size):
+                mean = np.full((2, len(sizes)), np.nan)
+                some = sizes > 0
+                if some.any():
+                    starts = (np.cumsum(sizes) - sizes)[some]
+                    mean[:, some] = np.add.reduceat(model.value.losses(*found), starts, axis=1, dtype=np.float64) / sizes[some]
+                counts.append(sizes)
+                means.append(mean)
+            if counts:
+                good_loss, all_loss = np.concatenate(means, axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key"), pa.array(np.concatenate(counts)),
+                     *(pa.array(x, from_pandas=True) for x in (good_loss, all_loss, good_loss - all_loss))], names=schema.names)
 
     return body.mapInArrow(run, schema).withColumnRenamed("key", key)
