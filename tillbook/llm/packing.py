@@ -32,7 +32,7 @@ from tillbook.llm.common import cut
 
 CAPACITY = 2048
 #: Pieces that one task packs at a time, under a million.
-PER_PARTITION = 16_384
+PER_PARTITION = 65_536
 #: Dual-feasible functions u(k) of Fekete and Schepers up to this k.
 MOST_K = 100
 
