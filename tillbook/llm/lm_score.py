@@ -36,7 +36,7 @@ STEP = 1 << 19
 
 def vocabulary(tokenizer: str) -> int:
     """Ids of the tokenizer; the number itself is the begin mark's id."""
-    return _encoders(tokenizer)[1].get_vocab_size()
+    return _encoders(tokenizer)[2].get_vocab_size()
 
 
 def _joined(texts: Iterable[str | None], tokenizer: str, size: int) -> Iterator[tuple[np.ndarray, ...]]:
