@@ -59,6 +59,18 @@ def test_scores_match_brute_force(spark, docs_of, table):
     assert lm_score.score_documents(docs_of(rows), target.where("false")).count() == len(rows)
 
 
+@pytest.mark.parametrize("step", [lm_score.STEP, 3000])
+def test_pairs_share_no_count(spark, docs_of, table, step):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300).collect()]
+    rows += [(None, rows[3][1]), (rows[5][0], rows[5][1]), (90_001, None)]
+    good = [r[0] for r in rows[:100:2]]
+    got = sorted(map(tuple, lm_score.score_documents(docs_of(rows), table([(i,) for i in good], "doc_id long"), step=step).collect()),
+                 key=lambda r: (repr(r[0]), r[1]))
+    want = sorted(slow_losses(rows, set(good), True), key=lambda r: (repr(r[0]), r[1]))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert max(abs(g[n] - w[n]) for g, w in zip(got, want) if w[2] is not None for n in (2, 3)) < 1e-9
+
+
 def test_good_documents_score_lower(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

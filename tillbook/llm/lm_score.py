@@ -7,10 +7,14 @@ counts scaled to the target's number of tokens, so that smoothing weighs the
 same in both. A document's score is the mean over its tokens of the difference
 of their losses.
 
-Counts come from every token of every document: each task adds up its own and
-sends one row for each count, the rows are added by number, and the sums fill
-tables of a fixed size (pairs of ids share 2^21 places), which therefore can be
-sent to all tasks whatever the corpus.
+Counts come from every token of every document and are exact. Those of single
+ids, bounded by the vocabulary, are sent to all tasks. Those of pairs grow with
+the corpus and stay apart: documents are read in chunks of about ``STEP``
+tokens, a chunk sends its different pairs with their counts to the buckets that
+their hashes choose, a bucket adds them up and sends every chunk the sums of
+its own pairs, and the chunk's documents are scored with them. There are the
+more buckets the more tokens, and a pair is in a bucket once for each chunk,
+however common it is, so no task holds more than a bounded share.
 """
 
 from __future__ import annotations
@@ -20,18 +24,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from tillbook.llm.common import cut
 from tillbook.llm.packing import _encoders, token_ids
 
-#: Places for pairs of ids, as a power of two.
-PAIR_BITS = 21
+#: Bits of a pair's number; no two pairs share one.
+PAIR_BITS = 64
 #: Weight of the lower order, in tokens.
 PAIR_WEIGHT = 20.0
 #: Added to the count of every id.
 EXTRA = 0.5
-#: Ids that are looked at together.
+#: Ids that are looked at together; a longer document is looked at alone.
 STEP = 1 << 19
+#: Buckets of pairs at least, and tokens of the corpus for each of them.
+BUCKETS = 512
+BUCKET_TOKENS = 1 << 18
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def vocabulary(tokenizer: str) -> int:
@@ -39,85 +51,160 @@ def vocabulary(tokenizer: str) -> int:
     return _encoders(tokenizer)[2].get_vocab_size()
 
 
-def _joined(texts: Iterable[str | None], tokenizer: str, size: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """The ids of texts one after the other, some ``STEP`` at a time: the number
-    of ids of each text, the ids, the id before each, and the place of the pair."""
-    held: list[np.ndarray] = []
-    total = 0
-
-    def joined() -> tuple[np.ndarray, ...]:
-        counts = np.array([len(x) for x in held], np.int64)
-        ids = np.concatenate(held).astype(np.int64)
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        before[(np.cumsum(counts) - counts)[counts > 0]] = size
-        key = (before.view(np.uint64) * np.uint64(size + 1) + ids.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        return counts, ids, before, (key >> np.uint64(64 - PAIR_BITS)).view(np.int64)
-
-    for text in texts:
-        held.append(token_ids(text, tokenizer)[:-1])
-        total += len(held[-1])
-        if total >= STEP:
-            yield joined()
-            held, total = [], 0
-    if held:
-        yield joined()
-
-
-def count_grams(docs: DataFrame, text: str, target: str, tokenizer: str) -> DataFrame:
-    """``(place, in_target, in_all)``: how often each id, each id as a context
-    and each pair occurs, in the documents where ``target`` is true and in all.
-
-    Places: ids from 0, contexts from ``vocabulary + 1``, pairs after them.
-    """
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers from 0, compressed, behind their width and count."""
+    low = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+    return bytes([low.itemsize]) + len(low).to_bytes(7, "little") + pa.compress(low.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    width, count = data[0], int.from_bytes(data[1:8], "little")
+    if not count:
+        return np.zeros(0, np.int64)
+    return np.frombuffer(pa.decompress(data[8:], width * count, "zstd", asbytes=True), f"<u{width}").astype(np.int64)
+
+
+def _befores(ids: np.ndarray, sizes: np.ndarray, size: int) -> np.ndarray:
+    """The id before each, where the texts' ids stand one after the other."""
+    before = np.empty_like(ids)
+    before[1:] = ids[:-1]
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = size
+    return before
+
+
+def _dealt(ids: np.ndarray, before: np.ndarray, size: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different pairs, the place of each token's pair among them, their
+    places by bucket, and where each bucket begins in that order."""
+    assert (size + 1) ** 2 <= 1 << (PAIR_BITS - 1)
+    pairs, of = np.unique(before * (size + 1) + ids, return_inverse=True)
+    bucket = ((pairs.view(np.uint64) * _MIX) >> np.uint64(32)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    return pairs, of, order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+
+
+def _chunks(marked: DataFrame, tokenizer: str, step: int) -> DataFrame:
+    """``(chunk, keys, sizes, chosen, ids)``: rows (key, text, chosen), some ``step`` ids together."""
+    kind = marked.schema["key"].dataType.simpleString()
+    schema = f"chunk long, keys array<{kind}>, sizes array<long>, chosen array<boolean>, ids binary, n long"
+    arrow = to_arrow_schema(marked.sparkSession.createDataFrame([], schema).schema)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = vocabulary(tokenizer)
-        counts = np.zeros((2, 2 * (size + 1) + (1 << PAIR_BITS)), np.int64)
+        chunk, held, total = TaskContext.get().partitionId() << 32, [], 0
+
+        def row() -> pa.RecordBatch:
+            keys, chosen, ids = zip(*held)
+            values = (chunk, keys, [len(x) for x in ids], chosen, _packed(np.concatenate(ids)), total)
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
+
         for batch in batches:
-            marks, done = np.array(batch.column(1).to_pylist(), bool), 0
-            for sizes, ids, before, place in _joined((t.as_py() for t in batch.column(0)), tokenizer, size):
-                chosen = np.repeat(marks[done:done + len(sizes)], sizes)
-                done += len(sizes)
-                for row, some in ((0, chosen), (1, slice(None))):
-                    for first, found, many in ((0, ids, size + 1), (size + 1, before, size + 1), (2 * size + 2, place, 1 << PAIR_BITS)):
-                        counts[row, first:first + many] += np.bincount(found[some], minlength=many)
+            for key, text, chosen in zip(*batch.columns):
+                held.append((key.as_py(), chosen.as_py(), token_ids(text.as_py(), tokenizer)[:-1]))
+                total += len(held[-1][2])
+                if total >= step or len(held) >= step:
+                    yield row()
+                    chunk, held, total = chunk + 1, [], 0
+        if held:
+            yield row()
+
+    return marked.select("key", "text", "chosen").mapInArrow(run, schema)
+
+
+def count_ids(chunks: DataFrame, size: int) -> np.ndarray:
+    """How often each id and, from ``size + 1``, each id as a context occurs: [target or all, place]."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, 2 * (size + 1)), np.int64)
+        for batch in batches:
+            for sizes, chosen, data in zip(batch.column(0), batch.column(1), batch.column(2)):
+                sizes, ids = np.array(sizes.as_py(), np.int64), _unpacked(data.as_py())
+                before, good = _befores(ids, sizes, size), np.repeat(np.array(chosen.as_py(), bool), sizes)
+                for row, some in ((0, good), (1, slice(None))):
+                    counts[row] += np.bincount(ids[some], minlength=2 * (size + 1))
+                    counts[row] += np.bincount(before[some] + size + 1, minlength=2 * (size + 1))
         at = np.flatnonzero(counts[1])
-        for step in range(0, len(at), 1 << 16):
-            some = at[step:step + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[0, some]), pa.array(counts[1, some])],
-                                             names=["place", "in_target", "in_all"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[0, at]), pa.array(counts[1, at])],
+                                         names=["place", "in_target", "in_all"])
+
+    table = (chunks.select("sizes", "chosen", "ids").mapInArrow(run, "place int, in_target long, in_all long")
+             .groupBy("place").agg(F.sum("in_target").alias("in_target"), F.sum("in_all").alias("in_all"))
+             .toArrow())                                     # as many rows as there are places at most
+    counts = np.zeros((2, 2 * (size + 1)), np.int64)
+    at = table["place"].to_numpy()
+    counts[0, at], counts[1, at] = table["in_target"].to_numpy(), table["in_all"].to_numpy()
+    return counts
+
+
+def count_pairs(chunks: DataFrame, size: int, buckets: int) -> DataFrame:
+    """``(chunk, bucket, target, every)``: for each chunk and bucket, how often
+    the chunk's pairs of that bucket occur in the target and in all documents."""
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, sizes, chosen, data in zip(*batch.columns):
+                sizes, ids = np.array(sizes.as_py(), np.int64), _unpacked(data.as_py())
+                pairs, of, order, starts = _dealt(ids, _befores(ids, sizes, size), size, buckets)
+                good = np.repeat(np.array(chosen.as_py(), bool), sizes)
+                each = pairs, np.bincount(of[good], minlength=len(pairs)), np.bincount(of, minlength=len(pairs))
+                rows = []
+                for b in np.flatnonzero(np.diff(starts)).tolist():
+                    some = order[starts[b]:starts[b + 1]]    # in the order of the pairs, which therefore go as differences
+                    rows.append((chunk.as_py(), b, _packed(np.diff(each[0][some], prepend=0)), _packed(each[1][some]), _packed(each[2][some])))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
+                        pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["chunk", "bucket", "pairs", "target", "every"])
 
-    each = docs.select(F.col(text).cast("string"), F.coalesce(target, F.lit(False))).mapInArrow(
-        run, "place int, in_target long, in_all long")
-    return each.groupBy("place").agg(F.sum("in_target").alias("in_target"), F.sum("in_all").alias("in_all"))
+    def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sums() -> pa.RecordBatch:
+            pairs = [np.cumsum(_unpacked(p)) for _, p, _, _ in held]
+            different, of = np.unique(np.concatenate(pairs), return_inverse=True)
+            total = np.zeros((2, len(different)), np.int64)
+            for row in (0, 1):
+                np.add.at(total[row], of, np.concatenate([_unpacked(h[2 + row]) for h in held]))
+            ends = np.cumsum([len(p) for p in pairs])
+            own = [of[end - len(p):end] for end, p in zip(ends, pairs)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([h[0] for h in held], pa.int64()), pa.array([now] * len(held), pa.int64()),
+                 *(pa.array([_packed(total[row, o]) for o in own], pa.binary()) for row in (0, 1))],
+                names=["chunk", "bucket", "target", "every"])
+
+        now, held = None, []
+        for batch in batches:
+            for chunk, bucket, *data in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and bucket != now:
+                    yield sums()
+                    held = []
+                now = bucket
+                held.append((chunk, *data))
+        if held:
+            yield sums()
+
+    asked = chunks.select("chunk", "sizes", "chosen", "ids").mapInArrow(
+        ask, "chunk long, bucket long, pairs binary, target binary, every binary")
+    return (asked.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(answer, "chunk long, bucket long, target binary, every binary"))
 
 
 @dataclass
 class Model:
     size: int
-    counts: np.ndarray          # float32 [target or background, place]
+    counts: np.ndarray          # of ids and contexts: [target or background, place]
     totals: np.ndarray
+    scale: np.ndarray           # of the counts
 
     @classmethod
-    def of(cls, grams: DataFrame, size: int) -> Model:
-        counts = np.zeros((2, 2 * (size + 1) + (1 << PAIR_BITS)), np.float64)
-        table = grams.toArrow()                              # as many rows as there are places at most
-        at = table["place"].to_numpy()
-        counts[0, at], counts[1, at] = table["in_target"].to_numpy(), table["in_all"].to_numpy()
-        totals = counts[:, :size].sum(axis=1)
-        counts[1] *= totals[0] / totals[1] if totals[0] and totals[1] else 1.0
-        return cls(size, counts.astype(np.float32), counts[:, :size].sum(axis=1))
-
-    def losses(self, ids: np.ndarray, before: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """The loss of each id in nats, under the target and the background model."""
-        first = self.size + 1
+    def of(cls, counts: np.ndarray, size: int) -> Model:
+        totals = counts[:, :size].sum(axis=1).astype(np.float64)
+        scale = np.array([1.0, totals[0] / totals[1] if totals[0] and totals[1] else 1.0])
+        return cls(size, counts * scale[:, None], totals * scale, scale)
+
+    def losses(self, ids: np.ndarray, before: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """The loss of each id in nats, under the target and the background
+        model; ``pairs`` has the counts of its pair in the target and in all."""
         one = (self.counts[:, ids] + EXTRA) / (self.totals[:, None] + EXTRA * self.size)
-        two = (self.counts[:, 2 * first + place] + PAIR_WEIGHT * one) / (self.counts[:, first + before] + PAIR_WEIGHT)
-        return -np.log(np.minimum(two, 1.0))
+        two = (pairs * self.scale[:, None] + PAIR_WEIGHT * one) / (self.counts[:, self.size + 1 + before] + PAIR_WEIGHT)
+        return -np.log(two)
 
 
 def score_documents(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text",
-                    tokenizer: str = "byte_bpe_50k") -> DataFrame:
+                    tokenizer: str = "byte_bpe_50k", step: int = STEP) -> DataFrame:
     """Cross-entropy difference of every document.
 
     ``target`` holds the keys of the documents that the target model is counted
@@ -135,28 +222,51 @@ def score_documents(docs: DataFrame, target: DataFrame, key: str = "doc_id", tex
     body = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     # the plan is the same at every size: labels grow with the corpus, so they are never sent whole to all tasks
     marked = (body.join(good.hint("merge"), F.col("key") == F.col("__good"), "left")
-              .select("text", F.col("__good").isNotNull().alias("chosen")))
-    model = docs.sparkSession.sparkContext.broadcast(
-        Model.of(count_grams(marked, "text", "chosen", tokenizer), vocabulary(tokenizer)))
+              .select("key", "text", F.col("__good").isNotNull().alias("chosen")))
+    size = vocabulary(tokenizer)
+    chunks = cut(_chunks(marked, tokenizer, step))
+    buckets = max(BUCKETS, (chunks.agg(F.sum("n")).first()[0] or 0) // BUCKET_TOKENS)
+    model = docs.sparkSession.sparkContext.broadcast(Model.of(count_ids(chunks, size), size))
     schema = body.select("key").schema.add("n_tokens", "long")
     for name in ("loss_target", "loss_background", "difference"):
         schema = schema.add(name, "double")
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, means = [], []
-            for sizes, *found in _joined((t.as_py() for t in batch.column("text")), tokenizer, model.value.size):
-                mean = np.full((2, len(sizes)), np.nan)
-                some = sizes > 0
-                if some.any():
-                    starts = (np.cumsum(sizes) - sizes)[some]
-                    mean[:, some] = np.add.reduceat(model.value.losses(*found), starts, axis=1, dtype=np.float64) / sizes[some]
-                counts.append(sizes)
-                means.append(mean)
-            if counts:
-                good_loss, all_loss = np.concatenate(means, axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key"), pa.array(np.concatenate(counts)),
-                     *(pa.array(x, from_pandas=True) for x in (good_loss, all_loss, good_loss - all_loss))], names=schema.names)
-
-    return body.mapInArrow(run, schema).withColumnRenamed("key", key)
+        def scored() -> pa.RecordBatch:
+            _, _, keys, sizes, ids = own
+            sizes, ids = np.array(sizes, np.int64), _unpacked(ids)
+            before = _befores(ids, sizes, size)
+            pairs, of, order, _ = _dealt(ids, before, size, buckets)
+            counts = np.zeros((2, len(pairs)), np.int64)
+            for row in (0, 1) if len(pairs) else ():
+                counts[row, order] = np.concatenate([_unpacked(s[row]) for s in sums])
+            mean = np.full((2, len(sizes)), np.nan)
+            some = sizes > 0
+            if some.any():
+                starts = (np.cumsum(sizes) - sizes)[some]
+                mean[:, some] = np.add.reduceat(model.value.losses(ids, before, counts[:, of]), starts, axis=1) / sizes[some]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, arrow[0].type), pa.array(sizes), *(pa.array(x, from_pandas=True) for x in (*mean, mean[0] - mean[1]))],
+                schema=arrow)
+
+        own, sums = None, []
+        for batch in batches:                                # a chunk, then the sums of its pairs by bucket
+            for chunk, bucket, keys, sizes, first, second in zip(*batch.columns):
+                if bucket.as_py() < 0:
+                    if own:
+                        yield scored()
+                    own, sums = (chunk.as_py(), -1, keys.as_py(), sizes.as_py(), first.as_py()), []
+                else:
+                    sums.append((first.as_py(), second.as_py()))
+        if own:
+            yield scored()
+
+    keys = chunks.schema["keys"].dataType
+    answers = count_pairs(chunks, size, buckets).select(
+        "chunk", "bucket", F.lit(None).cast(keys).alias("keys"), F.lit(None).cast("array<long>").alias("sizes"),
+        F.col("target").alias("first"), F.col("every").alias("second"))
+    both = chunks.select("chunk", F.lit(-1).cast("long").alias("bucket"), "keys", "sizes", F.col("ids").alias("first"),
+                         F.lit(None).cast("binary").alias("second")).unionAll(answers)
+    return (both.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, schema)
+            .withColumnRenamed("key", key))
