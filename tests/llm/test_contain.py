@@ -3,7 +3,7 @@ import string
 
 import pytest
 
-from tillbook.llm.contain import contained_items, decontaminate
+from tillbook.llm.contain import Index, contained_items, decontaminate, plain_words
 
 ITEMS = "item_id long, text string, doc_id long"
 
@@ -59,6 +59,21 @@ def test_matches_brute_force(docs_of, table, block_words):
     assert kept.columns == docs_of(docs).columns
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_short_items_are_never_missed(threshold):
+    for seed in range(30):
+        rng = random.Random(seed)
+        items = [(10 * k + n, prose(rng, k)) for k in (5, 6, 7, 8, 9, 14, 20) for n in range(8)]
+        items.append((900, items[8][1] + " " + items[0][1]))
+        docs = []
+        for _, body in items:
+            docs.append(prose(rng, rng.randrange(90)) + " " + body + " " + prose(rng, rng.randrange(90)))
+            docs.append(prose(rng, 40) + " " + " ".join(body.split()[:-1]) + " " + prose(rng, rng.randrange(300)))
+        index = Index([(i, plain_words(body)) for i, body in items], threshold)
+        found = [(d, *hit) for (d, hits) in enumerate(h for h in index.search(docs, threshold)) for hit in hits]
+        assert sorted(found, key=repr) == slow(list(enumerate(docs)), items, threshold)
+
+
 def test_empty_tables(docs_of, table):
     none = table([], ITEMS)
     some = docs_of([(1, "a b c d e f")])

@@ -2,7 +2,7 @@
 
 Items are short and documents may be long, so the similarity of their whole
 shingle sets says little. The items are partitioned by their number of
-shingles, with upper sizes that double. For each partition, documents are read
+shingles, with upper sizes that double. For each partition but the smallest, documents are read
 through windows of twice the upper size that advance by the upper size, so an
 item that stands in a document lies whole in one window of comparable size. A
 task reads its documents one after the other, so a window may hold the end of
@@ -11,12 +11,19 @@ item with an equal MinHash value are candidates, and a candidate counts if the
 document holds at least the threshold's share of the item's different shingles,
 compared word by word.
 
+In windows, MinHash would miss many of the smallest items, so these are looked
+up exactly: a document that holds the threshold's share of an item's shingles
+holds one at least of any that are one more than it may lack. Those of them
+that the fewest items of the block have are kept in a sorted table, in which
+every shingle of a document is looked up.
+
 The items go to the tasks in blocks of bounded size, each block searched
 against all documents; documents are never shuffled.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -29,9 +36,9 @@ from pyspark.sql import DataFrame, functions as F
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: MinHash functions; a window that holds 0.8 of an item is missed with a chance under 0.002.
+#: MinHash functions; a window that holds 0.8 of an item of more than ``SMALLEST`` shingles is missed with a chance under 0.002.
 FUNCTIONS = 32
-#: The smallest upper size of a partition.
+#: The smallest upper size of a partition; items up to it are looked up exactly.
 SMALLEST = 16
 #: Words of the items that one block may hold.
 BLOCK_WORDS = 1_000_000
@@ -70,9 +77,10 @@ class Item:
 
 
 class Index:
-    """A block of items, partitioned by size, with their MinHash values."""
+    """A block of items, partitioned by size, with their MinHash values or,
+    for the smallest, the shingles that ``threshold`` needs to be looked up."""
 
-    def __init__(self, rows: list[tuple[int, list[bytes]]]):
+    def __init__(self, rows: list[tuple[int | None, list[bytes]]], threshold: float = THRESHOLD):
         self.items: list[Item] = []
         self.short: dict[tuple[bytes, ...], list[int]] = {}  # items of fewer than five words
         self.parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -87,6 +95,17 @@ class Index:
                     upper *= 2
                 by_size.setdefault(upper, []).append(len(self.items))
                 self.items.append(Item(item_id, words, hashes, first))
+        few = by_size.pop(SMALLEST, [])
+        every, many = np.unique(np.concatenate([np.zeros(0, np.uint64), *(self.items[m].hashes for m in few)]), return_counts=True)
+        chosen = [np.zeros(0, np.uint64)]
+        for m in few:
+            own = self.items[m].hashes
+            wanted = max(1, math.ceil(threshold * len(own)))
+            rarest = np.argsort(many[np.searchsorted(every, own)], kind="stable")
+            chosen.append(own[rarest[:max(0, len(own) - wanted + 1)]])
+        order = np.argsort(np.concatenate(chosen), kind="stable")
+        self.few = np.concatenate(chosen)[order]             # shingles, and the item of each
+        self.few_of = np.repeat(np.array(few, np.int64), [len(c) for c in chosen[1:]])[order]
         for upper, members in by_size.items():
             low = np.array([[(self.items[m].hashes * a).min() for a in _FACTORS] for m in members])
             order = np.argsort(low, axis=0, kind="stable")
@@ -94,6 +113,8 @@ class Index:
 
     def candidates(self, hashes: np.ndarray) -> set[tuple[int, int, int]]:
         """(begin, end, item) of the windows of a row of shingles that share a MinHash value with an item."""
+        if not self.parts:
+            return set()
         count = -(-len(hashes) // SMALLEST)
         full = np.full(count * SMALLEST, hashes[-1], np.uint64)
         full[:len(hashes)] = hashes
@@ -152,6 +173,8 @@ class Index:
         for begin, end, item in self.candidates(hashes):
             for d in range(int(np.searchsorted(ends, begin, "right")), int(np.searchsorted(ends, end - 1, "right")) + 1):
                 wanted.setdefault(d, set()).add(item)
+        for d, item in self._looked_up(hashes, ends):
+            wanted.setdefault(d, set()).add(item)
         for d, items in wanted.items():
             own = hashes[ends[d] - counts[d]:ends[d]]
             if len(own):
@@ -159,6 +182,20 @@ class Index:
                 out[d] = [hit for n in sorted(items) if (hit := self._verified(self.items[n], docs[d], own[places], places, threshold))]
         return out
 
+    def _looked_up(self, hashes: np.ndarray, ends: np.ndarray) -> set[tuple[int, int]]:
+        """(document, item) where a document has one of the item's chosen shingles."""
+        if not len(self.few):
+            return set()
+        low = np.searchsorted(self.few, hashes)
+        low[low == len(self.few)] = 0
+        at = np.flatnonzero(self.few[low] == hashes)
+        hits = np.unique(np.searchsorted(ends, at, "right") * len(self.few) + low[at])   # a document's shingle once
+        found: set[tuple[int, int]] = set()
+        for d, first in zip((hits // len(self.few)).tolist(), (hits % len(self.few)).tolist()):
+            last = int(np.searchsorted(self.few, self.few[first], "right"))
+            found.update((d, m) for m in self.few_of[first:last].tolist())
+        return found
+
     @staticmethod
     def _verified(item: Item, words: list[bytes], ordered: np.ndarray, places: np.ndarray, threshold: float) -> tuple[int, int, int] | None:
         at = np.searchsorted(ordered, item.hashes)
@@ -171,7 +208,7 @@ class Index:
         return (item.item_id, int(shared), len(same)) if shared >= threshold * len(same) else None
 
 
-def item_blocks(items: DataFrame, key: str, text: str, block_words: int = BLOCK_WORDS) -> Iterator[Broadcast]:
+def item_blocks(items: DataFrame, key: str, text: str, block_words: int = BLOCK_WORDS, threshold: float = THRESHOLD) -> Iterator[Broadcast]:
     """The items as broadcast indexes of about ``block_words`` words each; they
     pass the driver one partition and one block at a time."""
     rows: list[tuple[int, list[bytes]]] = []
@@ -179,12 +216,12 @@ def item_blocks(items: DataFrame, key: str, text: str, block_words: int = BLOCK_
     for item_id, body in items.select(F.col(key).cast("long"), F.col(text).cast("string")).dropna().toLocalIterator():
         words = plain_words(body)
         if rows and size + len(words) > block_words:
-            yield items.sparkSession.sparkContext.broadcast(Index(rows))
+            yield items.sparkSession.sparkContext.broadcast(Index(rows, threshold))
             rows, size = [], 0
         rows.append((item_id, words))
         size += len(words)
     if rows:
-        yield items.sparkSession.sparkContext.broadcast(Index(rows))
+        yield items.sparkSession.sparkContext.broadcast(Index(rows, threshold))
 
 
 def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
@@ -212,7 +249,7 @@ def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text
         return body.mapInArrow(run, schema)
 
     found = docs.sparkSession.createDataFrame([], schema)
-    for n, index in enumerate(item_blocks(items, item_key, item_text, block_words)):
+    for n, index in enumerate(item_blocks(items, item_key, item_text, block_words, threshold)):
         found = search(index) if n == 0 else found.unionAll(search(index))
     return found.select(F.col("doc").alias(key), F.col("item").alias(item_key), "n_shared", "n_item")
 
@@ -230,6 +267,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
                 yield batch.filter(pa.array(clean, pa.bool_()))
         return rest.mapInArrow(run, schema)
 
-    for index in item_blocks(items, item_key, item_text, block_words):
+    for index in item_blocks(items, item_key, item_text, block_words, threshold):
         docs = without(docs, index)
     return docs
