@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillbook.llm.langid import Model, clusters, held_out, identify, learn, term_counts
+from tillbook.llm.langid import Model, clusters, held_out, identify, learn, size_limits, term_counts
 from tillbook.llm.queries import op10_language_id
 
 SF = "/root/testdata/sf0.01"
@@ -57,6 +57,41 @@ def test_far_text_is_rejected(spark):
     assert not any(model.predict(r["text"])[2] for r in docs.limit(200).collect())
 
 
+FOREIGN = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności zawarte w niniejszej Deklaracji bez względu na różnice rasy, koloru, płci, języka, wyznania, poglądów politycznych i innych przekonań",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin ja vapauksiin ilman minkäänlaista rotuun, väriin, sukupuoleen, kieleen, uskontoon perustuvaa erotusta",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. Herkes, ırk, renk, cinsiyet, dil, din, siyasi veya başka bir akide, milli veya içtimai menşe, servet, doğuş farkı gözetilmeksizin",
+    "hu": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek. Mindenki, bármely megkülönböztetésre tekintet nélkül hivatkozhat a jelen Nyilatkozatban kinyilvánított összes jogokra és szabadságokra",
+}
+CLEAN = ["The children went to school in the morning.", "We will meet again after the summer.", "Die Kinder gehen heute in die Schule.",
+         "Der Zug nach Berlin kommt später.", "Les enfants sont dans la maison.", "Nous avons mangé avec nos amis.",
+         "Los niños van a la escuela por la mañana.", "Hello", "Guten Tag", "thank you"]
+
+
+def test_foreign_and_random_texts_are_rejected(spark):
+    import random
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = learn(docs, F.lit(True))
+    for text in FOREIGN.values():
+        words = text.split()
+        for n in (16, 32, len(words)):
+            assert model.predict(" ".join(words[:n]))[2], (n, text)
+    for seed in range(30):
+        rng = random.Random(seed)
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) for _ in range(400)]
+        assert all(model.predict(" ".join(words[:n]))[2] for n in (40, 400))
+    assert not any(model.predict(text)[2] for text in CLEAN)
+    assert model.predict("日本語のテキスト")[2]
+
+
+def test_one_odd_document_moves_no_limit():
+    rng = np.random.default_rng(3)
+    cosines = rng.normal(0.8, 0.03, 400)
+    clean = size_limits(np.full(400, 600), cosines)
+    odd = size_limits(np.full(401, 600), np.r_[cosines, 0.01])
+    assert clean[-1] > 0.2 and odd[-1] > 0.2 and not clean[:-1].any()
+
+
 def test_hard_rows(docs_of):
     rows = [(1, None), (2, ""), (3, "123 !? 45"), (None, "the cat and the dog"), (5, "ab"), (5, "ab"), (6, "the " * 50_000), (7, "a1b2 x9"), (8, "日本語")]
     labelled = docs_of([(i, ("the cat and the dog is here " if i % 2 else "der hund und die katze ist da ") * 3 + str(i)) for i in range(40)]

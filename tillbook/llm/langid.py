@@ -3,8 +3,9 @@
 A text is a TF-IDF vector of hashed byte pairs and triples of its lower-cased
 letters. For each language, a bounded sample of labelled documents is clustered
 by cosine into a few centroids; a text gets the language of its nearest
-centroid, and is rejected if it is farther from it than any document that the
-centroid was learned from, by a margin, unless it is only a few words long.
+centroid, and is rejected if its cosine is under a share of a low quantile of
+those that texts of the language with about as many terms have: documents that
+were held back from clustering, and their beginnings of a few words.
 """
 
 from __future__ import annotations
@@ -25,9 +26,19 @@ BITS = 13
 CENTROIDS = 4
 #: Documents that a language is learned from at most; they are those with the lowest hashes of their keys.
 SAMPLE = 1000
-#: A text is rejected under this share of the lowest cosine seen in learning.
+#: A text is rejected under this share of the ``QUANTILE`` of the cosines of held-back texts of its size.
 REJECT = 0.3
-#: Texts of fewer different terms are near to nothing, so their distance says nothing and they are kept.
+#: The same for short texts, whose cosine depends on a few words: those of fewer different terms than this.
+REJECT_SHORT = 0.2
+SHORT_TERMS = 128
+QUANTILE = 0.01
+#: One more document is held back for so many that are learned from.
+HELD_BACK = 4
+#: Words of the beginnings of held-back documents.
+BEGINNINGS = (1, 2, 4, 8, 16, 32, 64)
+#: Sizes are told apart by numbers of different terms, from each of these on.
+SIZES = np.array([16, 32, 64, 128, 256, 512])
+#: Texts of fewer different terms are near to nothing; a language that has longer ones is not learned from them.
 FEW_TERMS = 64
 #: Bytes that the centroids of all languages may take.
 MODEL_BYTES = 256 << 20
@@ -66,7 +77,7 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 class Model:
     languages: list[str]        # of each centroid
     centroids: np.ndarray       # float32 [dimension, centroid]
-    lowest: np.ndarray          # cosine of the farthest document it was learned from
+    limits: np.ndarray          # cosine under which a text is rejected [size, centroid]
     idf: np.ndarray
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
@@ -77,7 +88,7 @@ class Model:
         cosine = weighted(counts, self.idf[at]) @ self.centroids[at]
         best = int(cosine.argmax())
         score = min(1.0, max(0.0, float(cosine[best])))
-        return self.languages[best], score, len(at) >= FEW_TERMS and score < REJECT * self.lowest[best]
+        return self.languages[best], score, bool(score < self.limits[np.searchsorted(SIZES, len(at), "right"), best])
 
 
 def clusters(rows: np.ndarray, count: int, turns: int = 10) -> tuple[np.ndarray, np.ndarray]:
@@ -104,50 +115,76 @@ def clusters(rows: np.ndarray, count: int, turns: int = 10) -> tuple[np.ndarray,
     return centre, np.array([cosine[own == c, c].min(initial=1.0) for c in range(len(centre))])
 
 
+def size_limits(sizes: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+    """The cosine under which a text of each size is rejected, from held-back
+    texts' numbers of terms and cosines. A size without any takes the next
+    smaller one's limit; under the smallest with any, nothing is rejected."""
+    of = np.searchsorted(SIZES, sizes, "right")
+    out = np.zeros(len(SIZES) + 1)
+    for n in range(len(out)):
+        own = cosines[of == n]
+        share = REJECT if n and SIZES[n - 1] >= SHORT_TERMS else REJECT_SHORT
+        out[n] = share * np.quantile(own, QUANTILE) if len(own) else out[n - 1] if n else 0.0
+    return out
+
+
 def learn(docs: DataFrame, usable: Column, key: str = "doc_id", text: str = "text", lang: str = "lang",
           sample: int = SAMPLE, count: int = CENTROIDS) -> Model:
     """Centroids of every language in the rows where ``usable`` holds and
     neither the text nor the language is null. At most ``sample`` documents of a
-    language are used, those whose keys have the lowest hashes."""
+    language are learned from, those whose keys have the lowest hashes, but for
+    every fifth, which is held back to find the limits of rejection."""
     rows = docs.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}       # one row per language
     if len(sizes) * count * 4 << BITS > MODEL_BYTES:
         raise ValueError(f"{len(sizes)} languages are more than a model of {MODEL_BYTES} bytes holds")
     if not sizes:
-        return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0), np.ones(1 << BITS))
+        return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros((len(SIZES) + 1, 0)), np.ones(1 << BITS))
     # a little over the sample by a limit on the hash, then exactly the lowest
     chance = F.element_at(F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, 2 * sample / n)))), F.col(lang))
     place = F.xxhash64(F.lit("sample"), F.col(key).cast("string"))
     some = (rows.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"), place.alias("place"))
             .where(F.pmod("place", F.lit(1 << 20)) < chance * (1 << 20)))
     lowest = Window.partitionBy("lang").orderBy("place")
-    chosen = some.withColumn("n", F.row_number().over(lowest)).where(F.col("n") <= sample).select("lang", "text")
+    chosen = (some.withColumn("n", F.row_number().over(lowest)).where(F.col("n") <= sample + sample // HELD_BACK)
+              .select("lang", "text", (F.col("n") % (HELD_BACK + 1) == 0).alias("held")))
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(own, *term_counts(body)) for own, body in zip(*(c.to_pylist() for c in batch.columns)) if has_letter(body)]
+            found = []
+            for own, body, held in zip(*(c.to_pylist() for c in batch.columns)):
+                words = body.split(maxsplit=BEGINNINGS[-1]) if held else []
+                pieces = [" ".join(words[:w]) for w in BEGINNINGS if w < len(words)]
+                found += [(own, held, *term_counts(piece)) for piece in (*pieces, body) if has_letter(piece)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(zip(*found) if found else [[]] * 3,
-                                                      (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())))],
-                names=["lang", "at", "counts"])
-
-    learned = cut(chosen.mapInArrow(vectors, "lang string, at array<int>, counts array<int>"))
-    total, having = learned.count(), np.zeros(1 << BITS)
-    for r in learned.select(F.explode("at").alias("at")).groupBy("at").count().collect():   # one row per dimension
+                [pa.array(list(c), t) for c, t in zip(zip(*found) if found else [[]] * 4,
+                                                      (pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32())))],
+                names=["lang", "held", "at", "counts"])
+
+    learned = cut(chosen.mapInArrow(vectors, "lang string, held boolean, at array<int>, counts array<int>"))
+    used = learned.where("not held")
+    total, having = used.count(), np.zeros(1 << BITS)
+    for r in used.select(F.explode("at").alias("at")).groupBy("at").count().collect():   # one row per dimension
         having[r["at"]] = r["count"]
     idf = np.log((1 + total) / (1 + having)) + 1
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        dense = np.zeros((len(group), 1 << BITS), np.float32)
-        for n, (at, counts) in enumerate(zip(group["at"], group["counts"])):
+        held, sizes = group["held"].to_numpy(bool), group["at"].map(len).to_numpy()
+        used = ~held & (sizes >= FEW_TERMS)
+        if not used.any():
+            used = ~held
+        dense = np.zeros((int(used.sum()), 1 << BITS), np.float32)
+        for n, (at, counts) in enumerate(zip(group["at"][used], group["counts"][used])):
             dense[n, at] = weighted(np.asarray(counts), idf[at])
-        centre, least = clusters(dense, count)
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "n": range(len(centre)), "centre": list(centre), "lowest": least})
+        centre, _ = clusters(dense, count)
+        cosines = [(centre[:, at] @ weighted(np.asarray(counts), idf[at])).max() for at, counts in zip(group["at"][held], group["counts"][held])]
+        limits = size_limits(sizes[held], np.array(cosines))
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "n": range(len(centre)), "centre": list(centre), "limits": [limits] * len(centre)})
 
-    centres = learned.groupBy("lang").applyInPandas(cluster, "lang string, n int, centre array<float>, lowest double").collect()
+    centres = learned.groupBy("lang").applyInPandas(cluster, "lang string, n int, centre array<float>, limits array<double>").collect()
     centres.sort(key=lambda r: (r["lang"], r["n"]))
     return Model([r["lang"] for r in centres], np.array([r["centre"] for r in centres], np.float32).reshape(-1, 1 << BITS).T.copy(),
-                 np.array([r["lowest"] for r in centres]), idf)
+                 np.array([r["limits"] for r in centres]).reshape(-1, len(SIZES) + 1).T.copy(), idf)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
