@@ -174,6 +174,20 @@ def test_hard_rows(table):
     assert cr.repair_conversations(frame.where("false")).collect() == []
 
 
+def test_segments_are_bounded_by_rows(table):
+    rng = random.Random(8)
+    rows = [(None, rng.choice([None, 0, 1]), NAMES[rng.randrange(4)], f"t{n}") for n in range(60)]
+    rows += [(1, 7, NAMES[rng.randrange(4)], "same") for _ in range(30)] + [(2, 10**9 * n, NAMES[2 + n % 2], "far") for n in range(10)]
+    out = cr.repair_conversations(table(rows, "conv_id long, turn long, role string, text string"), segment=4).collect()
+    held = Counter((r["conv_id"], r["segment"]) for r in out if r["action"] != "insert")
+    assert max(held.values()) == 4 and len(held) == 15 + 8 + 3
+    for c in (None, 1, 2):
+        roles = tuple(r for _, r in sorted((-1 if t is None else t, NAMES.index(r)) for i, t, r, _ in rows if i == c))
+        own = sorted((r for r in out if r["conv_id"] == c), key=lambda r: (r["segment"], r["piece"]))
+        assert (own[-1]["cost"], own[-1]["out_turn"] + 1) == slow_cost(roles)
+        assert sum(r["action"] != "insert" for r in own) == len(roles)
+
+
 def test_query_covers_every_turn(spark):
     sf = "/root/testdata/sf0.001"
     rows = op3_chat_repair(spark, sf).collect()

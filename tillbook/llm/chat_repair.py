@@ -7,8 +7,8 @@ are inserted where one is missing; dynamic programming over the automaton's
 states finds the cheapest way, the fewest turns among equals.
 
 A turn's effect is a 4 x 4 matrix (cheapest cost from each state to each), and
-matrices compose. A conversation is cut into segments of ``SEGMENT`` turn
-numbers; tasks compose the matrices within segments, a conversation's short
+matrices compose. A conversation's rows are numbered in their order, and every
+``SEGMENT`` of them are a segment; tasks compose the matrices within segments, a conversation's short
 list of segment matrices tells with which states its segments begin and end,
 and each segment is then repaired by itself. So a conversation of any length
 is repaired as a whole, without being in one place.
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tillbook.llm.common import cut, split_runs
+from tillbook.operators.global_window import segmented
 
 SEGMENT = 4096
 MERGE, RELABEL, RELABEL_UNKNOWN, INSERT = 1, 3, 1, 2
@@ -185,23 +186,24 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
     first. Roles are read without case and blanks; null or unknown roles are
     given another at a lower cost. A null text is empty. Rows that repeat are
     turns of their own. Rows with a null conversation are one conversation.
-    Other columns are ignored; an empty table gives an empty result. ``turn``
-    should count turns: a segment takes ``segment`` turn numbers.
+    Other columns are ignored; an empty table gives an empty result. A segment
+    takes ``segment`` input rows, whatever their turn numbers.
     """
     kind = dict(turns.dtypes)[conv]
     rows = turns.select(F.col(conv).alias("id"), F.col(turn).cast("long").alias("turn"), role_code(F.col(role)).alias("role"),
                         F.col(role).cast("string").alias("role_in"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    number = F.floor(F.col("turn") / segment)
     # a conversation goes by a hash of its id, so that null is one too
     rows = (rows.withColumn("conv", F.xxhash64(F.lit(1), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.col("id").isNull()))
-            .withColumn("segment", F.coalesce(number, F.lit(-(1 << 62)))).withColumn("part", F.xxhash64("conv", "segment"))
-            .withColumn("tie", F.xxhash64("text")))
-    order = ["part", "turn", "role", "tie"]
-    ways = (rows.select(*order, "conv", "segment").repartition("part").sortWithinPartitions(*order)
+            .withColumn("tie", F.xxhash64("text")).withColumn("copy", F.monotonically_increasing_id()))
+    # rows are numbered by ranges of the order, so a conversation or a turn number with very many rows is in several tasks
+    rows = segmented(rows, ["conv"], [(c, False) for c in ("turn", "role", "tie", "copy")], row_col="place")
+    rows = rows.withColumn("segment", F.floor((F.col("place") - 1) / segment)).withColumn("part", F.xxhash64("conv", "segment"))
+    order = ["part", "place"]
+    ways = (rows.select(*order, "conv", "segment", "role").repartition("part").sortWithinPartitions(*order)
             .mapInArrow(_matrices, "part long, conv long, segment long, ways array<long>"))
     plan = cut(ways.repartition("conv").sortWithinPartitions("conv", "segment")
                .mapInArrow(_plan, "part long, first long, last long, turns long, cost long"))
-    full = rows.join(plan, "part").select(*order, "id", "segment", "role_in", "text", "first", "last", "turns", "cost")
+    full = rows.join(plan, "part").select(*order, "role", "id", "segment", "role_in", "text", "first", "last", "turns", "cost")
     schema = f"`{conv}` {kind}, out_turn long, segment long, piece long, role_in string, role_out string, action string, cost long, rendered string"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
