@@ -74,6 +74,15 @@ def test_short_items_are_never_missed(threshold):
         assert sorted(found, key=repr) == slow(list(enumerate(docs)), items, threshold)
 
 
+def test_items_without_a_key_remove_documents(docs_of, table):
+    rng = random.Random(5)
+    passage = prose(rng, 40)
+    docs = docs_of([(1, "so " + passage), (2, prose(rng, 40)), (3, "two words")])
+    items = table([(None, passage, 1), (None, "two words", 1), (None, None, 1)], ITEMS)
+    assert [r["doc_id"] for r in decontaminate(docs, items).collect()] == [2]
+    assert contained_items(docs, items).collect() == []
+
+
 def test_empty_tables(docs_of, table):
     none = table([], ITEMS)
     some = docs_of([(1, "a b c d e f")])

@@ -70,7 +70,7 @@ def shingle_hashes(words: list[bytes]) -> np.ndarray:
 
 @dataclass
 class Item:
-    item_id: int
+    item_id: int | None
     words: list[bytes]
     hashes: np.ndarray          # of its different shingles
     first: np.ndarray           # where each of them begins
@@ -213,7 +213,8 @@ def item_blocks(items: DataFrame, key: str, text: str, block_words: int = BLOCK_
     pass the driver one partition and one block at a time."""
     rows: list[tuple[int, list[bytes]]] = []
     size = 0
-    for item_id, body in items.select(F.col(key).cast("long"), F.col(text).cast("string")).dropna().toLocalIterator():
+    texts = items.where(F.col(text).isNotNull()).select(F.col(key).cast("long"), F.col(text).cast("string"))
+    for item_id, body in texts.toLocalIterator():
         words = plain_words(body)
         if rows and size + len(words) > block_words:
             yield items.sparkSession.sparkContext.broadcast(Index(rows, threshold))
@@ -249,7 +250,8 @@ def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text
         return body.mapInArrow(run, schema)
 
     found = docs.sparkSession.createDataFrame([], schema)
-    for n, index in enumerate(item_blocks(items, item_key, item_text, block_words, threshold)):
+    keyed = items.where(F.col(item_key).cast("long").isNotNull())
+    for n, index in enumerate(item_blocks(keyed, item_key, item_text, block_words, threshold)):
         found = search(index) if n == 0 else found.unionAll(search(index))
     return found.select(F.col("doc").alias(key), F.col("item").alias(item_key), "n_shared", "n_item")
 
@@ -257,7 +259,8 @@ def contained_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
                   threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without the documents that hold an item (see ``contained_items``),
-    with all their columns. Rows with a null text stay."""
+    with all their columns. Rows with a null text stay. Items with a null key
+    count like others."""
     schema = docs.schema
 
     def without(rest: DataFrame, index: Broadcast) -> DataFrame:
