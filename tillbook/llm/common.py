@@ -115,6 +115,20 @@ def skew_join(left: DataFrame, right: DataFrame, keys: dict[str, str], how: str
     return deal_left.join(deal_right, on, how).drop("__deal_l", "__deal_r")
 
 
+def bit_table(numbers: DataFrame, bits: int) -> bytes:
+    """A table of ``2 ** bits`` bits, lowest first in each byte, with those set
+    that the one column of ``numbers`` (from 0) names. It is built where the rows
+    are; the driver gets at most the whole table, whose size is fixed."""
+    at = F.col(numbers.columns[0]) + 1
+    rows = (numbers.groupBy(F.bitmap_bucket_number(at).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("part")).where("bucket is not null").collect())
+    table = bytearray((1 << bits) // 8)
+    for row in rows:
+        begin = (row["bucket"] - 1) * 4096
+        table[begin:begin + 4096] = row["part"]
+    return bytes(table)
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z in lower case and everything else as it is."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

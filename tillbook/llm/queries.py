@@ -11,6 +11,7 @@ from tillbook.llm.line_dedup import dedup_lines
 from tillbook.llm.lm_score import score_documents
 from tillbook.llm.packing import pack_documents
 from tillbook.llm.pstable import near_vectors
+from tillbook.llm.ranked_search import search
 from tillbook.llm.secret_scan import RULES, scan_secrets
 from tillbook.llm.simhash import simhash_components
 from tillbook.llm.url_templates import filter_urls, filter_urls_sql
@@ -67,6 +68,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=10)
+
+
 _KINDS = "['assign', 'access', 'hex', 'github', 'slack', 'google', 'stripe', 'jwt', 'pem']"
 
 
@@ -146,6 +151,27 @@ overlap AS (
 SELECT doc_id, item_id, n_shared, n_item FROM overlap JOIN sizes USING (item_id) WHERE n_shared >= 0.8 * n_item
 """
 
+_OP11_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+terms AS (
+  SELECT side, id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM texts WHERE text IS NOT NULL),
+freqs AS (SELECT side, id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT id, sum(tf)::BIGINT AS n FROM freqs WHERE side = 'd' GROUP BY id),
+size AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * big_n + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+  FROM freqs, size WHERE side = 'd' GROUP BY term, big_n),
+scores AS (
+  SELECT b.id AS item_id, d.id AS doc_id,
+         sum(b.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+  FROM freqs b JOIN freqs d USING (term) JOIN weights USING (term) JOIN lengths ON lengths.id = d.id CROSS JOIN size
+  WHERE b.side = 'b' AND d.side = 'd' GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 #: name -> (query, SQL that gives the same rows, or None where SQL can't express it)
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
@@ -158,4 +184,5 @@ QUERIES = {
     "op8_secret_scan": (op8_secret_scan, _OP8_SQL),
     "op9_line_dedup": (op9_line_dedup, _OP9_SQL),
     "op10_language_id": (op10_language_id, None),
+    "op11_ranked_search": (op11_ranked_search, _OP11_SQL),
 }
