@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillbook.llm.chat_repair import repair_conversations
+from tillbook.llm.collocations import collocations
 from tillbook.llm.contain import contained_items
 from tillbook.llm.langid import held_out, identify, learn
 from tillbook.llm.line_dedup import dedup_lines
@@ -72,6 +73,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(load(spark, sf_dir, "documents"), least=100, top=2000)
+
+
 _KINDS = "['assign', 'access', 'hex', 'github', 'slack', 'google', 'stripe', 'jwt', 'pem']"
 
 
@@ -172,6 +177,33 @@ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 FROM scores WHERE score > 0 QUALIFY rank <= 10
 """
 
+_OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, unnest([1, 2, 3, 4, 5]) AS ks(k) WHERE len(w) >= k)),
+freq AS (SELECT lang, k AS size, p, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(f)::HUGEINT AS n FROM freq WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, p, string_split(p, ' ') AS w, f AS a FROM freq WHERE size >= 2 AND f >= 100),
+cuts AS (
+  SELECT c.lang, c.p, c.a, k, x.f AS l, y.f AS r, (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score, n
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN freq x ON x.lang = c.lang AND x.size = k AND x.p = array_to_string(c.w[1:k], ' ')
+  JOIN freq y ON y.lang = c.lang AND y.size = c.size - k AND y.p = array_to_string(c.w[k + 1:c.size], ' ')
+  JOIN total ON total.lang = c.lang),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT DISTINCT c.lang, array_to_string(c.w[i:i + s - 1], ' ') AS p, c.a
+  FROM (SELECT *, unnest(range(1, size - s + 2)) AS i FROM candidates, unnest([2, 3, 4]) AS ss(s) WHERE s < size) c)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase,
+       a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM least ANTI JOIN inner_parts USING (lang, p, a) QUALIFY rank <= 2000
+"""
+
 #: name -> (query, SQL that gives the same rows, or None where SQL can't express it)
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
@@ -185,4 +217,5 @@ QUERIES = {
     "op9_line_dedup": (op9_line_dedup, _OP9_SQL),
     "op10_language_id": (op10_language_id, None),
     "op11_ranked_search": (op11_ranked_search, _OP11_SQL),
+    "op12_collocations": (op12_collocations, _OP12_SQL),
 }
