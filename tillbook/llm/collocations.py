@@ -35,7 +35,7 @@ LONGEST = 5
 #: A band holds words up to so many times as frequent as its rarest.
 BAND = 64
 #: Words that a task gathers, in all languages, before it writes its chunks.
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 21
 #: Bits of the tables of frequent phrases.
 BITS = 24
 #: Settled languages that are left out of further bands; any others only cost work.
@@ -111,8 +111,9 @@ def code_chunks(chunks: DataFrame, words: DataFrame) -> DataFrame:
     """The chunks with the words that have a number: ``codes`` (0 for all else)
     index ``ids`` and ``freqs``."""
     local = chunks.select("chunk", "lang", F.posexplode("words").alias("at", "word"))
-    known = (local.join(words, ["lang", "word"]).groupBy(F.col("chunk").alias("of"))
-             .agg(F.collect_list(F.struct((F.col("at") + 1).alias("at"), "id", "f")).alias("known")))
+    # every word of a chunk gets an answer, so that rows grow with the chunks and not with the words that turn frequent
+    answer = F.when(F.col("id").isNotNull(), F.struct((F.col("at") + 1).alias("at"), "id", "f"))
+    known = local.join(words, ["lang", "word"], "left").groupBy(F.col("chunk").alias("of")).agg(F.collect_list(answer).alias("known"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
