@@ -13,15 +13,18 @@ different words for exact numbers and counts, and drop the words that are too
 rare to be part of any phrase. A level of a band is then a pass over the chunks:
 each counts the phrases whose beginnings are frequent, and the counts of all
 chunks are added. Which phrases are frequent comes to the chunks as a bit table
-of fixed size; a bit set by chance costs work, never a result. A last pass per
-band counts the parts of its phrases that begin with other words, and sees
-whether a phrase always has the same neighbour, which decides what survives.
+of fixed size; a bit set by chance costs work, never a result. The phrases found
+have bounds of their own, from the counts of their beginnings; those of the
+highest bounds are settled first, and no others than may reach the last wanted
+score: a pass counts their parts that begin with other words, and sees whether a
+phrase always has the same neighbour, which decides what survives.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -166,6 +169,9 @@ class _Chunk:
         return [self.ids[self.codes[at + i]] for i in range(size)]
 
 
+_DECIMALS = "CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(16,0)) * CAST(n AS DECIMAL(17,0))"
+
+
 def bit_of(size: int):
     """The bit of a phrase, as in ``_Chunk.bits``."""
     total = F.lit(0).cast("long")
@@ -238,42 +244,59 @@ def count_parts(coded: DataFrame, tables: dict[int, bytes]) -> DataFrame:
 
 
 def expand(coded: DataFrame, words: DataFrame, sizes: DataFrame, tables: dict[int, bytes], low: int, high: int, least: int) -> DataFrame:
-    """All survivors whose first word is found ``low`` to ``high - 1`` times:
-    ``(lang, w1..w5, a, l, r, n, score)``, unused words 0. ``tables`` collects
-    the bits of frequent phrases by size over the bands."""
-    spark = coded.sparkSession
-    found = spark.createDataFrame([], ", ".join(f"{c} long" for c in [*_WORDS, "a"]))
+    """All phrases whose first word is found ``low`` to ``high - 1`` times:
+    ``(lang, n, w1..w5, a, bound)``, unused words 0, with a bound of the score
+    from the phrase's beginnings and its last word, which is the score itself for
+    two words. ``tables`` collects the bits of frequent phrases by size over the
+    bands."""
+    one = words.select(F.col("id").alias("w1"), "lang", F.col("f").alias("f1")).join(sizes, "lang")
+    last = words.select(F.col("id").alias("of"), F.col("f").alias("f_last"))
+    score = F.expr(f"{_DECIMALS} div (CAST(before AS DECIMAL(18,0)) * CAST(f_last AS DECIMAL(18,0)))")
+    found, shorter = [], words.select(F.col("id").alias("w1"), F.col("f").alias("before"))
     for size in range(2, LONGEST + 1):
         level = count_level(coded, size, low, high, tables.get(size - 1), least)
         bits = np.frombuffer(bit_table(level.select(bit_of(size).alias("bit")), BITS), np.uint8)
         tables[size] = (bits | np.frombuffer(tables.get(size, bytes(len(bits))), np.uint8)).tobytes()
-        found = found.unionByName(level.select(*_WORDS[:size], *(F.lit(0).cast("long").alias(w) for w in _WORDS[size:]), "a"))
+        bound = level.join(shorter, _WORDS[:size - 1]).join(last, F.col(_WORDS[size - 1]) == F.col("of")).join(one, "w1")
+        found.append(bound.select("lang", "n", *_WORDS[:size], *(F.lit(0).cast("long").alias(w) for w in _WORDS[size:]), "a",
+                                  F.least(score, F.expr("CAST(1000 AS DECIMAL(4,0)) * CAST(n AS DECIMAL(18,0)) div f1")).alias("bound")))
         if not bits.any():
             break
-    found = cut(found)
-    # the parts of each phrase: its words from place i, j of them
+        shorter = level.select(*_WORDS[:size], F.col("a").alias("before"))
+    return cut(reduce(DataFrame.unionByName, found))
+
+
+def settle(coded: DataFrame, words: DataFrame, found: DataFrame) -> DataFrame:
+    """The survivors among some of the phrases ``found``, scored: ``(lang,
+    w1..w5, a, l, r, n, score)``."""
     length = F.size(F.filter(F.array(*_WORDS), lambda w: w > 0))
+    # the parts of each phrase: its words from place i, j of them
     parts = F.expr(f"flatten(transform(sequence(1, {LONGEST - 1}), k -> array(struct(k, true AS left, 1 AS i, k AS j), struct(k, false AS left, k + 1 AS i, len - k AS j))))")
-    pieces = (found.withColumn("len", length).select(*_WORDS, "a", "len", F.explode(parts).alias("p")).where("p.k < len")
-              .select(*_WORDS, "a", F.col("p.k").alias("k"), F.col("p.left").alias("left"),
+    pieces = (found.withColumn("len", length).select("lang", "n", *_WORDS, "a", "len", F.explode(parts).alias("p")).where("p.k < len")
+              .select("lang", "n", *_WORDS, "a", F.col("p.k").alias("k"), F.col("p.left").alias("left"),
                       F.expr(f"slice(array({', '.join(_WORDS)}), p.i, p.j)").alias("part")))
     padded = [F.coalesce(F.get("part", F.lit(i)), F.lit(0).cast("long")).alias(f"q{i + 1}") for i in range(LONGEST - 1)]
-    pieces = pieces.select(*_WORDS, "a", "k", "left", *padded)
+    pieces = pieces.select("lang", "n", *_WORDS, "a", "k", "left", *padded)
     wanted = pieces.select(*(F.col(f"q{i}").alias(f"w{i}") for i in range(1, LONGEST))).unionAll(
         found.where("w5 = 0").select(*_WORDS[:-1])).where("w2 > 0").distinct()
     wanted = cut(wanted.withColumn("size", F.size(F.filter(F.array(*_WORDS[:-1]), lambda w: w > 0))))
-    bits_of = {s: bit_table(wanted.where(F.col("size") == s).select(bit_of(s).alias("bit")), BITS) for s in range(2, LONGEST)}
-    counts = cut(count_parts(coded, {s: b for s, b in bits_of.items() if any(b)}))
+    tables = {s: bit_table(wanted.where(F.col("size") == s).select(bit_of(s).alias("bit")), BITS) for s in range(2, LONGEST)}
+    counts = cut(count_parts(coded, {s: b for s, b in tables.items() if any(b)}).join(wanted.drop("size"), _WORDS[:-1], "left_semi"))
     freq = counts.select(*_WORDS[:-1], "f").unionAll(words.select(F.col("id").alias("w1"), *(F.lit(0).cast("long").alias(w) for w in _WORDS[1:-1]), "f"))
     freq = freq.select(*(F.col(f"w{i}").alias(f"q{i}") for i in range(1, LONGEST)), "f")
-    cuts = (pieces.join(freq, [f"q{i}" for i in range(1, LONGEST)]).groupBy(*_WORDS, "a", "k")
-            .agg(F.max(F.when(F.col("left"), F.col("f"))).alias("l"), F.max(F.when(~F.col("left"), F.col("f"))).alias("r")))
-    lang = words.select(F.col("id").alias("w1"), "lang").join(sizes, "lang")
-    score = F.expr("CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(16,0)) * CAST(n AS DECIMAL(17,0)) div (CAST(l AS DECIMAL(18,0)) * CAST(r AS DECIMAL(18,0)))")
-    best = (cuts.join(lang, "w1").withColumn("score", score).groupBy("lang", *_WORDS, "a", "n")
-            .agg(F.min(F.struct("score", "k", "l", "r")).alias("best")))
+    score = F.expr(f"{_DECIMALS} div (CAST(l AS DECIMAL(18,0)) * CAST(r AS DECIMAL(18,0)))")
+    best = (pieces.join(freq, [f"q{i}" for i in range(1, LONGEST)]).groupBy("lang", "n", *_WORDS, "a", "k")
+            .agg(F.max(F.when(F.col("left"), F.col("f"))).alias("l"), F.max(F.when(~F.col("left"), F.col("f"))).alias("r"))
+            .withColumn("score", score).groupBy("lang", *_WORDS, "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("best")))
     alike = counts.where("alike").select(*_WORDS[:-1], F.lit(0).cast("long").alias("w5"))
-    return cut(best.join(alike, _WORDS, "left_anti").select("lang", *_WORDS, "a", "best.l", "best.r", "n", "best.score"))
+    return best.join(alike, _WORDS, "left_anti").select("lang", *_WORDS, "a", "best.l", "best.r", "n", "best.score")
+
+
+def _last(survivors: DataFrame, top: int) -> DataFrame:
+    """``(lang, rank, score)`` of each language's last wanted survivor so far."""
+    order = Window.partitionBy("lang").orderBy(F.desc("score"))
+    return (survivors.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+            .groupBy("lang").agg(F.max("rank").alias("rank"), F.min("score").alias("score")))
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 100, top: int = 2000, band: int = BAND) -> DataFrame:
@@ -299,14 +322,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     schema = f"lang string, {', '.join(f'{w} long' for w in _WORDS)}, a long, l long, r long, n long, score long"
     survivors = spark.createDataFrame([], schema)
     tables: dict[int, bytes] = {}
-    order = Window.partitionBy("lang").orderBy(F.desc("score"))
-    low, active = least, coded
+    low = least
     while True:
         left = words.where(F.col("f") >= low).groupBy("lang").agg(F.min("f").alias("next")).join(sizes, "lang")
-        last = (survivors.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-                .groupBy("lang").agg(F.max("rank").alias("rank"), F.min("score").alias("score")))
         bound = F.expr("CAST(1000 AS DECIMAL(4,0)) * CAST(n AS DECIMAL(18,0)) div next")
-        frontier = left.join(last, "lang", "left").withColumn("settled", (F.col("rank") >= top) & (F.col("score") > bound))
+        frontier = left.join(_last(survivors, top), "lang", "left").withColumn("settled", (F.col("rank") >= top) & (F.col("score") > bound))
         state = cut(frontier.select("lang", "n", "next", F.coalesce("settled", F.lit(False)).alias("settled")))
         begin = state.where("NOT settled").agg(F.min("next")).first()[0]
         if begin is None:
@@ -314,9 +334,17 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
         done = [r["lang"] for r in state.where("settled").orderBy(F.desc("n")).limit(SETTLED).collect()]
         active = coded.where(~F.col("lang").isin(done)) if done else coded
         low = begin * band
-        new = expand(active, words, sizes, tables, begin, low, least)
-        rank = F.rank().over(order)
-        survivors = cut(survivors.unionByName(new).withColumn("rank", rank).where(F.col("rank") <= top).drop("rank"))
+        rest, most = expand(active, words, sizes, tables, begin, low, least), 2 * top
+        while True:                  # the phrases of the highest bounds, until no bound reaches the last wanted score
+            rest = rest.join(_last(survivors, top).where(F.col("rank") >= top).select("lang", "score"), "lang", "left").where(
+                F.col("score").isNull() | (F.col("bound") >= F.col("score"))).drop("score")
+            batch = cut(rest.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("bound"))))
+                        .where(F.col("place") <= most).drop("place"))
+            if batch.isEmpty():
+                break
+            best = F.rank().over(Window.partitionBy("lang").orderBy(F.desc("score")))
+            survivors = cut(survivors.unionByName(settle(active, words, batch)).withColumn("rank", best).where(F.col("rank") <= top).drop("rank"))
+            rest, most = cut(rest.join(batch.select(_WORDS), _WORDS, "left_anti")), 2 * most
     named = survivors
     for w in _WORDS:
         named = named.join(words.select(F.col("id").alias(w), F.col("word").cast("string").alias(f"{w}_name")), w, "left")
