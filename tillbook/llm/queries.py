@@ -15,6 +15,7 @@ from tillbook.llm.pstable import near_vectors
 from tillbook.llm.ranked_search import search
 from tillbook.llm.secret_scan import RULES, scan_secrets
 from tillbook.llm.simhash import simhash_components
+from tillbook.llm.substrings import dedup_substrings
 from tillbook.llm.url_templates import filter_urls, filter_urls_sql
 from tillbook.sources.tables import load
 
@@ -77,6 +78,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(load(spark, sf_dir, "documents"), least=100, top=2000)
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (dedup_substrings(load(spark, sf_dir, "documents"), window=50)
+            .select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")))
+
+
 _KINDS = "['assign', 'access', 'hex', 'github', 'slack', 'google', 'stripe', 'jwt', 'pem']"
 
 
@@ -204,6 +210,21 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM least ANTI JOIN inner_parts USING (lang, p, a) QUALIFY rank <= 2000
 """
 
+_OP13_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50)),
+firsts AS (SELECT s, min(doc_id) AS first_id FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM windows JOIN firsts USING (s) WHERE first_id < doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM words) ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 #: name -> (query, SQL that gives the same rows, or None where SQL can't express it)
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
@@ -218,4 +239,5 @@ QUERIES = {
     "op10_language_id": (op10_language_id, None),
     "op11_ranked_search": (op11_ranked_search, _OP11_SQL),
     "op12_collocations": (op12_collocations, _OP12_SQL),
+    "op13_substring_dedup": (op13_substring_dedup, _OP13_SQL),
 }
