@@ -5,7 +5,8 @@ from decimal import Decimal
 
 from tillbook.plans.cleaning import (clean_items, clean_orders, clean_products, invalid_emails, orphan_items,
                                      quality_report)
-from tillbook.plans.integrity import apply_order_batch, validate_period_args
+from tillbook.plans.integrity import apply_order_batch
+from tillbook.plans.shop_analytics import validate_period
 
 
 ITEMS = "item_id long, order_id long, product_id long, quantity int, line_amount decimal(18,2), discount_percent decimal(8,2)"
@@ -70,7 +71,7 @@ def test_empty_period_and_order_batch(spark):
            apply_order_batch(products, orders, items, dt.date(2024, 8, 10), dt.date(2024, 8, 12)).collect()}
     assert got == {1: (-2, False), 2: (9, True)}
     assert apply_order_batch(products, orders, items, dt.date(1900, 1, 2), dt.date(1900, 1, 2)).count() == 0
-    validate_period_args("monthly", dt.date(2025, 1, 1), dt.date(2025, 1, 31))
+    validate_period("monthly", dt.date(2025, 1, 1), dt.date(2025, 1, 31))
 
 
 def test_order_batch_publishes_only_when_valid(spark, scratch):

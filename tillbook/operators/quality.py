@@ -1,9 +1,9 @@
 """Profiling and validation operators.
 
 Constraints are data, not DDL: a registry of NOT NULL / UNIQUE / CHECK /
-FOREIGN KEY / DEFAULT rules evaluated as aggregates. All per-row rules of one
-table are evaluated in a single pass (one ``count_if`` per rule); UNIQUE needs
-one grouped pass per key and FOREIGN KEY one anti join per reference.
+FOREIGN KEY / DEFAULT rules. All rules of all tables are answered by one
+aggregate over one read of each table; when a table is written, its per-row
+rules are counted by the write itself (``row_metrics`` as observed metrics).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -52,39 +53,84 @@ class TableRules:
     rules: list = field(default_factory=list)
 
 
-def constraint_violations(tables: dict[str, DataFrame], registry: list[TableRules]) -> DataFrame:
-    """Rows (table_name, constraint_name, kind, violations) for every rule."""
-    parts: list[DataFrame] = []
-    for tr in registry:
-        df = tables[tr.table]
-        row_rules = [r for r in tr.rules if isinstance(r, (NotNull, Check))]
-        if row_rules:
-            aggs = []
-            for i, r in enumerate(row_rules):
-                cond = F.col(r.column).isNull() if isinstance(r, NotNull) else ~F.coalesce(F.expr(r.expr), F.lit(True))
-                aggs.append(F.count_if(cond).alias(f"v{i}"))
-            one = df.agg(*aggs)
-            stacked = F.explode(F.array(*[
-                F.struct(F.lit(_name(r)).alias("constraint_name"), F.lit(_kind(r)).alias("kind"),
-                         F.col(f"v{i}").alias("violations")) for i, r in enumerate(row_rules)]))
-            parts.append(one.select(F.lit(tr.table).alias("table_name"), stacked.alias("x"))
-                         .select("table_name", "x.*"))
-        for r in tr.rules:
-            if isinstance(r, Unique):
-                keyed = df.select(*r.columns)
-                if r.allow_null:
-                    keyed = keyed.dropna()
-                dup = (keyed.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-                       .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations")))
-                parts.append(dup.select(F.lit(tr.table).alias("table_name"), F.lit(_name(r)).alias("constraint_name"),
-                                        F.lit("UNIQUE").alias("kind"), "violations"))
+def row_metrics(rules: TableRules) -> dict[str, Column]:
+    """Constraint name -> number of rows that break a NOT NULL or CHECK rule, as
+    an aggregate that a write can observe."""
+    return {_name(r): F.count_if(_broken(r)) for r in rules.rules if isinstance(r, (NotNull, Check))}
+
+
+def constraint_violations(tables: dict[str, DataFrame], registry: list[TableRules], row_rules: bool = True) -> DataFrame:
+    """Rows (table_name, constraint_name, kind, violations) for every rule.
+
+    Every table is read once, whatever the number of its rules: a row of it gives
+    a row (rule, key) for each key that a UNIQUE or FOREIGN KEY rule looks at, on
+    either side of the reference, and for each row rule that it breaks. One
+    aggregate by rule and key (a frequent key is added up before the shuffle)
+    answers all rules. ``row_rules=False`` leaves out NOT NULL and CHECK.
+    """
+    listed = [(tr.table, r) for tr in registry for r in tr.rules
+              if isinstance(r, (Unique, ForeignKey)) or (row_rules and isinstance(r, (NotNull, Check)))]
+    spark = next(iter(tables.values())).sparkSession
+
+    def entry(rule: int, key: tuple[Column, Column] | None, n: int, parent: int) -> Column:
+        number, words = key or (F.lit(None).cast("long"), F.lit(None).cast("string"))
+        return F.struct(F.lit(rule).alias("rule"), number.alias("number"), words.alias("words"),
+                        F.lit(n).cast("long").alias("n"), F.lit(parent).alias("parent"))
+
+    parts = []
+    for table, df in tables.items():
+        types = {f.name: f.dataType for f in df.schema.fields}
+        entries, row_entries, any_broken = [], [], F.lit(False)
+        for i, (owner, r) in enumerate(listed):
+            if owner == table and isinstance(r, (NotNull, Check)):
+                row_entries.append(F.when(_broken(r), entry(i, None, 1, 0)))
+                any_broken = any_broken | _broken(r)
+            elif owner == table and isinstance(r, Unique):
+                here = entry(i, _key(r.columns, [types[c] for c in r.columns]), 1, 0)
+                entries.append(F.when(_all_set(r.columns), here) if r.allow_null else here)
             elif isinstance(r, ForeignKey):
-                child = df.select(*r.columns).dropna()          # a NULL reference passes
-                parent = tables[r.ref_table].select(*[F.col(c).alias(k) for c, k in zip(r.ref_columns, r.columns)])
-                orphans = child.join(parent, list(r.columns), "left_anti").agg(F.count(F.lit(1)).alias("violations"))
-                parts.append(orphans.select(F.lit(tr.table).alias("table_name"), F.lit(_name(r)).alias("constraint_name"),
-                                            F.lit("FOREIGN KEY").alias("kind"), "violations"))
-    return reduce(DataFrame.unionByName, parts)
+                if owner == table:              # a NULL reference passes
+                    as_parent = {f.name: f.dataType for f in tables[r.ref_table].schema.fields}
+                    key = _key(r.columns, [as_parent[c] for c in r.ref_columns])
+                    entries.append(F.when(_all_set(r.columns), entry(i, key, 1, 0)))
+                if r.ref_table == table:
+                    entries.append(F.when(_all_set(r.ref_columns), entry(i, _key(r.ref_columns, [types[c] for c in r.ref_columns]), 0, 1)))
+        if entries or row_entries:
+            every = F.array(*entries, *row_entries)
+            if entries:                         # most rows break no row rule
+                every = F.when(any_broken, every).otherwise(F.array(*entries))
+            parts.append(df.select(F.explode(every).alias("x")).where("x IS NOT NULL").select("x.*"))
+    names = spark.createDataFrame([(i, t, _name(r), _kind(r)) for i, (t, r) in enumerate(listed)],
+                                  "rule int, table_name string, constraint_name string, kind string")
+    if not parts:
+        return names.select("table_name", "constraint_name", "kind", F.lit(0).cast("long").alias("violations"))
+    by_key = reduce(DataFrame.unionAll, parts).groupBy("rule", "number", "words").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    unique = [i for i, (_, r) in enumerate(listed) if isinstance(r, Unique)]
+    foreign = [i for i, (_, r) in enumerate(listed) if isinstance(r, ForeignKey)]
+    fine = (F.col("rule").isin(unique) & (F.col("n") == 1)) | (F.col("rule").isin(foreign) & (F.col("parent") == 1))
+    found = by_key.where(~fine).groupBy("rule").agg(F.sum("n").alias("found"))
+    return (names.join(found, "rule", "left")
+            .select("table_name", "constraint_name", "kind", F.coalesce("found", F.lit(0).cast("long")).alias("violations")))
+
+
+def _broken(r: NotNull | Check) -> Column:
+    return F.col(r.column).isNull() if isinstance(r, NotNull) else ~F.coalesce(F.expr(r.expr), F.lit(True))
+
+
+def _all_set(columns: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns))
+
+
+def _key(columns: tuple[str, ...], types: list[T.DataType]) -> tuple[Column, Column]:
+    """The columns' values, in the given types, as one number if they are an
+    integer and as one text otherwise."""
+    values = [F.col(c).cast(t) for c, t in zip(columns, types)]
+    if len(values) == 1 and isinstance(types[0], T.IntegralType):
+        return values[0].cast("long"), F.lit(None).cast("string")
+    if len(values) == 1:
+        return F.lit(None).cast("long"), values[0].cast("string")
+    texts = F.struct(*(v.cast("string").alias(f"c{i}") for i, v in enumerate(values)))
+    return F.lit(None).cast("long"), F.to_json(texts, {"ignoreNullFields": "false"})
 
 
 def _name(r) -> str:
@@ -100,7 +146,7 @@ def _name(r) -> str:
 
 
 def _kind(r) -> str:
-    return "NOT NULL" if isinstance(r, NotNull) else "CHECK"
+    return {NotNull: "NOT NULL", Check: "CHECK", Unique: "UNIQUE", ForeignKey: "FOREIGN KEY"}[type(r)]
 
 
 def foreign_keys(spark: SparkSession, registry: list[TableRules]) -> DataFrame:

@@ -21,7 +21,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 class SchemaMismatch(ValueError):
@@ -142,17 +143,39 @@ class SnapshotStore:
                      partition_by: list[str] | None = None, mode: str = "overwrite") -> dict[str, int]:
         """Write the next version of several tables and make all of them current
         at once. Whatever fails before that leaves every table as it was."""
+        versions, _ = self.stage_many(tables, allow_schema_change, partition_by, mode)
+        self.commit(versions)
+        return versions
+
+    def stage_many(self, tables: dict[str, DataFrame], allow_schema_change: bool = False, partition_by: list[str] | None = None,
+                   mode: str = "overwrite", metrics: dict[str, dict[str, Column]] | None = None) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
+        """Write the next version of several tables without making them current:
+        (versions, what was counted). ``metrics`` are aggregates by table and name,
+        taken of the new rows while they are written, next to ``n_rows``.
+        ``commit`` makes the versions current, ``abandon`` deletes them."""
         if mode not in ("overwrite", "append"):
             raise ValueError(f"unknown mode {mode!r}")
-        versions = {}
+        versions, counted = {}, {}
         for t, df in tables.items():
             current = self._check_schema(t, df, allow_schema_change)
+            seen = Observation()
+            df = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *(m.alias(name) for name, m in (metrics or {}).get(t, {}).items()))
             if mode == "append" and current is not None:
                 df = self.read(t, current).unionByName(df, allowMissingColumns=allow_schema_change)
             versions[t] = self._claim(f"{self.root}/{t}", self._versions(t))
             self._stage(t, df, versions[t], partition_by)
+            counted[t] = seen.get
+        return versions, counted
+
+    def commit(self, versions: dict[str, int]) -> None:
+        """Make staged versions current, all at once."""
         self._commit(versions)
-        return versions
+
+    def abandon(self, versions: dict[str, int]) -> None:
+        """Delete staged versions that will not become current."""
+        for t, v in versions.items():
+            if self.current_version(t) != v:
+                self._fs.delete(self._Path(self.path(t, v)), True)
 
     def expire(self, table: str, keep: int) -> None:
         """Delete all but the newest ``keep`` versions. Nothing else deletes a
