@@ -34,17 +34,30 @@ def _changed(t_cols: list[Column], s_cols: list[Column], null_safe: bool) -> Col
     return reduce(lambda a, b: a | b, diffs)
 
 
+def drop_null_keys(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """Rows whose key columns are all set. A merge can neither find nor replace any other."""
+    return df.dropna(subset=[key] if isinstance(key, str) else list(key))
+
+
+def _sides(target: DataFrame, source: DataFrame, key: str) -> tuple[DataFrame, Column, Column]:
+    """The full outer join of both sides as ``t`` and ``s``, and which of them a
+    joined row has. That is marked by columns of their own, as a key may be null."""
+    t = target.withColumn("__in", F.lit(True)).alias("t")
+    s = drop_null_keys(source, key).withColumn("__in", F.lit(True)).alias("s")
+    joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
+    return joined, F.col("t.__in").isNotNull(), F.col("s.__in").isNotNull()
+
+
 # ---------------------------------------------------------------- SCD type 1
 def scd1_merge(target: DataFrame, source: DataFrame, key: str, update_cols: list[str],
                check_unique: bool = True) -> DataFrame:
     """Upsert: matched keys take ``update_cols`` from the source (other columns
-    keep the target value), new keys are inserted whole, target-only keys stay."""
+    keep the target value), new keys are inserted whole, target-only keys stay.
+    Target rows with a NULL key stay as they are; source rows with one are left out."""
     if check_unique:
-        assert_unique_keys(source, key)
+        assert_unique_keys(drop_null_keys(source, key), key)
     cols = target.columns
-    t, s = target.alias("t"), source.alias("s")
-    j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    in_t, in_s = F.col(f"t.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
+    j, in_t, in_s = _sides(target, source, key)
     out = []
     for c in cols:
         if c == key:
@@ -85,16 +98,15 @@ def scd2_merge(target: DataFrame, batch: DataFrame, key: str, compare_cols: list
     One full outer join of *current* rows with the batch does all of it; each
     joined row emits one or two output rows through a small array + explode.
     ``null_safe=False`` reproduces SQL ``<>`` (NULL <-> value is not a change).
+    Target rows with a NULL key stay as they are; batch rows with one are left
+    out, since every batch would add them anew.
     """
     if check_unique:
-        assert_unique_keys(batch, key)
+        assert_unique_keys(drop_null_keys(batch, key), key)
     base_cols = [c for c in target.columns if c not in SCD2_COLS]
     ts = ntz_literal(batch_ts)
     history = target.filter(~F.col("is_current"))
-    current = target.filter(F.col("is_current")).alias("t")
-    s = batch.select(*base_cols).alias("s")
-    j = current.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    in_t, in_s = F.col(f"t.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
+    j, in_t, in_s = _sides(target.filter(F.col("is_current")), batch.select(*base_cols), key)
     changed = in_t & in_s & _changed([F.col(f"t.{c}") for c in compare_cols],
                                      [F.col(f"s.{c}") for c in compare_cols], null_safe)
 
@@ -112,6 +124,16 @@ def scd2_merge(target: DataFrame, batch: DataFrame, key: str, compare_cols: list
     return history.select(*merged.columns).unionByName(merged)
 
 
+def scd2_changes(target: DataFrame, batch: DataFrame, key: str, compare_cols: list[str], null_safe: bool = True) -> DataFrame:
+    """The rows of ``batch`` that ``scd2_merge`` would act on: those with a new
+    key, and those that differ from the current row. Merging them gives the same
+    dimension as merging the whole batch, and tells which keys are touched."""
+    current = target.filter(F.col("is_current")).select(F.col(key).alias("__key"), *(F.col(c).alias(f"__{c}") for c in compare_cols if c != key))
+    rows = drop_null_keys(batch, key).join(current.withColumn("__in", F.lit(True)), F.col(key) == F.col("__key"), "left")
+    changed = _changed([F.col(f"__{c}") for c in compare_cols if c != key], [F.col(c) for c in compare_cols if c != key], null_safe)
+    return rows.where(F.col("__in").isNull() | changed).select(*batch.columns)
+
+
 def scd2_invariants(dim: DataFrame, key: str) -> DataFrame:
     """One row: keys with more than one current row, and rows whose interval is
     inverted (end before start). Both must be 0. One grouped pass."""

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillbook.operators.drift import check_and_record
-from tillbook.operators.scd import scd2_init, scd2_merge
+from tillbook.operators.scd import scd2_changes, scd2_init, scd2_merge
 from tillbook.plans import medallion as M
 from tillbook.sources.files import read_csv
 from tillbook.sources.snapshots import SnapshotStore
@@ -70,11 +70,12 @@ def run_lake(spark: SparkSession, sf_dir: str, root: str, batch_ts, customers: D
     for name, (key, compared) in DIMENSIONS.items():
         batch = customers if name == "customers" and customers is not None else store.read(f"silver_{name}")
         table = f"dim_{name}"
-        if store.exists(table):
-            dim = scd2_merge(store.read(table), batch, key, compared, batch_ts)
+        if store.exists(table):              # only the buckets of new and changed keys are read again and written
+            versions[table] = store.merge_keyed(
+                table, scd2_changes(store.read(table), batch, key, compared), key,
+                lambda dim, changes, key=key, compared=compared: scd2_merge(dim, changes, key, compared, batch_ts))
         else:
-            dim = scd2_init(batch, batch_ts)
-        versions[table] = store.publish(table, dim)
+            versions[table] = store.publish_keyed(table, scd2_init(batch, batch_ts), key)
 
     drift = None
     for name in M._MK_RAW:
