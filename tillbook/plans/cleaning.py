@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillbook.functions import (clip_null_safe, collapse_spaces, email_is_valid, ntz_literal, parse_multi_timestamp,
                                 strip_non_numeric, title_case)
 from tillbook.functions.text import EMAIL_PATTERN
-from tillbook.operators.dedup import count_duplicates
+from tillbook.operators.dedup import count_duplicates, fingerprint
 from tillbook.operators.quality import describe_exact, null_counts, schema_frame
 from tillbook.plans.model import (TITLE_SQL, listing, oracle, raw_items, raw_orders, raw_products, shop_customers,
                                   superstore)
@@ -149,13 +149,13 @@ def quality_report(customers: DataFrame, products: DataFrame, orders: DataFrame,
                    F.count_if(F.col("order_date").isNull()).alias("unparseable_order_date"),
                    F.count_if("had_dd_mm_date").alias("dd_mm_yyyy_dates"),
                    F.count_if("is_future").alias("future_order_date"),
-                   F.count_if(~F.col("status_valid")).alias("invalid_status"), _repeats(co.columns))
-    p_one = cp.agg(F.count_if("was_messy").alias("messy_product_name"), _repeats(cp.columns))
+                   F.count_if(~F.col("status_valid")).alias("invalid_status"), _repeats(co))
+    p_one = cp.agg(F.count_if("was_messy").alias("messy_product_name"), _repeats(cp))
     i_one = lines.agg(F.count_if("is_return").alias("negative_quantity"), F.count_if("is_zero").alias("zero_quantity"),
                       F.count_if("discount_was_invalid").alias("discount_out_of_range"),
-                      _repeats([c for c in lines.columns if c != "of"], F.col("of").isNotNull()),
+                      _repeats(lines, [c for c in lines.columns if c != "of"], F.col("of").isNotNull()),
                       F.count_if(F.col("of").isNull()).alias("orphan_items"))
-    c_one = customers.agg(F.count_if(~email_is_valid("email")).alias("invalid_email"), _repeats(customers.columns))
+    c_one = customers.agg(F.count_if(~email_is_valid("email")).alias("invalid_email"), _repeats(customers))
     parts = [_long(o_one, "orders", ["missing_customer_id", "unparseable_order_date", "dd_mm_yyyy_dates",
                                      "future_order_date", "invalid_status", "duplicate_rows"]),
              _long(p_one, "products", ["messy_product_name", "duplicate_rows"]),
@@ -164,9 +164,9 @@ def quality_report(customers: DataFrame, products: DataFrame, orders: DataFrame,
     return reduce(DataFrame.unionByName, parts).filter((F.col("n_rows") > 0) | (F.col("check_name") == "orphan_items"))
 
 
-def _repeats(columns: list[str], where: Column | None = None) -> Column:
-    """The rows (where a condition holds) less the different ones."""
-    row = F.struct(*columns)
+def _repeats(df: DataFrame, columns: list[str] | None = None, where: Column | None = None) -> Column:
+    """The rows (where a condition holds) less the different ones, by their fingerprints."""
+    row = fingerprint(df, columns)
     row = row if where is None else F.when(where, row)
     return (F.count(row) - F.count_distinct(row)).alias("duplicate_rows")
 

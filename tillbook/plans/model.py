@@ -547,6 +547,11 @@ def task_lines(spark, d):
 TITLE_SQL = "array_to_string(list_transform(regexp_extract_all(lower(trim({x})), '(\\p{{L}}+|[^\\p{{L}}]+)'), lambda w: upper(w[1]) || w[2:]), '')"
 
 
+def _copies(where):
+    """An extract that repeats whole rows: one copy of a row, or two."""
+    return F.explode(F.when(where, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy")
+
+
 @view("raw_orders", f"""
 SELECT o_orderkey AS order_id,
        CASE WHEN o_orderkey % 20 = 7 THEN '' WHEN o_orderkey % 20 = 13 THEN NULL
@@ -556,7 +561,7 @@ SELECT o_orderkey AS order_id,
             WHEN o_orderkey % 10 = 5 THEN strftime(o_orderdate, '%Y-%m-%d')
             ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS order_date,
        CASE WHEN o_orderkey % 97 = 5 THEN 'UNKNOWN' ELSE {_STATUS_B} END AS status
-FROM orders
+FROM orders, unnest(CASE WHEN o_orderkey % 401 = 2 THEN [1, 2] ELSE [1] END)
 """)
 def raw_orders(spark, d):
     o = load(spark, d, "orders")
@@ -570,7 +575,7 @@ def raw_orders(spark, d):
         F.when(k % 10 == 3, F.date_format("o_orderdate", "dd-MM-yyyy")).when(k % 50 == 9, F.lit("unknown"))
         .when(k % 10 == 5, F.date_format("o_orderdate", "yyyy-MM-dd"))
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("order_date"),
-        status.alias("status"))
+        status.alias("status"), _copies(k % 401 == 2)).drop("_copy")
 
 
 @view("raw_products", f"""
@@ -578,7 +583,7 @@ SELECT p_partkey AS product_id,
        CASE p_partkey % 4 WHEN 1 THEN '  ' || upper(p_name) || ' ' WHEN 2 THEN replace(p_name, ' ', '   ')
             WHEN 3 THEN p_name ELSE {TITLE_SQL.format(x='p_name')} END AS product_name,
        p_type AS category, p_brand AS subcategory, CAST(p_retailprice AS {MONEY.upper()}) AS cost_price
-FROM part
+FROM part, unnest(CASE WHEN p_partkey % 173 = 9 THEN [1, 2] ELSE [1] END)
 """)
 def raw_products(spark, d):
     from tillbook.functions.text import title_case
@@ -588,7 +593,8 @@ def raw_products(spark, d):
             .when(k == 2, F.replace(F.col("p_name"), F.lit(" "), F.lit("   ")))
             .when(k == 3, F.col("p_name")).otherwise(title_case("p_name")))
     return p.select(F.col("p_partkey").alias("product_id"), name.alias("product_name"), F.col("p_type").alias("category"),
-                    F.col("p_brand").alias("subcategory"), F.col("p_retailprice").cast(MONEY).alias("cost_price"))
+                    F.col("p_brand").alias("subcategory"), F.col("p_retailprice").cast(MONEY).alias("cost_price"),
+                    _copies(F.col("p_partkey") % 173 == 9)).drop("_copy")
 
 
 @view("raw_items", f"""
@@ -601,7 +607,7 @@ SELECT l_orderkey * 100 + l_linenumber AS item_id,
        CASE WHEN (l_orderkey + l_linenumber) % 53 = 0 THEN CAST(150 AS DECIMAL(8,2))
             WHEN (l_orderkey + l_linenumber) % 59 = 0 THEN CAST(-5 AS DECIMAL(8,2))
             ELSE CAST(CAST(l_discount AS {RATE.upper()}) * 100 AS DECIMAL(8,2)) END AS discount_percent
-FROM lineitem
+FROM lineitem, unnest(CASE WHEN l_orderkey % 307 = 4 THEN [1, 2] ELSE [1] END)
 """)
 def raw_items(spark, d):
     li = load(spark, d, "lineitem")
@@ -614,7 +620,8 @@ def raw_items(spark, d):
     return li.select((k * 100 + F.col("l_linenumber")).alias("item_id"),
                      F.when(k % 997 == 1, -k - 1).otherwise(k).alias("order_id"),
                      F.col("l_partkey").alias("product_id"), qty.alias("quantity"),
-                     F.col("l_extendedprice").cast(MONEY).alias("line_amount"), disc.alias("discount_percent"))
+                     F.col("l_extendedprice").cast(MONEY).alias("line_amount"), disc.alias("discount_percent"),
+                     _copies(k % 307 == 4)).drop("_copy")
 
 
 @view("listing", """
