@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillbook.llm.langid import Model, clusters, held_out, identify, learn, size_limits, term_counts
+from tillbook.llm.langid import BITS, CENTROIDS, Model, clusters, held_out, identify, learn, size_limits, term_counts
 from tillbook.llm.queries import op10_language_id
 
 SF = "/root/testdata/sf0.01"
@@ -107,3 +107,10 @@ def test_hard_rows(docs_of):
     assert isinstance(empty, Model) and empty.predict("the cat") == ("und", 0.0, True)
     only_null = learn(labelled.where("doc_id >= 100").withColumn("lang", F.lit("en")), F.lit(True))
     assert only_null.predict("the cat")[0] == "und"
+
+
+def test_more_languages_than_a_model_holds(docs_of, table, monkeypatch):
+    monkeypatch.setattr("tillbook.llm.langid.MODEL_BYTES", 2 * 4 * CENTROIDS << BITS)
+    rows = [(i, f"word{i} and more words of it", ["en", "en", "en", "de", "de", f"odd {i}"][i % 6]) for i in range(60)]
+    model = learn(table(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert set(model.languages) == {"de", "en"}

@@ -97,3 +97,11 @@ def test_digests(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = sorted(map(tuple, QUERIES["op9_line_dedup"][0](spark, SF).collect()))
     assert got == sorted((i, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for i, n, gone, kept in slow_lines(rows))
+
+
+def test_own_columns_stay(table):
+    line = "a line that is shared by all of them"
+    names = ["__hash", "__id", "__of", "__drop", "__lines", "N_Lines"]
+    frame = table([(i, f"{line}\nown {i}", *(f"{n}{i}" for n in names)) for i in range(4)], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names[:5]) + ", x string")
+    got = sorted(map(tuple, dedup_lines(frame).collect()))
+    assert got == [(i, f"{line}\nown 3" if i == 3 else f"own {i}", *(f"{n}{i}" for n in names), 2, int(i < 3)) for i in range(4)]

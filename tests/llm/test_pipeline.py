@@ -16,7 +16,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_every_operator_has_a_query():
     names = E.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and "pipeline" not in E.oracle_sql()
     assert [n for n, _ in cp.STAGES] == ["language_id", "line_dedup", "simhash", "decontamination", "packing"]
@@ -102,3 +102,40 @@ def test_reads_the_checkpoint_folder_of_the_session(spark):
     from tillbook.llm.common import cut
     cut(spark.range(3).select(F.col("id")))
     assert spark.sparkContext.getCheckpointDir().startswith(f"file:{spark.conf.get('spark.checkpoint.dir')}")
+
+
+NAMES = ["score", "n_lines", "rejected", "lang_pred", "n_dropped", "__kept", "__hash", "__lines", "__row", "__text_hash", "N_Dropped2"]
+
+
+def test_own_columns_stay_in_every_stage(spark, table):
+    base = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = base.select("*", *(F.concat(F.lit(f"{n}-"), F.col("doc_id")).alias(n) for n in NAMES))
+    for _, stage in cp.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns
+        assert got.where(" OR ".join(f"`{n}` <> concat('{n}-', doc_id)" for n in NAMES)).count() == 0 and got.count() > 100
+
+
+def test_rows_of_one_id_are_not_lost(spark, table):
+    one, two = " ".join(f"alpha{i}" for i in range(50)), " ".join(f"omega{i}" for i in range(50))
+    rows = [(1, one, "en", "b", 1), (1, two, "en", "a", 1), (1, one, "en", "a", 1), (2, two, "en", "a", 1), (None, one, "en", "a", 1), (None, one, "en", "a", 1),
+            (3, None, "en", "a", 1), (4, "", "en", "a", 1)]
+    docs = table(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(map(tuple, cp.near_dedup(spark, docs, SF).collect()), key=repr)
+    assert got == sorted([(1, one, "en", "a", 1), (1, two, "en", "a", 1), (None, one, "en", "a", 1), (None, one, "en", "a", 1), (3, None, "en", "a", 1)], key=repr)
+
+
+def test_stages_on_an_empty_table(spark, table):
+    docs = table([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs, SF).collect() == []
+
+
+def test_the_library_works_without_tokenizers(tmp_path):
+    import subprocess
+    import sys
+    (tmp_path / "tiktoken.py").write_text("raise ModuleNotFoundError('gone', name='tiktoken')")
+    code = "import __spark_entry__ as e; print(len(e.queries()) > 100, any(n.startswith('op') for n in e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=cp.__file__.rsplit("/", 1)[0], capture_output=True, text=True,
+                          env={"PYTHONPATH": str(tmp_path), "PATH": "/usr/bin:/bin"})
+    assert done.stdout.split() == ["True", "False"], done.stderr

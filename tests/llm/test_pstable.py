@@ -122,3 +122,10 @@ def test_recall_among_real_vectors(spark, table):
     assert sum(links) > 600
     assert abs(sum(links) - found["n_links"].sum()) <= 0.001 * sum(links)       # a recall of 0.999, where 0.9 is asked for
     assert (found["component_id"].to_numpy() == low).mean() > 0.999
+
+
+def test_a_key_in_several_classes_joins_them(table):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = table([(3, "x", a), (5, "x", a), (5, "x", b), (9, "x", b), (10, "y", b)], "vec_id long, label string, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in near_vectors(rows).collect())
+    assert got == [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 3, False), (9, 1, 3, False), (10, 0, 10, True)]

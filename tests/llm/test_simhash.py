@@ -129,3 +129,15 @@ def test_hard_rows(docs_of):
     assert by[5][1] == by[6][1] == 5 and by[5][0] == by[6][0] == by[-1][0] and by[-1][1] is None
     assert by[8] == by[9] and by[9][1] == 8 and by[10][1] == 10
     assert simhash_components(docs_of([]).where("false")).collect() == []
+
+
+def test_a_key_in_several_classes_joins_them(docs_of):
+    a, b = " ".join(f"alpha{i}" for i in range(60)), " ".join(f"omega{i}" for i in range(60))
+    got = simhash_components(docs_of([(3, a), (5, a), (5, b), (9, b), (11, "else where now")])).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(3, 3), (5, 3), (5, 3), (9, 3), (11, 11)]
+
+
+def test_components_of_a_star(table):
+    edges = [(i, 0) for i in range(1, 2000)] + [(i, i + 1) for i in range(3000, 3010)]
+    got = {r["node"]: r["component"] for r in components(table(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {i: 0 for i in range(2000)} | {i: 3000 for i in range(3000, 3011)}

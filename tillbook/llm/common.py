@@ -70,8 +70,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Alternates large-star and small-star steps: each links the neighbours of a
     node to the smallest one, until the edges are stars around the smallest
     node of each component. Every step is a join and an aggregate over the
-    edges; a node with very many edges is pre-aggregated on the map side and its
-    join partition can be split by the adaptive skew handling.
+    edges; a node with very many edges is pre-aggregated on the map side, and the
+    joins shuffle for themselves, so that its partition can be split where it is skewed.
     """
     edge = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v"))).distinct())
@@ -79,9 +79,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while state[0]:
         low = (edge.select(F.col("v").alias("n"), F.col("v").alias("m"))
                .unionAll(edge.select(F.col("u"), F.col("v"))).groupBy("n").agg(F.min("m").alias("low")))
-        large = edge.join(low, edge["v"] == low["n"]).select("u", F.col("low").alias("v")).distinct()
+        large = skew_join(edge, low, {"v": "n"}).select("u", F.col("low").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = (large.join(least.withColumnRenamed("u", "n"), F.col("u") == F.col("n"))
+        small = (skew_join(large, least.withColumnRenamed("u", "n"), {"u": "n"})
                  .select(F.explode(F.array(F.struct("u", F.col("low").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("low").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u > v").distinct())
@@ -99,6 +99,29 @@ def _state(edge: DataFrame) -> tuple[int, int | None]:
     return row["n"], row["x"]
 
 
+def tied_classes(rows: DataFrame, classes: DataFrame, key: str, of: list[str]) -> DataFrame:
+    """Edges ``(node, low)`` from every ``key`` that occurs in rows of several
+    classes to the nodes of these. ``of`` names a row's class; ``classes`` has a ``node`` for each."""
+    several = (rows.groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(*of)).alias("a"), F.max(F.struct(*of)).alias("b"))
+               .where("a <> b").select("__key"))
+    of_several = rows.join(several, F.col(key) == F.col("__key")).select(F.col(key).alias("__key"), *of).distinct()
+    return of_several.join(classes.select(*of, "node"), of).select(F.col("__key").alias("node"), F.col("node").alias("low"))
+
+
+def set_aside(df: DataFrame, used: Iterable[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with the columns that have one of the ``used`` names (in any case)
+    renamed, and the columns that give it its own names back."""
+    lower = {c.lower() for c in (*df.columns, *used)}
+    taken, names = {u.lower() for u in used}, {}
+    for c in df.columns:
+        name = c
+        while name.lower() in (taken if name == c else lower):
+            name = f"_{name}_"
+        lower.add(name.lower())
+        names[c] = name
+    return df.withColumnsRenamed({c: n for c, n in names.items() if c != n}), [F.col(n).alias(c) for c, n in names.items()]
+
+
 def skew_join(left: DataFrame, right: DataFrame, keys: dict[str, str], how: str = "inner") -> DataFrame:
     """Equi-join on ``{left column: right column}`` with both sides dealt anew.
 

@@ -135,17 +135,17 @@ def learn(docs: DataFrame, usable: Column, key: str = "doc_id", text: str = "tex
     language are learned from, those whose keys have the lowest hashes, but for
     every fifth, which is held back to find the limits of rejection."""
     rows = docs.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}       # one row per language
-    if len(sizes) * count * 4 << BITS > MODEL_BYTES:
-        raise ValueError(f"{len(sizes)} languages are more than a model of {MODEL_BYTES} bytes holds")
+    most = max(1, MODEL_BYTES // (count * 4 << BITS))
+    found = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most)
+    sizes = {r["lang"]: r["n"] for r in found.collect()}
     if not sizes:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros((len(SIZES) + 1, 0)), np.ones(1 << BITS))
     # a little over the sample by a limit on the hash, then exactly the lowest
     chance = F.element_at(F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, 2 * sample / n)))), F.col(lang))
     place = F.xxhash64(F.lit("sample"), F.col(key).cast("string"))
-    some = (rows.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"), place.alias("place"))
+    some = (rows.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"), place.alias("place"), F.xxhash64(text).alias("tie"))
             .where(F.pmod("place", F.lit(1 << 20)) < chance * (1 << 20)))
-    lowest = Window.partitionBy("lang").orderBy("place")
+    lowest = Window.partitionBy("lang").orderBy("place", "tie")
     chosen = (some.withColumn("n", F.row_number().over(lowest)).where(F.col("n") <= sample + sample // HELD_BACK)
               .select("lang", "text", (F.col("n") % (HELD_BACK + 1) == 0).alias("held")))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillbook.llm.common import BLANKS, cut, lower_ascii, skew_join
+from tillbook.llm.common import BLANKS, cut, lower_ascii, set_aside, skew_join
 
 
 def line_key(line: Column) -> Column:
@@ -51,8 +51,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_ch
     No row is dropped.
     """
     drops = shared_lines(docs, key, text, min_chars, min_docs)
-    rest = docs.drop("n_lines", "n_dropped").withColumn("__hash", F.xxhash64(text))
-    names = [c for c in rest.columns if c != "__hash"]
+    rest, own = set_aside(docs.drop("n_lines", "n_dropped"), ["__hash", "__id", "__of", "__drop", "__lines"])
+    names = [c for c in rest.columns]
+    rest = rest.withColumn("__hash", F.xxhash64(text))
     joined = rest.join(drops.select(F.col("id").alias("__id"), F.col("text_hash").alias("__of"), F.col("drop").alias("__drop")),
                        (F.col(key) == F.col("__id")) & (F.col("__hash") == F.col("__of")), "left")
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
@@ -62,4 +63,4 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_ch
         F.array_join(F.transform(stay, lambda at: F.element_at("__lines", at + 1)), "\n"))
     return parts.select(*(kept.alias(c) if c == text else F.col(c) for c in names),
                         F.size("__lines").cast("long").alias("n_lines"),
-                        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"))
+                        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped")).select(*own, "n_lines", "n_dropped")

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tillbook.llm.common import components, cut, skew_join, split_runs
+from tillbook.llm.common import components, cut, skew_join, split_runs, tied_classes
 from tillbook.llm.simhash import link_roots
 
 SIMILARITY = 0.98
@@ -154,7 +154,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     full = work.join(classes.select(*CLASS, "node", "copies", "vector"), CLASS).join(keyed, CLASS)
     found = cut(full.repartition("work").sortWithinPartitions("work", "node").mapInArrow(
         lambda b: _linked(b, similarity), "h1 long, h2 long, node long, links long, low long"))
-    group = components(found, "node", "low")
+    group = components(found.select("node", "low").unionAll(tied_classes(used, classes, "id", CLASS)), "node", "low")
     counted = found.groupBy(*CLASS).agg(F.sum("links").alias("links"))
     about = (classes.select(*CLASS, "node", "copies").join(counted, CLASS, "left").join(group, "node", "left")
              .select(F.col("h1").alias("of1"), F.col("h2").alias("of2"),

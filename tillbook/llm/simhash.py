@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillbook.llm.common import components, cut, split_runs
+from tillbook.llm.common import components, cut, split_runs, tied_classes
 
 SEED = 42
 SHARD_ROWS = 16_384
@@ -208,18 +208,22 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """Near-duplicate groups of documents by their SimHash fingerprints.
 
     Returns one row per input row: ``key``, ``fingerprint`` (16 lowercase hex
-    digits) and ``component_id``, the smallest key reachable over links of at
-    most ``radius`` differing bits, its own included.
+    digits), ``component_id``, the smallest key reachable over links of at most
+    ``radius`` differing bits, its own included, and ``text_hash`` (XXH64 of the
+    text), which tells rows of one key apart.
 
     A null or wordless text has the fingerprint zero and is linked like any
     other. Rows with a null key get a fingerprint, link with nothing and have a
-    null component. Rows that repeat a key are one document in all their texts.
+    null component. Rows that repeat a key are one document in all their texts,
+    so they share a component, with all that any of them is near to.
     Other columns are ignored. An empty table gives an empty result.
     """
-    marked = cut(fingerprints(docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")), "text", words))
-    classes = marked.where("key is not null").groupBy("fp").agg(F.min("key").alias("node"))
-    group = components(near_links(classes, radius, shard_rows), "node", "low")
+    own = F.col(text).cast("string")
+    marked = cut(fingerprints(docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(own).alias("text_hash"), own.alias("text")), "text", words))
+    keyed = marked.where("key is not null")
+    classes = cut(keyed.groupBy("fp").agg(F.min("key").alias("node")))
+    group = components(near_links(classes, radius, shard_rows).unionAll(tied_classes(keyed, classes, "key", ["fp"])), "node", "low")
     ids = classes.join(group, "node", "left").select(F.col("fp").alias("of"), F.coalesce("component", "node").alias("id"))
     return (marked.join(ids, marked["fp"] == ids["of"], "left")
             .select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    F.when(F.col("key").isNotNull(), F.col("id")).alias("component_id")))
+                    F.when(F.col("key").isNotNull(), F.col("id")).alias("component_id"), "text_hash"))
