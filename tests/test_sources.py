@@ -111,3 +111,13 @@ def test_copy_keeps_each_files_own_columns(spark, scratch):
     out = copy_quote_all(spark, folder, os.path.join(scratch, "copied"))
     got = {r.path.split("_out=output_")[1].split("/")[0]: open(r.path.replace("file:", "")).read() for r in out.collect()}
     assert got == {"x.csv": '"a","b"\n"1","2"\n', "y.csv": '"b","a","c"\n"10","20","30"\n', "z.csv": '"a","b"\n"3","4 ""q"""\n'}
+
+
+def test_empty_and_quoted_empty_fields_are_null(spark, scratch):
+    folder = os.path.join(scratch, "empties")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write('k,a,b\n1,"",x\n2,,y\n3," ",\n4,"z",""\n')
+    from tillbook.sources.files import read_csv
+    got = [tuple(r) for r in read_csv(spark, folder, "k int, a string, b string").orderBy("k").collect()]
+    assert got == [(1, None, "x"), (2, None, "y"), (3, " ", None), (4, "z", None)]

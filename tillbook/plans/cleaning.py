@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 from tillbook.functions import (clip_null_safe, collapse_spaces, email_is_valid, ntz_literal, parse_multi_timestamp,
                                 strip_non_numeric, title_case)
+from tillbook.functions.dates import parse_timestamp
 from tillbook.functions.text import EMAIL_PATTERN
 from tillbook.operators.dedup import count_duplicates, fingerprint
 from tillbook.operators.quality import describe_exact, null_counts, schema_frame
 from tillbook.plans.model import (TITLE_SQL, listing, oracle, raw_items, raw_orders, raw_products, shop_customers,
                                   superstore)
 from tillbook.plans.registry import register
+from tillbook.sources.files import rename_strict
 from tillbook.sources.tables import load
 
 AS_OF = dt.datetime(2001, 6, 30)        # "now" of the cleaning run, a parameter for determinism
@@ -239,6 +241,16 @@ def null_counts_q(spark, d):
     return null_counts(raw_orders(spark, d))
 
 
+@register("w5_cast_rename", oracle(["raw_orders"], """
+SELECT order_id, TRY_CAST(order_date AS TIMESTAMP) AS order_timestamp, status AS order_status FROM raw_orders
+WHERE NOT regexp_matches(order_date, '^[0-9]{2}-')"""))
+def cast_rename_q(spark, d):
+    """Text to timestamp (garbage gives NULL) and renamed columns; texts in the other date form are left to the cleaning job."""
+    raw = raw_orders(spark, d).select("order_id", "order_date", "status").where(~F.col("order_date").rlike("^[0-9]{2}-"))
+    typed = raw.withColumn("order_date", parse_timestamp("order_date"))
+    return rename_strict(typed, {"order_date": "order_timestamp", "status": "order_status"})
+
+
 @register("w5_dedup_counts", oracle(["superstore"], """
 SELECT CAST(SUM(n) AS BIGINT) AS total_rows, COUNT(*) AS distinct_rows, CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows
 FROM (SELECT COUNT(*) AS n FROM superstore GROUP BY order_id, product_id, sales, quantity, discount, ship_date)"""))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillbook.operators.quality import (Check, Default, ForeignKey, NotNull, TableRules, Unique,
                                         constraint_violations, row_metrics, split_valid)
-from tillbook.operators.scd import merge_validation, scd1_merge
+from tillbook.operators.scd import drop_null_keys, merge_validation, scd1_merge
 from tillbook.plans.model import oracle, raw_items, shopa_customers, shopa_items, shopa_orders, shopa_products
 from tillbook.plans.registry import register
 
@@ -208,6 +208,36 @@ def merge_validation_q(spark, d):
     return merge_validation(merged, "order_id")
 
 
+@register("w7_append_validation", oracle(["shopa_orders"], """
+WITH a AS (SELECT order_id FROM shopa_orders WHERE order_id % 10 <> 0
+           UNION ALL SELECT order_id FROM shopa_orders WHERE order_id % 10 = 0
+           UNION ALL SELECT order_id FROM shopa_orders WHERE order_id % 100 = 1)
+SELECT COUNT(*) AS total_rows, COUNT(DISTINCT order_id) AS distinct_keys,
+       (SELECT COUNT(*) FROM (SELECT order_id FROM a GROUP BY 1 HAVING COUNT(*) > 1)) AS duplicate_keys FROM a"""))
+def append_validation_q(spark, d):
+    """What the validation says when an increment was appended instead of merged."""
+    appended = orders_target(spark, d).select("order_id").unionAll(orders_increment(spark, d).select("order_id"))
+    return merge_validation(appended, "order_id")
+
+
+#: Columns without which an order cannot be merged.
+MERGE_NEEDS = ["order_id", "customer_id", "order_date"]
+
+
+@register("w7_upsert_landed", oracle(["shopa_customers", "shopa_products", "shopa_orders", "shopa_items"], f"""{_landed_sql()},
+t AS (SELECT * FROM shopa_orders WHERE order_id % 10 <> 0),
+s AS (SELECT * FROM landed_orders WHERE order_id % 10 < 2 AND {" AND ".join(f"{c} IS NOT NULL" for c in MERGE_NEEDS)})
+SELECT t.order_id, t.customer_id, t.order_date, COALESCE(s.status, t.status) AS status,
+       CAST(COALESCE(s.total_amount, t.total_amount) AS DOUBLE) AS total_amount FROM t LEFT JOIN s USING (order_id)
+UNION ALL
+SELECT order_id, customer_id, order_date, status, CAST(total_amount AS DOUBLE) FROM s WHERE order_id NOT IN (SELECT order_id FROM t)"""))
+def upsert_landed_q(spark, d):
+    """Rows of a landed extract that lack a needed column are dropped before the upsert."""
+    landed = landed_tables(spark, d)["orders"].filter(F.col("order_id") % 10 < 2)
+    merged = scd1_merge(orders_target(spark, d), drop_null_keys(landed, MERGE_NEEDS), "order_id", UPDATE_COLS)
+    return merged.withColumn("total_amount", F.col("total_amount").cast("double"))
+
+
 class Rejected(ValueError):
     """Rows that break a rule; nothing was published."""
 
