@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillbook.operators.quality import (Check, Default, ForeignKey, NotNull, TableRules, Unique,
                                         constraint_violations, row_metrics, split_valid)
+from tillbook.operators.references import missing_references
 from tillbook.operators.scd import drop_null_keys, merge_validation, scd1_merge
 from tillbook.plans.model import oracle, raw_items, shopa_customers, shopa_items, shopa_orders, shopa_products
 from tillbook.plans.registry import register
@@ -117,6 +118,27 @@ def constraints_q(spark, d):
     return constraint_violations(landed_tables(spark, d), SHOP_A_RULES)
 
 
+_FK_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS BIGINT) AS missing_key, COUNT(*) AS n_rows FROM landed_{v} "
+    f"WHERE {c} NOT IN (SELECT {rc} FROM landed_{rt} WHERE {rc} IS NOT NULL) GROUP BY {c}"
+    for t, v, c, rt, rc in (("orders", "orders", "customer_id", "customers", "customer_id"), ("order_items", "items", "order_id", "orders", "order_id"),
+                            ("order_items", "items", "product_id", "products", "product_id")))
+
+
+@register("q_missing_references", oracle(["shopa_customers", "shopa_products", "shopa_orders", "shopa_items"], f"{_landed_sql()} {_FK_SQL}"))
+def missing_references_q(spark, d):
+    """The references of each foreign key that have no row, with how often they occur."""
+    tables, out = landed_tables(spark, d), None
+    for tr in SHOP_A_RULES:
+        for r in tr.rules:
+            if isinstance(r, ForeignKey):
+                found = (missing_references(tables[tr.table], r.columns[0], tables[r.ref_table], r.ref_columns[0])
+                         .groupBy(F.col(r.columns[0]).cast("long").alias("missing_key")).agg(F.count(F.lit(1)).alias("n_rows"))
+                         .select(F.lit(tr.table).alias("table_name"), F.lit(r.columns[0]).alias("column_name"), "missing_key", "n_rows"))
+                out = found if out is None else out.unionAll(found)
+    return out
+
+
 def item_rules():
     return {"chk_quantity_positive": F.col("quantity") > 0,
             "chk_discount_range": F.col("discount_percent").between(0, 100)}
