@@ -23,23 +23,31 @@ def slow_rule(host, path, rules):
     return max(fit, key=lambda r: len(r.name)) if fit else None
 
 
-def slow_templates(kinds, depth, most, alike):
+def slow_templates(kinds, most, alike):
     """kinds: {(host, path): [n, labelled, bad]}; the template of each, node by node."""
     out = {}
 
-    def apart(a, b):
-        for k in (2, 1):
-            if a[k] * b[0] != b[k] * a[0]:
-                share = (a[k] + b[k]) / (a[0] + b[0])
-                if abs(a[k] / a[0] - b[k] / b[0]) >= alike * math.sqrt(share * (1 - share) * (1 / a[0] + 1 / b[0])):
-                    return True
-        return False
+    def apart(x, n, y, m):
+        share = (x + y) / (n + m)
+        return x * m != y * n and abs(x / n - y / m) >= alike * math.sqrt(share * (1 - share) * (1 / n + 1 / m))
+
+    def merge(stats):
+        """stats: {token: [n, labelled, bad]}; lists of tokens."""
+        groups, sums, plain = [], [], [t for t in stats if not stats[t][1]]
+        for t in sorted((t for t in stats if stats[t][1]), key=lambda t: (stats[t][2] / stats[t][1], t)):
+            if groups and not apart(sums[-1][2], sums[-1][1], stats[t][2], stats[t][1]):
+                groups[-1].append(t)
+                sums[-1] = [a + b for a, b in zip(sums[-1], stats[t])]
+            else:
+                groups.append([t])
+                sums.append(stats[t])
+        return groups + ([plain] if plain else [])
 
     def descend(host, prefix, members, level):
         """members: [(path, segments, counts)]"""
-        stop = [m for m in members if len(m[1]) <= level]
-        for path, _, _ in stop:
-            out[host, path] = prefix
+        for path, segments, _ in members:
+            if len(segments) <= level:
+                out[host, path] = prefix
         here = [m for m in members if len(m[1]) > level]
         total, by_segment = sum(m[2][0] for m in here), {}
         for m in here:
@@ -49,26 +57,15 @@ def slow_templates(kinds, depth, most, alike):
             rare = len(by_segment) > most and sum(m[2][0] for m in ms) * most < total
             by_token.setdefault("*" if rare else segment, []).extend(ms)
         stats = {t: [sum(m[2][k] for m in ms) for k in range(3)] for t, ms in by_token.items()}
-        order = sorted(stats, key=lambda t: (stats[t][2] / stats[t][0], stats[t][1] / stats[t][0], t))
-        groups = []
-        for t in order:
-            if groups and not apart(stats[t], stats[groups[-1][-1]]):
-                groups[-1].append(t)
-            else:
-                groups.append([t])
-        for g in groups:
+        for g in merge(stats):
             descend(host, prefix + "/" + "|".join(sorted(g)), [m for t in g for m in by_token[t]], level + 1)
 
     for host in {h for h, _ in kinds}:
-        rows = []
-        for (h, path), counts in kinds.items():
-            if h == host:
-                rows.append((path, re.sub("^/", "", path).split("/", depth), counts))
-        descend(host, "", rows, 0)
+        descend(host, "", [(path, re.sub("^/", "", path).split("/"), counts) for (h, path), counts in kinds.items() if h == host], 0)
     return out
 
 
-def slow_filter(urls, rules=RULES, depth=4, most=16, alike=1.96, reject=0.9):
+def slow_filter(urls, rules=RULES, most=16, alike=1.96, reject=0.9):
     kinds, parsed = {}, [(k, *slow_parse(u)) for k, u in urls]
     for _, host, path in parsed:
         r = slow_rule(host, path, rules)
@@ -76,7 +73,7 @@ def slow_filter(urls, rules=RULES, depth=4, most=16, alike=1.96, reject=0.9):
         counts[0] += 1
         counts[1] += r is not None
         counts[2] += r is not None and r.verdict == "block"
-    templates = slow_templates(kinds, depth, most, alike)
+    templates = slow_templates(kinds, most, alike)
     sums = {}
     for (host, path), counts in kinds.items():
         s = sums.setdefault((host, templates[host, path]), [0, 0])
@@ -124,3 +121,35 @@ def test_a_labelled_template_judges_its_unlabelled_urls(table):
     assert verdicts[301] == "block" and all(verdicts[i] == "allow" for i in range(200, 260))
     many = table([("h", f"/a/{i}", 1, 0, 0) for i in range(40)], "host string, path string, n long, labelled long, bad long")
     assert {r["template"] for r in path_templates(many).collect()} == {"/a/*"}
+
+
+def test_deep_segments_are_generalised_one_by_one(table):
+    rules = tuple(UrlRule("d.com", f"/a/b/c/d/e/{i}/spam/", "block") for i in range(100, 140)) + tuple(
+        UrlRule("d.com", f"/a/b/c/d/e/{i}/ok/", "allow") for i in range(100, 140))
+    urls = [f"https://d.com/a/b/c/d/e/{i}/{kind}/{i * 7}" for i in range(100, 180) for kind in ("spam", "ok")]
+    urls += [f"https://d.com/{'x/' * 40}{i}" for i in range(3)] + ["https://d.com/a/b/c/d/e", "https://d.com/a/b/c"]
+    rows = list(enumerate(urls))
+    found = filter_urls(table(rows, "page_id long, url string"), rules=rules).collect()
+    assert sorted(map(tuple, found), key=repr) == slow_filter(rows, rules)
+    verdict = {r["path"]: (r["rule"], r["verdict"], r["template"]) for r in found}
+    assert verdict["/a/b/c/d/e/150/spam/1050"] == (None, "block", "/a/b/c/d/e/*/spam/*")
+    assert verdict["/a/b/c/d/e/150/ok/1050"] == (None, "allow", "/a/b/c/d/e/*/ok/*")
+
+
+def test_branches_are_compared_with_what_is_merged_not_with_their_neighbour(table):
+    # bad shares rise by small steps: no neighbours differ, but the last differs from all before it together
+    bad = [0, 4, 9, 15, 22, 30, 38, 46, 54, 60]
+    kinds = [("h", f"/{chr(97 + i)}/{j}", 1, 1, int(j < b)) for i, b in enumerate(bad) for j in range(60)]
+    kinds += [("h", f"/new{i}/1", 1, 0, 0) for i in range(3)]
+    rows = path_templates(table(kinds, "host string, path string, n long, labelled long, bad long")).collect()
+    want = slow_templates({(h, p): [n, lab, b] for h, p, n, lab, b in kinds}, 16, 1.96)
+    assert {(r["host"], r["path"]): r["template"] for r in rows} == want
+    first = {r["template"].split("/")[1] for r in rows}
+    assert "new0|new1|new2" in first and 2 < len(first) < 11 and not any("a" in t and "j" in t for t in first)
+
+
+def test_no_unruled_url_of_the_given_pages_shares_its_first_segment_with_a_ruled_one(spark):
+    rows = op4_url_templates(spark, SF).selectExpr("host", "split(path, '/')[1] AS first", "rule IS NOT NULL AS ruled", "verdict")
+    branches = rows.groupBy("host", "first").agg({"ruled": "max"}).withColumnRenamed("max(ruled)", "known")
+    unruled = rows.where("NOT ruled").join(branches, ["host", "first"])
+    assert unruled.count() > 100 and unruled.where("known").count() == 0 and unruled.where("verdict = 'block'").count() == 0
