@@ -10,11 +10,11 @@ of their losses.
 Counts come from every token of every document and are exact. Those of single
 ids, bounded by the vocabulary, are sent to all tasks. Those of pairs grow with
 the corpus and stay apart: documents are read in chunks of about ``STEP``
-tokens, a chunk sends its different pairs with their counts to the buckets that
-their hashes choose, a bucket adds them up and sends every chunk the sums of
-its own pairs, and the chunk's documents are scored with them. There are the
-more buckets the more tokens, and a pair is in a bucket once for each chunk,
-however common it is, so no task holds more than a bounded share.
+tokens, a group of ``CHUNKS`` of them names each of its different pairs once,
+with its count there, as one row; the rows of a pair are added up, every group
+gets the sums of its own pairs back, and its documents are scored with them.
+So the rows grow with the groups' different pairs, and a pair has one row for
+each group at most, however common it is: no key is hot.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tillbook.llm.common import cut
@@ -39,11 +39,8 @@ PAIR_WEIGHT = 20.0
 EXTRA = 0.5
 #: Ids that are looked at together; a longer document is looked at alone.
 STEP = 1 << 19
-#: Buckets of pairs at least, and tokens of the corpus for each of them.
-BUCKETS = 512
-BUCKET_TOKENS = 1 << 18
-
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Chunks whose pairs are counted together.
+CHUNKS = 8
 
 
 def vocabulary(tokenizer: str) -> int:
@@ -72,37 +69,27 @@ def _befores(ids: np.ndarray, sizes: np.ndarray, size: int) -> np.ndarray:
     return before
 
 
-def _dealt(ids: np.ndarray, before: np.ndarray, size: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The different pairs, the place of each token's pair among them, their
-    places by bucket, and where each bucket begins in that order."""
-    assert (size + 1) ** 2 <= 1 << (PAIR_BITS - 1)
-    pairs, of = np.unique(before * (size + 1) + ids, return_inverse=True)
-    bucket = ((pairs.view(np.uint64) * _MIX) >> np.uint64(32)) % np.uint64(buckets)
-    order = np.argsort(bucket, kind="stable")
-    return pairs, of, order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-
-
 def _chunks(marked: DataFrame, tokenizer: str, step: int) -> DataFrame:
-    """``(chunk, keys, sizes, chosen, ids)``: rows (key, text, chosen), some ``step`` ids together."""
+    """``(part, keys, sizes, chosen, ids)``: rows (key, text, chosen), some ``step`` ids together, and their group of chunks."""
     kind = marked.schema["key"].dataType.simpleString()
-    schema = f"chunk long, keys array<{kind}>, sizes array<long>, chosen array<boolean>, ids binary, n long"
+    schema = f"part long, keys array<{kind}>, sizes array<long>, chosen array<boolean>, ids binary"
     arrow = to_arrow_schema(marked.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, held, total = TaskContext.get().partitionId() << 32, [], 0
+        first, held, total, done = TaskContext.get().partitionId() << 32, [], 0, 0
 
         def row() -> pa.RecordBatch:
             keys, chosen, ids = zip(*held)
-            values = (chunk, keys, [len(x) for x in ids], chosen, _packed(np.concatenate(ids)), total)
+            values = (first + done // (CHUNKS * step), keys, [len(x) for x in ids], chosen, _packed(np.concatenate(ids)))
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
 
         for batch in batches:
             for key, text, chosen in zip(*batch.columns):
                 held.append((key.as_py(), chosen.as_py(), token_ids(text.as_py(), tokenizer)[:-1]))
-                total += len(held[-1][2])
-                if total >= step or len(held) >= step:
+                total += len(held[-1][2]) + 1                # so that empty texts fill a chunk too
+                if total >= step:
                     yield row()
-                    chunk, held, total = chunk + 1, [], 0
+                    held, total, done = [], 0, done + total
         if held:
             yield row()
 
@@ -133,53 +120,41 @@ def count_ids(chunks: DataFrame, size: int) -> np.ndarray:
     return counts
 
 
-def count_pairs(chunks: DataFrame, size: int, buckets: int) -> DataFrame:
-    """``(chunk, bucket, target, every)``: for each chunk and bucket, how often
-    the chunk's pairs of that bucket occur in the target and in all documents."""
-    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, sizes, chosen, data in zip(*batch.columns):
-                sizes, ids = np.array(sizes.as_py(), np.int64), _unpacked(data.as_py())
-                pairs, of, order, starts = _dealt(ids, _befores(ids, sizes, size), size, buckets)
-                good = np.repeat(np.array(chosen.as_py(), bool), sizes)
-                each = pairs, np.bincount(of[good], minlength=len(pairs)), np.bincount(of, minlength=len(pairs))
-                rows = []
-                for b in np.flatnonzero(np.diff(starts)).tolist():
-                    some = order[starts[b]:starts[b + 1]]    # in the order of the pairs, which therefore go as differences
-                    rows.append((chunk.as_py(), b, _packed(np.diff(each[0][some], prepend=0)), _packed(each[1][some]), _packed(each[2][some])))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                        pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["chunk", "bucket", "pairs", "target", "every"])
-
-    def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def sums() -> pa.RecordBatch:
-            pairs = [np.cumsum(_unpacked(p)) for _, p, _, _ in held]
-            different, of = np.unique(np.concatenate(pairs), return_inverse=True)
-            total = np.zeros((2, len(different)), np.int64)
-            for row in (0, 1):
-                np.add.at(total[row], of, np.concatenate([_unpacked(h[2 + row]) for h in held]))
-            ends = np.cumsum([len(p) for p in pairs])
-            own = [of[end - len(p):end] for end, p in zip(ends, pairs)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([h[0] for h in held], pa.int64()), pa.array([now] * len(held), pa.int64()),
-                 *(pa.array([_packed(total[row, o]) for o in own], pa.binary()) for row in (0, 1))],
-                names=["chunk", "bucket", "target", "every"])
+def _pairs(ids: np.ndarray, before: np.ndarray, size: int) -> np.ndarray:
+    assert (size + 1) ** 2 <= 1 << (PAIR_BITS - 1)
+    return before * (size + 1) + ids
+
+
+def count_pairs(chunks: DataFrame, size: int) -> DataFrame:
+    """``(part, pair, target, every)``: for each group of chunks, how often each
+    of its pairs occurs in the target and in all documents."""
+    names = ["part", "pair", "target", "every"]
+
+    def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def merged() -> pa.RecordBatch:
+            pairs, of = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            counts = [np.bincount(of, np.concatenate([h[n] for h in held]), len(pairs)).astype(np.int64) for n in (1, 2)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(pairs), now, np.int64), pairs, *counts)], names=names)
 
         now, held = None, []
         for batch in batches:
-            for chunk, bucket, *data in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and bucket != now:
-                    yield sums()
+            for part, sizes, chosen, data in zip(*batch.columns):
+                if held and part.as_py() != now:             # a group met in two places has two rows for a pair, and gets both back
+                    yield merged()
                     held = []
-                now = bucket
-                held.append((chunk, *data))
+                now, sizes, ids = part.as_py(), np.array(sizes.as_py(), np.int64), _unpacked(data.as_py())
+                each = _pairs(ids, _befores(ids, sizes, size), size)
+                pairs, every = np.unique(each, return_counts=True)
+                of_target, counts = np.unique(each[np.repeat(np.array(chosen.as_py(), bool), sizes)], return_counts=True)
+                target = np.zeros(len(pairs), np.int64)
+                target[np.searchsorted(pairs, of_target)] = counts
+                held.append((pairs, target, every))
         if held:
-            yield sums()
+            yield merged()
 
-    asked = chunks.select("chunk", "sizes", "chosen", "ids").mapInArrow(
-        ask, "chunk long, bucket long, pairs binary, target binary, every binary")
-    return (asked.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(answer, "chunk long, bucket long, target binary, every binary"))
+    pair = Window.partitionBy("pair")
+    return (chunks.select("part", "sizes", "chosen", "ids").mapInArrow(named, "part long, pair long, target long, every long")
+            .select("part", "pair", *(F.sum(n).over(pair).alias(n) for n in ("target", "every"))))
 
 
 @dataclass
@@ -225,48 +200,31 @@ def score_documents(docs: DataFrame, target: DataFrame, key: str = "doc_id", tex
               .select("key", "text", F.col("__good").isNotNull().alias("chosen")))
     size = vocabulary(tokenizer)
     chunks = cut(_chunks(marked, tokenizer, step))
-    buckets = max(BUCKETS, (chunks.agg(F.sum("n")).first()[0] or 0) // BUCKET_TOKENS)
     model = docs.sparkSession.sparkContext.broadcast(Model.of(count_ids(chunks, size), size))
     schema = body.select("key").schema.add("n_tokens", "long")
     for name in ("loss_target", "loss_background", "difference"):
         schema = schema.add(name, "double")
     arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def scored() -> pa.RecordBatch:
-            _, _, keys, sizes, ids = own
-            sizes, ids = np.array(sizes, np.int64), _unpacked(ids)
+    def scored(own: pa.Table, sums: pa.Table) -> pa.Table:
+        """One group of chunks with the sums of its pairs."""
+        pairs, *sums = (sums[n].to_numpy() for n in ("pair", "target", "every"))
+        order = np.argsort(pairs)
+        pairs, sums = pairs[order], np.array(sums)[:, order]
+        done = []
+        for keys, sizes, data in zip(*(own[n] for n in ("keys", "sizes", "ids"))):
+            sizes, ids = np.array(sizes.as_py(), np.int64), _unpacked(data.as_py())
             before = _befores(ids, sizes, size)
-            pairs, of, order, _ = _dealt(ids, before, size, buckets)
-            counts = np.zeros((2, len(pairs)), np.int64)
-            for row in (0, 1) if len(pairs) else ():
-                counts[row, order] = np.concatenate([_unpacked(s[row]) for s in sums])
             mean = np.full((2, len(sizes)), np.nan)
             some = sizes > 0
             if some.any():
+                counts = sums[:, np.searchsorted(pairs, _pairs(ids, before, size))]
                 starts = (np.cumsum(sizes) - sizes)[some]
-                mean[:, some] = np.add.reduceat(model.value.losses(ids, before, counts[:, of]), starts, axis=1) / sizes[some]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys, arrow[0].type), pa.array(sizes), *(pa.array(x, from_pandas=True) for x in (*mean, mean[0] - mean[1]))],
-                schema=arrow)
-
-        own, sums = None, []
-        for batch in batches:                                # a chunk, then the sums of its pairs by bucket
-            for chunk, bucket, keys, sizes, first, second in zip(*batch.columns):
-                if bucket.as_py() < 0:
-                    if own:
-                        yield scored()
-                    own, sums = (chunk.as_py(), -1, keys.as_py(), sizes.as_py(), first.as_py()), []
-                else:
-                    sums.append((first.as_py(), second.as_py()))
-        if own:
-            yield scored()
-
-    keys = chunks.schema["keys"].dataType
-    answers = count_pairs(chunks, size, buckets).select(
-        "chunk", "bucket", F.lit(None).cast(keys).alias("keys"), F.lit(None).cast("array<long>").alias("sizes"),
-        F.col("target").alias("first"), F.col("every").alias("second"))
-    both = chunks.select("chunk", F.lit(-1).cast("long").alias("bucket"), "keys", "sizes", F.col("ids").alias("first"),
-                         F.lit(None).cast("binary").alias("second")).unionAll(answers)
-    return (both.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, schema)
-            .withColumnRenamed("key", key))
+                mean[:, some] = np.add.reduceat(model.value.losses(ids, before, counts), starts, axis=1) / sizes[some]
+            done.append(pa.RecordBatch.from_arrays(
+                [pa.array(keys.as_py(), arrow[0].type), pa.array(sizes), *(pa.array(x, from_pandas=True) for x in (*mean, mean[0] - mean[1]))],
+                schema=arrow))
+        return pa.Table.from_batches(done, arrow)
+
+    return (chunks.select("part", "keys", "sizes", "ids").groupBy("part").cogroup(count_pairs(chunks, size).groupBy("part"))
+            .applyInArrow(scored, schema).withColumnRenamed("key", key))
