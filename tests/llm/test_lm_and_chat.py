@@ -194,3 +194,21 @@ def test_query_covers_every_turn(spark):
     turns = spark.read.parquet(f"{sf}/conversations.parquet")
     assert sum(r["action"] != "insert" for r in rows) == turns.count()
     assert sum(r["cost"] is not None for r in rows) == turns.select("conv_id").distinct().count()
+
+
+def test_texts_go_with_their_rows(table):
+    rng = random.Random(5)
+    rows = [(c, rng.choice([None, n, 0]), NAMES[rng.randrange(4)], rng.choice(["", None, "same", "other\n", f"t{n}", "é " * 2000]), 1, "x")
+            for c in (None, 0, 1, 2) for n in range(25)] * 2
+    frame = table(rows, "conv_id long, turn long, role string, text string, row1 int, id string")
+    out = sorted(cr.repair_conversations(frame, segment=7).collect(), key=lambda r: (repr(r["conv_id"]), r["segment"], r["piece"]))
+    marks = ("<|im_start|>system\n", "<|im_start|>user\n", "<|im_start|>assistant\n", "<|im_end|>\n")
+
+    def body(r):
+        s = r["rendered"]
+        for m in marks:
+            s = s.replace(m, "")
+        return s[1:] if r["action"] == "merge" else s
+    assert (Counter((r["conv_id"], r["role_in"], body(r)) for r in out if r["action"] != "insert")
+            == Counter((c, role, text or "") for c, _, role, text, _, _ in rows))
+    assert all(body(r) == "" for r in out if r["action"] == "insert")

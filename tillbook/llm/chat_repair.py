@@ -12,6 +12,9 @@ matrices compose. A conversation's rows are numbered in their order, and every
 list of segment matrices tells with which states its segments begin and end,
 and each segment is then repaired by itself. So a conversation of any length
 is repaired as a whole, without being in one place.
+
+All this reads numbers and roles only. A text moves once, when it joins the
+piece that its row became.
 """
 
 from __future__ import annotations
@@ -35,6 +38,9 @@ NEXT = {0: (1, 2), 1: (2,), 2: (3,), 3: (2,)}
 END = 3
 NEVER = (1 << 40, 0)
 
+#: A row's hashes.
+ROW = ["row1", "row2"]
+
 #: (cost, new turns), and what is done: inserted roles, then the turn's own role and whether it is merged.
 Step = tuple[tuple[int, int], tuple[int, ...], int, bool]
 
@@ -165,9 +171,9 @@ def _plan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
 
 
-def _turn(role: int, opened: bool, first: bool, text: str, template: tuple[str, str]) -> str:
-    """A piece of the rendered conversation: it closes the turn before a new one."""
-    return ("" if first else template[1] if opened else "\n") + (template[0].format(role=ROLES[role]) if opened else "") + text
+def _before(role: int, opened: bool, first: bool, template: tuple[str, str]) -> str:
+    """What a piece of the rendered conversation has before its text: it closes the turn before a new one."""
+    return ("" if first else template[1] if opened else "\n") + (template[0].format(role=ROLES[role]) if opened else "")
 
 
 def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
@@ -190,52 +196,64 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
     takes ``segment`` input rows, whatever their turn numbers.
     """
     kind = dict(turns.dtypes)[conv]
-    rows = turns.select(F.col(conv).alias("id"), F.col(turn).cast("long").alias("turn"), role_code(F.col(role)).alias("role"),
-                        F.col(role).cast("string").alias("role_in"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    # a conversation goes by a hash of its id, so that null is one too
-    rows = (rows.withColumn("conv", F.xxhash64(F.lit(1), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.col("id").isNull()))
-            .withColumn("tie", F.xxhash64("text")).withColumn("copy", F.monotonically_increasing_id()))
+    # a conversation goes by a hash of its id, so that null is one too; a row that has a text goes by
+    # 128 bits of hash of all that is read of it, as rows equal in that may change places
+    rows = (turns.select(F.col(conv).alias("id"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role_in"),
+                         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+            .withColumn("conv", F.xxhash64(F.lit(1), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.col("id").isNull())))
+    read = [F.coalesce("turn", F.lit(0)), F.col("turn").isNull(), F.coalesce("role_in", F.lit("")), F.col("role_in").isNull(), F.col("text")]
+    rows = rows.withColumns({n: F.when(F.col("text") != "", F.xxhash64(F.lit(k), "conv", *read)) for k, n in enumerate(ROW, 2)})
+    texts = rows.where("text <> ''").groupBy(*(F.col(n).alias(f"of_{n}") for n in ROW)).agg(F.first("text").alias("text"))
+    rows = (rows.withColumn("role", role_code(F.col("role_in"))).withColumn("tie", F.xxhash64("text"))
+            .withColumn("copy", F.monotonically_increasing_id()).drop("text"))
     # rows are numbered by ranges of the order, so a conversation or a turn number with very many rows is in several tasks
-    rows = segmented(rows, ["conv"], [(c, False) for c in ("turn", "role", "tie", "copy")], row_col="place")
+    rows = segmented(rows, ["conv"], [(c, False) for c in ("turn", "role", "tie", "copy")], row_col="place").drop("turn", "tie", "copy")
     rows = rows.withColumn("segment", F.floor((F.col("place") - 1) / segment)).withColumn("part", F.xxhash64("conv", "segment"))
     order = ["part", "place"]
     ways = (rows.select(*order, "conv", "segment", "role").repartition("part").sortWithinPartitions(*order)
             .mapInArrow(_matrices, "part long, conv long, segment long, ways array<long>"))
     plan = cut(ways.repartition("conv").sortWithinPartitions("conv", "segment")
                .mapInArrow(_plan, "part long, first long, last long, turns long, cost long"))
-    full = rows.join(plan, "part").select(*order, "role", "id", "segment", "role_in", "text", "first", "last", "turns", "cost")
-    schema = f"`{conv}` {kind}, out_turn long, segment long, piece long, role_in string, role_out string, action string, cost long, rendered string"
+    full = rows.join(plan, "part").select(*order, "role", "id", "segment", "role_in", *ROW, "first", "last", "turns", "cost")
+    schema = (f"id {kind}, out_turn long, segment long, piece long, role_in string, role_out string, action string, cost long, "
+              "before string, after string, row1 long, row2 long")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, table in split_runs(batches, "part", 1 << 62):
-            part, codes, ids, number_of, role_in, bodies, first, last, before, cost = (table[n].to_pylist() for n in (
-                "part", "role", "id", "segment", "role_in", "text", "first", "last", "turns", "cost"))
+            part, codes, ids, number_of, role_in, row1, row2, first, last, turns_before, cost = (table[n].to_pylist() for n in (
+                "part", "role", "id", "segment", "role_in", *ROW, "first", "last", "turns", "cost"))
             start, out = 0, []
             for end in range(1, len(part) + 1):
                 if end < len(part) and part[end] == part[start]:
                     continue
-                number, place = before[start] - 1, len(out)  # of the turn that is open; where the part's rows begin
+                number, place = turns_before[start] - 1, len(out)  # of the turn that is open; where the part's rows begin
                 begins = number < 0
                 at = number_of[start]
                 for n, ((_, _), inserted, own, merged) in zip(range(start, end), trace(codes[start:end], first[start], last[start])):
                     for extra in inserted:
                         number += 1
-                        out.append((ids[n], number, at, len(out) - place, None, ROLES[extra], "insert", None, _turn(extra, True, begins, "", template)))
+                        out.append((ids[n], number, at, len(out) - place, None, ROLES[extra], "insert", None,
+                                    _before(extra, True, begins, template), "", None, None))
                         begins = False
                     number += not merged
                     action = "merge" if merged else "keep" if codes[n] == own else "relabel"
                     out.append((ids[n], number, at, len(out) - place, role_in[n], ROLES[own], action, None,
-                                _turn(own, not merged, begins, bodies[n], template)))
+                                _before(own, not merged, begins, template), "", row1[n], row2[n]))
                     begins = False
                 if cost[start] is not None:                  # the conversation's last segment
                     for extra in ENDING[last[start]][1]:
                         number += 1
-                        out.append((ids[start], number, at, len(out) - place, None, ROLES[extra], "insert", None, _turn(extra, True, False, "", template)))
+                        out.append((ids[start], number, at, len(out) - place, None, ROLES[extra], "insert", None,
+                                    _before(extra, True, False, template), "", None, None))
                     final = out[-1]
-                    out[-1] = (*final[:7], cost[start], final[8] + template[1])
+                    out[-1] = (*final[:7], cost[start], final[8], template[1], *final[10:])
                 start = end
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], f.type) for n, f in enumerate(arrow)], schema=arrow)
 
-    result = turns.sparkSession.createDataFrame([], schema)
-    arrow = to_arrow_schema(result.schema)
-    return full.repartition("part").sortWithinPartitions(*order).mapInArrow(run, result.schema)
+    arrow = to_arrow_schema(turns.sparkSession.createDataFrame([], schema).schema)
+    pieces = full.repartition("part").sortWithinPartitions(*order).mapInArrow(run, schema)
+    # pieces without a text are dealt by themselves and find none
+    pieces = pieces.withColumn(ROW[0], F.coalesce(ROW[0], F.xxhash64("id", "segment", "piece"))).withColumn(ROW[1], F.coalesce(ROW[1], F.lit(0)))
+    return (pieces.join(texts, [F.col(n) == F.col(f"of_{n}") for n in ROW], "left")
+            .select(F.col("id").alias(conv), "out_turn", "segment", "piece", "role_in", "role_out", "action", "cost",
+                    F.concat("before", F.coalesce("text", F.lit("")), "after").alias("rendered")))
