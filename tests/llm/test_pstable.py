@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tillbook.llm.pstable import near_vectors
+from tillbook.llm.pstable import near_vectors, sized
 from tillbook.llm.queries import op5_embedding_dedup
 
 
@@ -108,8 +108,9 @@ def test_query_matches_brute_force(spark):
     assert got["kept"].tolist() == (got["vec_id"] == low).tolist()
 
 
-def test_recall_among_real_vectors(spark, table):
-    """The table's vectors with copies and near copies of some, against all cosines."""
+@pytest.mark.parametrize("size", [None, 1_000_000])
+def test_recall_among_real_vectors(spark, table, size):
+    """With the tables and hashes of ``size`` vectors; the table's vectors with copies and near copies of some, against all cosines."""
     rng = np.random.default_rng(11)
     base = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").toPandas()
     more = base.sample(600, random_state=1, replace=True).reset_index(drop=True)
@@ -118,7 +119,7 @@ def test_recall_among_real_vectors(spark, table):
     more["vec_id"] = 1_000_000 + np.arange(600)
     rows = pd.concat([base, more], ignore_index=True)
     links, low = brute(rows)
-    found = near_vectors(spark.createDataFrame(rows)).orderBy("vec_id").toPandas()
+    found = near_vectors(spark.createDataFrame(rows), **dict(zip(("tables", "hashes"), sized(size) if size else ()))).orderBy("vec_id").toPandas()
     assert sum(links) > 600
     assert abs(sum(links) - found["n_links"].sum()) <= 0.001 * sum(links)       # a recall of 0.999, where 0.9 is asked for
     assert (found["component_id"].to_numpy() == low).mean() > 0.999
@@ -129,3 +130,20 @@ def test_a_key_in_several_classes_joins_them(table):
     rows = table([(3, "x", a), (5, "x", a), (5, "x", b), (9, "x", b), (10, "y", b)], "vec_id long, label string, embedding array<double>")
     got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in near_vectors(rows).collect())
     assert got == [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 3, False), (9, 1, 3, False), (10, 0, 10, True)]
+
+
+def test_strangers_stay_few():
+    for n in (1, 100, 1 << 14, 10**6, 10**9):
+        tables, hashes = sized(n)
+        assert n * 0.271 ** hashes <= (1 << 14) * 0.271 ** 8 * 1.001
+        assert (1 - 0.84 ** hashes) ** tables < 4e-4
+    assert sized(1 << 14) == (32, 8)
+
+
+def test_buckets_of_all_sizes_and_lengths(table):
+    """Buckets below and above the size that is compared many at a time, in vectors of several lengths."""
+    rng = np.random.default_rng(3)
+    rows = groups(rng) + [(i + 1000, v, label) for i, v, label in groups(rng, 8)]
+    base = rng.normal(size=16)
+    rows += [(5000 + i, np.float32(base + rng.normal(size=16) * 0.08).tolist(), 1) for i in range(70)]
+    assert run(table, rows, tables=48) == run(table, rows, tables=48, block=9) == slow(rows)

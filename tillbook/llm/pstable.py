@@ -15,6 +15,7 @@ work, so all its pairs are compared without holding it in one place.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,13 +28,27 @@ from tillbook.llm.simhash import link_roots
 
 SIMILARITY = 0.98
 #: At cosine 0.98 (distance 0.2) a table's 8 hashes of width 1.0 agree with a chance
-#: of 0.25, so one of 32 tables does with 0.9999; at a right angle with 3e-5. More
-#: hashes and tables keep the comparisons few where a label has far more than a million vectors.
+#: of 0.25, so one of 32 tables does with 0.9999; at a right angle with 3e-5.
 TABLES, HASHES, WIDTH = 32, 8, 1.0
+#: So many vectors of a label are compared well by that; see ``sized`` for more.
+ROOM = 1 << 14
+#: The chances that one hash of that width agrees at cosine 0.98 and at a right angle.
+NEAR, FAR = 0.84, 0.271
 BLOCK = 256
+#: Buckets of so many members at most are compared many at a time.
+SMALL = 32
 SEED = 7
 
 
+def sized(n: int) -> tuple[int, int]:
+    """Tables and hashes for ``n`` vectors of a label: each hash more lets a
+    vector meet ``FAR`` times as many strangers in a bucket, so their number stays
+    what it is at ``ROOM``; as many tables more keep the chance to meet a near
+    one. Work grows with the power 1.14 of ``n`` at most."""
+    hashes = HASHES + max(0, math.ceil(math.log(max(n, 1) / ROOM) / -math.log(FAR)))
+    return math.ceil(TABLES * NEAR ** (HASHES - hashes)), hashes
+
+
 def bucket_keys(unit: np.ndarray, tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH) -> np.ndarray:
     """A 64-bit bucket for each unit row and table."""
     rng = np.random.default_rng(SEED)
@@ -75,39 +90,55 @@ def _linked(batches: Iterable[pa.RecordBatch], similarity: float) -> Iterator[pa
     """For each pair of blocks: its members' new links, weighted by the copies at
     the other end, and the smallest member that each one reaches."""
     for _, table in split_runs(batches, "work", 1 << 62):
-        table = table.combine_chunks()
-        work = table["work"].to_numpy()
-        ends = np.flatnonzero(np.r_[work[1:] != work[:-1], True]) + 1
-        out = []
-        for start, end in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist()):
-            part = table.slice(start, end - start)
-            h1, h2, node, copies, side = (part[c].to_numpy() for c in (*CLASS, "node", "copies", "side"))
-            keys, at = _matrix_of_longs(part["keys"]), int(part["at"][0].as_py())
-            unit = _unit(_matrix(part["vector"].combine_chunks()))
-            links = np.zeros(len(node), np.int64)
-            pairs = []
-            one_block = side[0] == 2
-            left = np.flatnonzero(side != 1)
-            right = left if one_block else np.flatnonzero(side == 1)
-            for step in range(0, len(left), 256):
-                rows = left[step:step + 256]
-                a, b = np.nonzero(unit[rows] @ unit[right].T >= similarity)
-                a, b = rows[a], right[b]
-                if one_block:
-                    a, b = a[a < b], b[a < b]
-                for cut_at in range(0, len(a), 65_536):      # not counted before, by a table in which both met
-                    x, y = a[cut_at:cut_at + 65_536], b[cut_at:cut_at + 65_536]
-                    new = ~(keys[x, :at] == keys[y, :at]).any(axis=1)
-                    x, y = x[new], y[new]
-                    np.add.at(links, x, copies[y])
-                    np.add.at(links, y, copies[x])
-                    if len(x):
-                        pairs.append((x, y))
-            root = link_roots(len(node), pairs)
-            used = np.flatnonzero(links)
-            out.append((h1[used], h2[used], node[used], links[used], node[root[used]]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)],
-                                         names=[*CLASS, "node", "links", "low"])
+        sizes = table["vector"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+        for size in np.unique(sizes):
+            yield _links(table.filter(pa.array(sizes == size)).combine_chunks(), similarity)
+
+
+def _near(unit: np.ndarray, starts: np.ndarray, ends: np.ndarray, side: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of near rows of the same work, which begins and ends at the given rows; a few at a time."""
+    small = (side[starts] == 2) & (ends - starts <= SMALL)
+    # the rows of small buckets, each with those behind it
+    rows = np.flatnonzero(np.repeat(small, ends - starts))
+    behind = np.repeat(ends, ends - starts)[rows] - 1 - rows
+    step = max(1, (1 << 21) // unit.shape[1])
+    total = np.cumsum(behind)
+    for some in np.split(np.arange(len(rows)), np.searchsorted(total, np.arange(step, total[-1] if len(total) else 0, step))):
+        a = np.repeat(rows[some], behind[some])
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(behind[some]) - behind[some], behind[some])
+        near = np.einsum("ij,ij->i", unit[a], unit[b]) >= similarity
+        yield a[near], b[near]
+    for start, end in zip(starts[~small].tolist(), ends[~small].tolist()):
+        one_block = side[start] == 2
+        left = start + np.flatnonzero(side[start:end] != 1)
+        right = left if one_block else start + np.flatnonzero(side[start:end] == 1)
+        for first in range(0, len(left), 256):
+            rows = left[first:first + 256]
+            a, b = np.nonzero(unit[rows] @ unit[right].T >= similarity)
+            a, b = rows[a], right[b]
+            yield (a[a < b], b[a < b]) if one_block else (a, b)
+
+
+def _links(part: pa.Table, similarity: float) -> pa.RecordBatch:
+    """Links within the works of rows whose vectors are equally long."""
+    work, h1, h2, node, copies, side, at = (part[c].to_numpy() for c in ("work", *CLASS, "node", "copies", "side", "at"))
+    keys, unit = _matrix_of_longs(part["keys"]), _unit(_matrix(part["vector"].combine_chunks()))
+    ends = np.flatnonzero(np.r_[work[1:] != work[:-1], True]) + 1
+    links, pairs, table = np.zeros(len(node), np.int64), [], np.arange(keys.shape[1])
+    for a, b in _near(unit, np.r_[0, ends[:-1]], ends, side, similarity):
+        for first in range(0, len(a), 65_536):               # not counted before, by a table in which both met
+            x, y = a[first:first + 65_536], b[first:first + 65_536]
+            most = int(at[x].max())
+            new = ~((keys[x, :most] == keys[y, :most]) & (table[:most] < at[x, None])).any(axis=1)
+            x, y = x[new], y[new]
+            np.add.at(links, x, copies[y])
+            np.add.at(links, y, copies[x])
+            if len(x):
+                pairs.append((x, y))
+    root = link_roots(len(node), pairs)
+    used = np.flatnonzero(links)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (h1[used], h2[used], node[used], links[used], node[root[used]])],
+                                      names=[*CLASS, "node", "links", "low"])
 
 
 def _matrix_of_longs(column: pa.ChunkedArray) -> np.ndarray:
@@ -115,7 +146,7 @@ def _matrix_of_longs(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
-                 similarity: float = SIMILARITY, tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH,
+                 similarity: float = SIMILARITY, tables: int | None = None, hashes: int | None = None, width: float = WIDTH,
                  block: int = BLOCK) -> DataFrame:
     """Links between vectors of the same label with cosine ``similarity`` or more.
 
@@ -128,6 +159,10 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     key. Vectors of different lengths never link. Equal rows link like others;
     rows that repeat a key are counted one by one and share a component. Other
     columns are ignored; an empty table gives an empty result.
+
+    ``tables`` and ``hashes`` follow from the largest label's number of
+    different vectors (see ``sized``) unless they are given, as they should be for
+    another ``similarity`` or ``width``.
     """
     values = F.col(vector) if dict(vectors.dtypes)[vector] == "array<float>" else F.col(vector).cast("array<double>")
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"), values.alias("vector"))
@@ -138,6 +173,8 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     # copies are one class, named by its smallest key
     classes = cut(used.groupBy(*CLASS).agg(F.min("id").alias("node"), F.count("*").alias("copies"),
                                            F.first("label").alias("label"), F.first("vector").alias("vector")))
+    largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    tables, hashes = (given or own for given, own in zip((tables, hashes), sized(largest)))
     keyed = cut(classes.select(*CLASS, "vector").mapInArrow(
         lambda b: _hashed(b, tables, hashes, width), "h1 long, h2 long, keys array<long>"))
     kind = classes.select(*CLASS, "label", F.size("vector").alias("size"))
