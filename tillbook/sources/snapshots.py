@@ -262,7 +262,7 @@ class SnapshotStore:
         if layout is None:
             raise ValueError(f"{table} is not keyed: publish_keyed lays it out by key")
         buckets, schema = layout
-        touched = {r[0] for r in _bucketed(batch.select(key), key, buckets).select(_BUCKET).distinct().collect()}   # at most one a bucket
+        touched = _touched(batch, key, buckets)
         folders = {int(f.rsplit("=", 1)[1]): f for f in self._manifest(table, current)}
         rows = self._read_folders(table, [f for b, f in folders.items() if b in touched], schema)
         merged = merge(rows, batch)
@@ -270,6 +270,31 @@ class SnapshotStore:
             raise SchemaMismatch(f"{table}: the merge gives another schema than version {current}")
         return self._publish_buckets(table, merged, key, buckets, [f for b, f in folders.items() if b not in touched])
 
+    def bucket_count(self, table: str) -> int:
+        return self._layout(table, self.current_version(table))[0]
+
+    def read_buckets(self, table: str, batch: DataFrame, key: str, version: int | None = None) -> DataFrame:
+        """The rows of a keyed table in the buckets that hold keys of ``batch``; no other is read."""
+        v = self.current_version(table) if version is None else version
+        layout = None if v is None else self._layout(table, v)
+        if layout is None:
+            raise ValueError(f"{table} is not keyed: publish_keyed lays it out by key")
+        touched = _touched(batch, key, layout[0])
+        return self._read_folders(table, [f for f in self._manifest(table, v) if int(f.rsplit("=", 1)[1]) in touched], layout[1])
+
+    def differing(self, table: str, since: int, until: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """The rows of two versions (until: the current one) without the folders
+        that both share, which hold the same rows and are not read. What an
+        append adds and what a merge rewrites is all that there is, so
+        ``row_changes`` of the two frames costs as much as the change."""
+        until = self.current_version(table) if until is None else until
+        old, new = (self._manifest(table, v) or [f"v={v}"] for v in (since, until))
+        frames = []
+        for v, own, other in ((since, old, new), (until, new, old)):
+            layout = self._layout(table, v)
+            frames.append(self._read_folders(table, [f for f in own if f not in other], layout[1] if layout else self.read(table, v).schema))
+        return frames[0], frames[1]
+
     def _layout(self, table: str, version: int) -> tuple[int, T.StructType] | None:
         """The number of buckets and the schema of a keyed version."""
         path = f"{self.path(table, version)}/_layout"
@@ -298,6 +323,10 @@ class SnapshotStore:
                     self._fs.delete(st.getPath(), True)
 
 
+def _touched(batch: DataFrame, key: str, buckets: int) -> set[int]:
+    return {r[0] for r in _bucketed(batch.select(key), key, buckets).select(_BUCKET).distinct().collect()}   # at most one a bucket
+
+
 def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """``df`` with the number of each row's bucket."""
     return df.withColumn(_BUCKET, F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int"))
