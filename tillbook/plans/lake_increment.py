@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillbook.functions import avg_exact
-from tillbook.operators.changes import add_partials
+from tillbook.operators.changes import add_partials, row_changes
 from tillbook.plans import medallion as M
 from tillbook.plans.lake import LINEAGE, SILVER
+from tillbook.plans.registry import register
 from tillbook.sources.snapshots import SnapshotStore
 
 #: raw table -> the key of its buckets
@@ -76,6 +77,11 @@ STATES = {"sellers": (["seller_id"], seller_partials, ["order_items"], []),
           "states": (["customer_state"], state_partials, ["orders", "order_payments"], ["customers"])}
 
 
+def category_sales(state: DataFrame) -> DataFrame:
+    return state.select("product_category_name_english", F.col("revenue").cast("double").alias("total_revenue"),
+                        F.col("n_orders").alias("total_orders"), avg_exact(F.col("revenue"), F.col("n_prices")).alias("avg_price"))
+
+
 def _gold(store: SnapshotStore) -> dict[str, DataFrame]:
     """The gold tables from the partial sums."""
     seller, category, state, paid = (store.read(f"state_{n}") for n in ("sellers", "categories", "states", "paid_orders"))
@@ -84,9 +90,7 @@ def _gold(store: SnapshotStore) -> dict[str, DataFrame]:
         "seller_performance": seller.join(store.read("silver_sellers").select("seller_id", "seller_state"), "seller_id").select(
             "seller_id", "seller_state", F.col("revenue").cast("double").alias("total_revenue"), F.col("n_items").alias("total_items_sold"),
             avg_exact(F.col("freight"), F.col("n_freight")).alias("avg_freight")),
-        "sales_by_category": category.select(
-            "product_category_name_english", F.col("revenue").cast("double").alias("total_revenue"), F.col("n_orders").alias("total_orders"),
-            avg_exact(F.col("revenue"), F.col("n_prices")).alias("avg_price")),
+        "sales_by_category": category_sales(category),
         "revenue_by_state": state.select("customer_state", F.col("revenue").cast("double").alias("total_revenue"),
                                          F.col("n_rows").alias("total_orders")),
         # an order later than all before makes every customer's recency another
@@ -163,3 +167,48 @@ def land(spark: SparkSession, landed: dict[str, DataFrame], root: str, batch_ts)
             versions[table] = store.publish(table, add_partials(
                 store.read(table), *(partials(*(x[t] for t in facts), *more) for x in (then, now)), groups))
     return versions | {f"gold_{n}": store.publish(f"gold_{n}", df) for n, df in _gold(store).items()}
+
+
+# ------------------------------------------------------------------------- queries
+def _changes_sql(before: str, after: str, columns: str) -> str:
+    return f"""
+WITH both_states AS (SELECT {columns}, -1 AS one FROM ({before}) UNION ALL SELECT {columns}, 1 FROM ({after}))
+SELECT {columns}, CAST(SUM(one) AS BIGINT) AS change FROM both_states GROUP BY ALL HAVING SUM(one) <> 0"""
+
+
+@register("m_customer_changes", M._m([], _changes_sql(
+    "SELECT * FROM s_customers WHERE customer_id % 10 <> 0",
+    "SELECT * REPLACE (IF(customer_id % 10 = 1, customer_city || ' (moved)', customer_city) AS customer_city) FROM s_customers",
+    "customer_id, customer_zip_code_prefix, customer_city, customer_state")))
+def customer_changes_q(spark, d):
+    """What the second customer extract changes against the first load."""
+    return row_changes(M.customers_v1(spark, d), M.customers_batch(spark, d))
+
+
+_ITEMS_SQL = "* REPLACE (CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value) FROM mk_items"
+
+
+@register("m_item_changes", M._m([], _changes_sql(
+    f"SELECT {_ITEMS_SQL}", f"SELECT DISTINCT {_ITEMS_SQL} WHERE price > 0",
+    "order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value")))
+def item_changes_q(spark, d):
+    """The rows, with their copies, that cleaning takes from the order lines."""
+    raw = M.mk_items(spark, d)
+    changed = row_changes(raw, raw.dropDuplicates().where("price > 0"))
+    return changed.withColumns({c: F.col(c).cast("double") for c in ("price", "freight_value")})
+
+
+@register("m_category_increment", M._m([], """
+SELECT p.product_category_name_english, CAST(SUM(i.price) AS DOUBLE) AS total_revenue, COUNT(DISTINCT i.order_id) AS total_orders,
+       CAST(SUM(i.price) AS DOUBLE) / COUNT(i.price) AS avg_price
+FROM s_items i LEFT JOIN s_products p USING (product_id) GROUP BY 1"""))
+def category_increment_q(spark, d):
+    """Category sales from the partial sums of the lines without some orders, and
+    with the first line only of others, to which these orders' lines are added."""
+    items, products = M.silver_items(spark, d), M.silver_categories(spark, d)
+    new, partial = F.col("order_id") % 10 == 3, F.col("order_id") % 10 == 4
+    known = items.where(~new & ~(partial & (F.col("order_item_id") > 1)))
+    state = category_partials(known, products)
+    total = add_partials(state, category_partials(known.where(partial), products), category_partials(items.where(new | partial), products),
+                         STATES["categories"][0])
+    return category_sales(total)
