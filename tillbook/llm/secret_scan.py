@@ -18,6 +18,8 @@ from re import _constants as rc, _parser as rp
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tillbook.llm.common import skew_join
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -162,12 +164,13 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rules
     """
     indexed = tuple(r for r in rules if min(map(len, trigram_query(r.regex))))
     free = [(n, r) for n, r in enumerate(rules) if r not in indexed]
-    body = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    body = docs.select(F.col(key).alias("id"), F.struct(F.col(key)).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     found = []
     if indexed:
         chosen = candidates(docs.sparkSession, postings(docs, indexed, key, text), indexed)
-        hit = body.join(chosen.select(F.col("id").alias("c_id"), F.col("text_hash").alias("c_hash"), "kinds"),
-                        F.col("id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash")))
+        # a struct of a null key equals another; one text may be a third of all rows
+        hit = skew_join(body, chosen.select(F.struct("id").alias("c_key"), F.col("text_hash").alias("c_hash"), "kinds"),
+                        {"key": "c_key", "text_hash": "c_hash"})
         found.append(hit.select("id", "text_hash", F.explode(F.array_compact(F.array(*(
             F.when(F.array_contains("kinds", n), _pieces(rules.index(r), r, F.col("text")))
             for n, r in enumerate(indexed))))).alias("p")))
@@ -191,8 +194,8 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rules
     kinds = F.array(*(F.lit(r.kind) for r in rules))
     by_text = (spans.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct(
         "start", "rule", F.element_at(kinds, F.col("rule") + 1).alias("kind"), "end"))).alias("spans"))
-        .select(F.col("id").alias("s_id"), F.col("text_hash").alias("s_hash"), "spans"))
-    rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"))
-    return (rows.join(by_text, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("text_hash") == F.col("s_hash")), "left")
+        .select(F.struct("id").alias("s_key"), F.col("text_hash").alias("s_hash"), "spans"))
+    rows = docs.select(F.col(key).alias("id"), F.struct(F.col(key)).alias("key"), F.xxhash64(text).alias("text_hash"))
+    return (skew_join(rows, by_text, {"key": "s_key", "text_hash": "s_hash"}, "left")
             .select(F.col("id").alias(key), F.coalesce("spans", F.expr(
                 "cast(array() as array<struct<start:bigint,rule:int,kind:string,end:bigint>>)")).alias("spans")))
