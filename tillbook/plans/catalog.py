@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tillbook.plans import (cleaning, integrity, lake_increment, medallion, shop_analytics,  # noqa: F401
-                            shop_basics, superstore, task_lines)  # importing registers the queries
+from tillbook.plans import (cleaning, cleaning_job, integrity, lake_increment, medallion,  # noqa: F401
+                            shop_analytics, shop_basics, superstore, task_lines)  # importing registers the queries
 from tillbook.plans.registry import QUERIES
 
 
