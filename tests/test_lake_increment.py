@@ -75,6 +75,17 @@ def test_one_landed_row_touches_one_bucket(spark, scratch):
     check(store, raw | {"order_items": raw["order_items"].unionByName(one).unionByName(one)})
 
 
+def test_lines_without_an_order_and_nothing_at_all(spark, scratch):
+    raw = {n: view(spark, SF).cache() for n, view in M._MK_RAW.items()}
+    store = SnapshotStore(spark, os.path.join(scratch, "null"))
+    L.start(spark, raw, store.root, T0, buckets=4)
+    lost = raw["order_items"].where("price > 0").limit(2).withColumn("order_id", F.lit(None).cast("long")).cache()
+    L.land(spark, {"order_items": lost, "orders": raw["orders"].limit(0)}, store.root, T1)
+    check(store, raw | {"order_items": raw["order_items"].unionByName(lost)})
+    versions = L.land(spark, {"order_payments": raw["order_payments"].limit(0)}, store.root, T2)
+    assert written(store, "silver_order_payments", versions["silver_order_payments"]) == []
+
+
 def test_row_changes_count_copies(spark):
     schema = "id long, x double, s string, a array<int>"
     old = spark.createDataFrame([(1, 0.0, None, [1]), (1, 0.0, None, [1]), (2, float("nan"), "", None), (None, None, None, None), (4, 1.0, "gone", [])], schema)
