@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,18 @@ def dedup_by_key(df: DataFrame, keys: list[str] | str, order: list[str] | None =
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
+def distinct_by_key(df: DataFrame, key: str) -> DataFrame:
+    """The distinct rows, for rows of which few are equal and which are next joined
+    or grouped on ``key``: they leave partitioned and sorted by it.
+
+    ``distinct()`` holds a task's rows in two hash tables, before and after the
+    exchange or, below a join on the key, both at once. Here a task sorts its rows
+    once and drops those equal to the one before; a merge join takes that order.
+    """
+    w = Window.partitionBy(key, *[c for c in df.columns if c != key]).orderBy(key)
+    return df.repartition(key).withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+
+
 def fingerprint(df: DataFrame, columns: list[str] | None = None) -> Column:
     """128 bits of a row: equal for rows that are not distinct in SQL's sense,
     different otherwise (but for a chance of about n^2 / 2^129 among n rows).

@@ -308,11 +308,7 @@ def superstore(spark, d, dims=("order", "customer", "product"), distinct_lines:
     if "customer" in dims:
         dims.add("order")
     if "order" in dims:
-        o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-        df = df.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            *[c for c in df.columns if c != "l_orderkey"], F.col("o_orderkey").alias("order_id"),
-            F.to_date("o_orderdate").alias("order_date"), F.col("o_orderpriority").alias("ship_mode"),
-            F.col("o_custkey").alias("customer_id"))
+        df = df.join(superstore_orders(spark, d), F.col("l_orderkey") == F.col("order_id")).drop("l_orderkey")
     else:
         df = df.withColumnRenamed("l_orderkey", "order_id")
     if "customer" in dims:
@@ -336,6 +332,13 @@ def superstore(spark, d, dims=("order", "customer", "product"), distinct_lines:
     return df
 
 
+def superstore_orders(spark, d):
+    """What a flat line has from its order."""
+    return load(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.to_date("o_orderdate").alias("order_date"),
+        F.col("o_orderpriority").alias("ship_mode"), F.col("o_custkey").alias("customer_id"))
+
+
 # --------------------------------------------------------------------------------------
 # Marketplace lake (bronze inputs)
 
