@@ -4,6 +4,7 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tillbook.operators.dedup import distinct_by_key
@@ -71,3 +72,33 @@ def test_orders_are_sorted_once_and_held_in_no_hash_table(spark):
 def test_no_hash_table_has_all_columns_of_orders(spark, name):
     keys = re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", _plan(E.queries()[name](spark, SF)))
     assert not [k for k in keys if "ship_date" in k]
+
+
+def test_raw_counts_of_repeated_and_null_keys(spark, folder):
+    lines = superstore(spark, folder)
+    got = E.queries()["w3_raw_counts"](spark, folder).first()
+    assert got == lines.agg(F.count(F.lit(1)).alias("total_rows"), F.count_distinct(F.struct(*lines.columns)).alias("distinct_rows")).first()
+    assert got.total_rows > got.distinct_rows > 0
+
+
+def test_raw_counts_shuffles_no_whole_lines(spark):
+    """Lines are dealt out by keys and by fingerprints, and names of customers come with the orders."""
+    plan = _plan(E.queries()["w3_raw_counts"](spark, SF))
+    assert "HashAggregate(keys=[struct(order_id" not in plan and "HashAggregate(keys=[f#" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(E.queries()["w3_raw_counts"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(o_custkey" in plan or "hashpartitioning(customer_id" in plan
+    # an exchange by customer is one of orders: no line is below it
+    tree = plan.split("\n")
+    at = next(n for n, x in enumerate(tree) if re.search(r"Exchange hashpartitioning\((o_custkey|customer_id)", x))
+    depth = re.search(r"Exchange", tree[at]).start()
+    below = []
+    for x in tree[at + 1:]:
+        m = re.search(r"[A-Za-z]", x)
+        if not m or m.start() <= depth:
+            break
+        below.append(x)
+    assert any("orders.parquet" in x for x in below) and not any("lineitem.parquet" in x for x in below)

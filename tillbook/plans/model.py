@@ -308,17 +308,19 @@ def superstore(spark, d, dims=("order", "customer", "product"), distinct_lines:
     if "customer" in dims:
         dims.add("order")
     if "order" in dims:
-        df = df.join(superstore_orders(spark, d), F.col("l_orderkey") == F.col("order_id")).drop("l_orderkey")
+        o = superstore_orders(spark, d)
+        if "customer" in dims:
+            # an order meets its customer before its lines do, which are several times as many
+            c = load(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+            g = geo(spark, d)
+            o = (o.join(c, F.col("customer_id") == F.col("c_custkey"))
+                 .join(g, F.col("c_nationkey") == g.nation_key).drop("c_custkey")
+                 .withColumnRenamed("c_name", "customer_name")
+                 .withColumnRenamed("c_mktsegment", "segment").withColumnRenamed("nation_name", "state")
+                 .withColumnRenamed("region_name", "region").drop("c_nationkey", "nation_key"))
+        df = df.join(o, F.col("l_orderkey") == F.col("order_id")).drop("l_orderkey")
     else:
         df = df.withColumnRenamed("l_orderkey", "order_id")
-    if "customer" in dims:
-        c = load(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-        g = geo(spark, d)
-        df = (df.join(c, F.col("customer_id") == F.col("c_custkey"))
-              .join(g, F.col("c_nationkey") == g.nation_key).drop("c_custkey")
-              .withColumnRenamed("c_name", "customer_name")
-              .withColumnRenamed("c_mktsegment", "segment").withColumnRenamed("nation_name", "state")
-              .withColumnRenamed("region_name", "region").drop("c_nationkey", "nation_key"))
     if "product" in dims:
         p = load(spark, d, "part").select("p_partkey", "p_type", "p_brand", "p_name", "p_retailprice")
         df = (df.join(p, F.col("l_partkey") == F.col("p_partkey"))
